@@ -1,0 +1,21 @@
+"""Size checks that decide between a broadcast / single-task path and the
+partitioned path.  A check is a bounded ``limit(k + 1).count()`` job, so it
+never scans more than it needs to decide."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may hold (small config / keyword / history tables).
+BROADCAST_ROW_LIMIT = 200_000
+
+
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint only when the side is proven small; otherwise leave the
+    join to the planner (sort-merge / shuffled hash)."""
+    return F.broadcast(df) if at_most(df, max_rows) else df

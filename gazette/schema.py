@@ -1,0 +1,68 @@
+"""Canonical table shapes.
+
+One reference run (one digest) becomes one ``digest_id``; list position becomes
+an explicit ``seq`` ordering key, so no operator depends on DataFrame order.
+"""
+
+from pyspark.sql import types as T
+
+ARTICLES = T.StructType(
+    [
+        T.StructField("digest_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("link", T.StringType()),
+        T.StructField("published", T.TimestampType()),
+        T.StructField("summary", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("comments_link", T.StringType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+RELATED_ITEM = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("link", T.StringType()),
+        T.StructField("comments_link", T.StringType()),
+        T.StructField("similarity", T.DoubleType()),
+    ]
+)
+
+HEADLINES = T.StructType(
+    [
+        T.StructField("digest_id", T.StringType()),
+        T.StructField("digest_date", T.DateType()),
+        T.StructField("headline", T.StringType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+PAGES = T.StructType([T.StructField("url", T.StringType()), T.StructField("html", T.StringType())])
+
+SOURCES = T.StructType(
+    [
+        T.StructField("source_ord", T.IntegerType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("name", T.StringType()),
+    ]
+)
+
+RESPONSES = T.StructType(
+    [
+        T.StructField("digest_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
+REPORTS = T.StructType(
+    [
+        T.StructField("digest_id", T.StringType()),
+        T.StructField("digest_date", T.DateType()),
+        T.StructField("markdown", T.StringType()),
+    ]
+)
+
+ARTICLE_COLUMNS = [f.name for f in ARTICLES.fields]
