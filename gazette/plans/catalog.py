@@ -126,3 +126,101 @@ def q_resolve_src(spark, sf):
 def q_content_key(spark, sf):
     d = tb.documents_articles(spark, sf)
     return d.select("seq", F.md5(F.concat("link", F.substring("summary", 1, 100))).alias("content_key"))
+
+
+# ---------------------------------------------------------------- similarity
+from gazette.operators import dedupe as dd  # noqa: E402
+from gazette.operators import novelty as nv  # noqa: E402
+from gazette.operators.simjoin import self_similarity_edges  # noqa: E402
+
+SIM_T = 0.30  # max cosine in `embeddings` is ~0.5, so the 0.85 default never fires
+HIST_BASE = "2025-06-01"  # headline date = base + label
+ASOF_SHIFT = 7  # candidate as-of date = headline date + 7 (own day just outside the window)
+LOOKBACK = 7
+
+
+def _r9(c):
+    return F.round(F.col(c), 9)
+
+
+def embedding_headlines(spark, sf):
+    """Every embedding row as a published headline dated base + label."""
+    e = tb.embeddings_articles(spark, sf)
+    return e.select(
+        F.date_add(F.lit(HIST_BASE).cast("date"), F.col("source").cast("int")).alias("digest_date"),
+        F.col("title").alias("headline"),
+        "embedding",
+    )
+
+
+def embedding_candidates(spark, sf):
+    e = tb.embeddings_articles(spark, sf)
+    return e.withColumn(
+        "as_of", F.date_add(F.lit(HIST_BASE).cast("date"), F.col("source").cast("int") + F.lit(ASOF_SHIFT))
+    )
+
+
+@register("cosine_pairs")
+def q_cosine_pairs(spark, sf):
+    e = tb.embeddings_articles(spark, sf)
+    return self_similarity_edges(e, SIM_T).select("i", "j", _r9("sim").alias("sim"))
+
+
+@register("novelty_filter")
+def q_novelty_filter(spark, sf):
+    out = nv.novelty_filter(
+        embedding_candidates(spark, sf), embedding_headlines(spark, sf), lookback_days=LOOKBACK, threshold=SIM_T
+    )
+    return out.select("seq", "source")
+
+
+@register("novelty_scores")
+def q_novelty_scores(spark, sf):
+    out = nv.max_history_similarity(embedding_candidates(spark, sf), embedding_headlines(spark, sf), lookback_days=LOOKBACK)
+    return out.filter(F.col("max_history_sim").isNotNull()).select(
+        "seq", _r9("max_history_sim").alias("max_sim"), "best_headline"
+    )
+
+
+@register("history_window")
+def q_history_window(spark, sf):
+    ev = tb.read_table(spark, sf, "events")
+    days = ev.select(F.to_date("ts").alias("d")).distinct()
+    rows = None
+    for lb in (1, 7, 31):
+        w = days.select(F.col("d").alias("as_of"), F.lit(lb).alias("lookback"))
+        w = w.withColumn("d", F.explode(F.sequence(F.date_sub("as_of", lb - 1), F.col("as_of"))))
+        part = w.join(days, "d")
+        rows = part if rows is None else rows.unionByName(part)
+    fname = F.concat(F.lit("reading_list_"), F.date_format("d", "yyyyMMdd"), F.lit(".md"))
+    return rows.groupBy("as_of", "lookback").agg(
+        F.count(F.lit(1)).alias("n_reports"), F.min(fname).alias("first_file"), F.max(fname).alias("last_file")
+    ).select(F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "lookback", "n_reports", "first_file", "last_file")
+
+
+@register("dedupe_leaders")
+def q_dedupe_leaders(spark, sf):
+    g = dd.similarity_groups(tb.embeddings_articles(spark, sf), SIM_T)
+    return g.filter("seq = leader_seq").select("seq")
+
+
+@register("dedupe_leaders_partitioned")
+def q_dedupe_leaders_partitioned(spark, sf):
+    g = dd.similarity_groups(tb.embeddings_articles(spark, sf), SIM_T, local_max_rows=0, block_rows=128)
+    return g.filter("seq = leader_seq").select("seq")
+
+
+@register("dedupe_groups")
+def q_dedupe_groups(spark, sf):
+    g = dd.similarity_groups(tb.embeddings_articles(spark, sf), SIM_T)
+    return g.select("seq", "leader_seq", _r9("similarity").alias("similarity"))
+
+
+@register("related_lists")
+def q_related_lists(spark, sf):
+    d = dd.dedupe_similar(tb.embeddings_articles(spark, sf), SIM_T)
+    return d.select(
+        "seq",
+        F.size("related").cast("bigint").alias("n_related"),
+        F.array_join(F.transform("related", lambda r: r["seq"].cast("string")), ",").alias("related_seqs"),
+    )

@@ -139,3 +139,87 @@ def _():
 @sql("content_key")
 def _():
     return "SELECT doc_id AS seq, md5('doc://' || CAST(doc_id AS VARCHAR) || left(text, 100)) AS content_key FROM documents"
+
+
+# ---------------------------------------------------------------- similarity
+from gazette.plans.catalog import ASOF_SHIFT, HIST_BASE, LOOKBACK, SIM_T  # noqa: E402
+
+EMB = "(SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
+COS = "list_cosine_similarity"
+HD = f"(DATE '{HIST_BASE}' + h.label)"
+ASOF = f"(DATE '{HIST_BASE}' + c.label + {ASOF_SHIFT})"
+IN_WINDOW = f"{HD} > {ASOF} - {LOOKBACK} AND {HD} <= {ASOF}"
+
+# greedy scan in seq order carrying the leader list (exact reference semantics)
+GREEDY = f"""
+WITH RECURSIVE e AS {EMB},
+nb AS (SELECT b.vec_id AS j, list(a.vec_id) AS lower FROM e a JOIN e b
+       ON a.vec_id < b.vec_id AND {COS}(a.v, b.v) >= {SIM_T} GROUP BY b.vec_id),
+ord AS (SELECT e.vec_id AS id, row_number() OVER (ORDER BY e.vec_id) AS k, coalesce(nb.lower, []) AS lower
+        FROM e LEFT JOIN nb ON nb.j = e.vec_id),
+walk(k, leaders) AS (
+  SELECT 0::BIGINT, []::BIGINT[]
+  UNION ALL
+  SELECT w.k + 1, CASE WHEN list_has_any(w.leaders, o.lower) THEN w.leaders ELSE list_append(w.leaders, o.id) END
+  FROM walk w JOIN ord o ON o.k = w.k + 1),
+leaders AS (SELECT unnest(leaders) AS id FROM walk WHERE k = (SELECT max(k) FROM ord)),
+members AS (SELECT b.vec_id AS seq, min(a.vec_id) AS leader_seq, arg_min({COS}(a.v, b.v), a.vec_id) AS similarity
+            FROM e a JOIN leaders l ON a.vec_id = l.id JOIN e b
+            ON a.vec_id < b.vec_id AND {COS}(a.v, b.v) >= {SIM_T}
+            WHERE b.vec_id NOT IN (SELECT id FROM leaders) GROUP BY b.vec_id),
+groups AS (SELECT id AS seq, id AS leader_seq, NULL::DOUBLE AS similarity FROM leaders
+           UNION ALL SELECT seq, leader_seq, similarity FROM members)
+"""
+
+
+@sql("cosine_pairs")
+def _():
+    return f"""SELECT a.vec_id AS i, b.vec_id AS j, round({COS}(a.v, b.v), 9) AS sim
+    FROM {EMB} a JOIN {EMB} b ON a.vec_id < b.vec_id WHERE {COS}(a.v, b.v) >= {SIM_T}"""
+
+
+@sql("novelty_filter")
+def _():
+    return f"""SELECT c.vec_id AS seq, CAST(c.label AS VARCHAR) AS source FROM {EMB} c
+    WHERE NOT EXISTS (SELECT 1 FROM {EMB} h WHERE {IN_WINDOW} AND {COS}(c.v, h.v) >= {SIM_T})"""
+
+
+@sql("novelty_scores")
+def _():
+    return f"""SELECT seq, round(s, 9) AS max_sim, 'item ' || CAST(hid AS VARCHAR) AS best_headline FROM (
+      SELECT c.vec_id AS seq, h.vec_id AS hid, {COS}(c.v, h.v) AS s,
+             row_number() OVER (PARTITION BY c.vec_id ORDER BY {COS}(c.v, h.v) DESC, h.vec_id) AS r
+      FROM {EMB} c JOIN {EMB} h ON {IN_WINDOW}) WHERE r = 1"""
+
+
+@sql("history_window")
+def _():
+    return """
+    WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
+         lb AS (SELECT * FROM (VALUES (1), (7), (31)) t(lookback))
+    SELECT strftime(a.d, '%Y-%m-%d') AS as_of, lb.lookback::INTEGER AS lookback, count(*)::BIGINT AS n_reports,
+           'reading_list_' || strftime(min(h.d), '%Y%m%d') || '.md' AS first_file,
+           'reading_list_' || strftime(max(h.d), '%Y%m%d') || '.md' AS last_file
+    FROM d a CROSS JOIN lb JOIN d h ON h.d > a.d - lb.lookback AND h.d <= a.d
+    GROUP BY a.d, lb.lookback"""
+
+
+@sql("dedupe_leaders")
+def _():
+    return GREEDY + "SELECT id AS seq FROM leaders"
+
+
+ORACLE["dedupe_leaders_partitioned"] = ORACLE["dedupe_leaders"]
+
+
+@sql("dedupe_groups")
+def _():
+    return GREEDY + "SELECT seq, leader_seq, round(similarity, 9) AS similarity FROM groups"
+
+
+@sql("related_lists")
+def _():
+    return GREEDY + """
+    SELECT l.id AS seq, count(g.seq)::BIGINT AS n_related,
+           coalesce(string_agg(CAST(g.seq AS VARCHAR), ',' ORDER BY g.seq), '') AS related_seqs
+    FROM leaders l LEFT JOIN groups g ON g.leader_seq = l.id AND g.seq <> l.id GROUP BY l.id"""
