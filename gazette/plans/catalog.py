@@ -224,3 +224,23 @@ def q_related_lists(spark, sf):
         F.size("related").cast("bigint").alias("n_related"),
         F.array_join(F.transform("related", lambda r: r["seq"].cast("string")), ",").alias("related_seqs"),
     )
+
+
+# ---------------------------------------------------------------- ranking
+from gazette.operators import peel as pl  # noqa: E402
+
+
+@register("peel_rank")
+def q_peel_rank(spark, sf):
+    return pl.peel_rank(tb.embeddings_articles(spark, sf)).select("seq", "div_rank")
+
+
+@register("static_centrality")
+def q_static_centrality(spark, sf):
+    return pl.peel_rank(tb.embeddings_articles(spark, sf), mode="static").select("seq", "div_rank")
+
+
+@register("mean_similarity")
+def q_mean_similarity(spark, sf):
+    out = pl.mean_similarity(tb.embeddings_articles(spark, sf))
+    return out.select("seq", _r9("mean_sim").alias("mean_sim"))

@@ -223,3 +223,43 @@ def _():
     SELECT l.id AS seq, count(g.seq)::BIGINT AS n_related,
            coalesce(string_agg(CAST(g.seq AS VARCHAR), ',' ORDER BY g.seq), '') AS related_seqs
     FROM leaders l LEFT JOIN groups g ON g.leader_seq = l.id AND g.seq <> l.id GROUP BY l.id"""
+
+
+# ---------------------------------------------------------------- ranking
+# running per-row sums of cosines, one pick per recursion step
+PEEL = """
+WITH RECURSIVE
+e AS (SELECT row_number() OVER (ORDER BY vec_id) AS p, vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+nn AS (SELECT count(*) AS n FROM e),
+g AS (SELECT a.p, list(CASE WHEN a.p = b.p THEN 0.0 ELSE list_cosine_similarity(a.v, b.v) END ORDER BY b.p) AS r
+      FROM e a, e b GROUP BY a.p),
+gm AS (SELECT list(r ORDER BY p) AS m, list(list_sum(r) ORDER BY p) AS s0 FROM g),
+walk(step, sc, k) AS (
+  SELECT 0::BIGINT, (SELECT s0 FROM gm), NULL::BIGINT
+  UNION ALL
+  SELECT w.step + 1,
+         list_transform(range(1, nn.n + 1),
+                        lambda x: CASE WHEN x = pk.k OR w.sc[x] IS NULL THEN NULL ELSE w.sc[x] - gm.m[pk.k][x] END),
+         pk.k
+  FROM walk w, nn, gm,
+       LATERAL (SELECT CASE WHEN nn.n - w.step <= 2
+                     THEN list_position(list_transform(w.sc, lambda x: x IS NOT NULL), true)
+                     ELSE list_position(list_transform(w.sc, lambda x: round(x / (nn.n - w.step - 1), 12)),
+                                        list_max(list_transform(w.sc, lambda x: round(x / (nn.n - w.step - 1), 12)))) END AS k) pk
+  WHERE w.step < nn.n)
+SELECT e.id AS seq, w.step AS div_rank FROM walk w JOIN e ON e.p = w.k WHERE w.step >= 1
+"""
+ORACLE["peel_rank"] = PEEL
+
+MEAN_SIM = f"""
+SELECT a.vec_id AS seq, avg({COS}(a.v, b.v)) AS m FROM {EMB} a JOIN {EMB} b ON a.vec_id <> b.vec_id GROUP BY a.vec_id"""
+
+
+@sql("mean_similarity")
+def _():
+    return f"SELECT seq, round(m, 9) AS mean_sim FROM ({MEAN_SIM})"
+
+
+@sql("static_centrality")
+def _():
+    return f"SELECT seq, row_number() OVER (ORDER BY round(m, 12) DESC, seq) AS div_rank FROM ({MEAN_SIM})"
