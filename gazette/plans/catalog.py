@@ -244,3 +244,43 @@ def q_static_centrality(spark, sf):
 def q_mean_similarity(spark, sf):
     out = pl.mean_similarity(tb.embeddings_articles(spark, sf))
     return out.select("seq", _r9("mean_sim").alias("mean_sim"))
+
+
+# ---------------------------------------------------------------- balancing
+from gazette.operators import balance as bl  # noqa: E402
+
+BAL_N = 10
+
+
+@register("balance_sources")
+def q_balance_sources(spark, sf):
+    out = bl.balance_sources(tb.events_articles(spark, sf), BAL_N)
+    return out.select("digest_id", "seq", "final_rank")
+
+
+@register("balance_sources_lang")
+def q_balance_sources_lang(spark, sf):
+    d = tb.documents_articles(spark, sf).drop("source").join(
+        tb.read_table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("source")), "seq"
+    )
+    return bl.balance_sources(d, BAL_N).select("seq", "source", "final_rank")
+
+
+@register("source_counts")
+def q_source_counts(spark, sf):
+    return bl.source_counts(tb.events_articles(spark, sf), BAL_N)
+
+
+@register("overrepresented")
+def q_overrepresented(spark, sf):
+    return bl.overrepresented_sources(tb.events_articles(spark, sf), BAL_N)
+
+
+@register("first_per_source")
+def q_first_per_source(spark, sf):
+    return bl.first_per_source(tb.events_articles(spark, sf))
+
+
+@register("least_represented")
+def q_least_represented(spark, sf):
+    return bl.least_represented(tb.events_articles(spark, sf), BAL_N)

@@ -263,3 +263,87 @@ def _():
 @sql("static_centrality")
 def _():
     return f"SELECT seq, row_number() OVER (ORDER BY round(m, 12) DESC, seq) AS div_rank FROM ({MEAN_SIM})"
+
+
+# ---------------------------------------------------------------- balancing
+from gazette.plans.catalog import BAL_N  # noqa: E402
+
+BAL_M = max(BAL_N // 5, 3)
+
+
+def _balance_sql(base: str) -> str:
+    """The balancing loop over a list state per digest (``base``: d, id, src)."""
+    n, m = BAL_N, BAL_M
+    return f"""
+WITH RECURSIVE
+b AS ({base}),
+init AS (SELECT d, list(id ORDER BY id) AS ids, list(src ORDER BY id) AS srcs FROM b GROUP BY d),
+walk(d, it, ids, srcs, done) AS (
+  SELECT d, 0, ids, srcs, false FROM init
+  UNION ALL
+  SELECT w.d, w.it + 1,
+         CASE WHEN mv.k = 0 THEN w.ids ELSE pr.ids2 END,
+         CASE WHEN mv.k = 0 THEN w.srcs ELSE pr.srcs2 END,
+         mv.k = 0
+  FROM walk w,
+  LATERAL (SELECT list_slice(w.srcs, 1, {n}) AS t) tt,
+  LATERAL (SELECT coalesce(list_position(list_transform(tt.t, lambda x: len(list_filter(tt.t, lambda y: y = x)) > {m}), true), 0) AS k) mv,
+  LATERAL (SELECT list_concat(list_slice(w.ids, 1, mv.k - 1), list_slice(w.ids, mv.k + 1, len(w.ids)), [w.ids[mv.k]]) AS ids1,
+                  list_concat(list_slice(w.srcs, 1, mv.k - 1), list_slice(w.srcs, mv.k + 1, len(w.srcs)), [w.srcs[mv.k]]) AS srcs1) m1,
+  LATERAL (SELECT list_transform(range(1, len(m1.srcs1) + 1), lambda p:
+                 CASE WHEN NOT list_contains(tt.t, m1.srcs1[p])
+                       AND len(list_filter(m1.srcs1, lambda y: y = m1.srcs1[p])) > 1
+                      THEN len(list_filter(m1.srcs1, lambda y: y = m1.srcs1[p])) * 1000000 - p END) AS sc) z,
+  LATERAL (SELECT coalesce(list_position(z.sc, list_max(z.sc)), 0) AS pos) zp,
+  LATERAL (SELECT CASE WHEN zp.pos > {n} THEN list_concat([m1.ids1[zp.pos]], list_slice(m1.ids1, 1, zp.pos - 1), list_slice(m1.ids1, zp.pos + 1, len(m1.ids1))) ELSE m1.ids1 END AS ids2,
+                  CASE WHEN zp.pos > {n} THEN list_concat([m1.srcs1[zp.pos]], list_slice(m1.srcs1, 1, zp.pos - 1), list_slice(m1.srcs1, zp.pos + 1, len(m1.srcs1))) ELSE m1.srcs1 END AS srcs2) pr
+  WHERE NOT w.done AND w.it < {n}),
+final AS (SELECT * FROM walk QUALIFY it = max(it) OVER (PARTITION BY d))
+SELECT d, unnest(ids) AS seq, unnest(srcs) AS src, unnest(range(1, len(ids) + 1)) AS final_rank FROM final"""
+
+
+@sql("balance_sources")
+def _():
+    base = f"SELECT {EVENT_DIGEST} AS d, event_id AS id, event_type AS src FROM events"
+    return f"SELECT d AS digest_id, seq, final_rank FROM ({_balance_sql(base)})"
+
+
+@sql("balance_sources_lang")
+def _():
+    base = "SELECT 'documents' AS d, doc_id AS id, lang AS src FROM documents"
+    return f"SELECT seq, src AS source, final_rank FROM ({_balance_sql(base)})"
+
+
+EV_TOP = f"""SELECT {EVENT_DIGEST} AS digest_id, event_id AS seq, event_type AS source,
+             row_number() OVER (PARTITION BY {EVENT_DIGEST} ORDER BY event_id) AS r FROM events"""
+SRC_STATS = f"""SELECT digest_id, source, count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE r <= {BAL_N})::BIGINT AS n_top,
+                min(seq) AS first_seq, min(r) AS fp, min(r) FILTER (WHERE r <= {BAL_N}) AS fpt
+         FROM ({EV_TOP}) GROUP BY digest_id, source"""
+
+
+@sql("source_counts")
+def _():
+    return f"SELECT digest_id, source, n_rows, n_top, first_seq FROM ({SRC_STATS})"
+
+
+@sql("overrepresented")
+def _():
+    return f"SELECT digest_id, source, n_rows, n_top, first_seq FROM ({SRC_STATS}) WHERE n_top > {BAL_M}"
+
+
+@sql("first_per_source")
+def _():
+    return f"SELECT {EVENT_DIGEST} AS digest_id, event_type AS source, min(event_id) AS first_seq FROM events GROUP BY ALL"
+
+
+@sql("least_represented")
+def _():
+    return f"""
+    WITH s AS ({SRC_STATS}),
+    z AS (SELECT digest_id, source, row_number() OVER (PARTITION BY digest_id ORDER BY n_rows DESC, fp) AS k
+          FROM s WHERE n_top = 0 AND n_rows > 1),
+    t AS (SELECT digest_id, source, row_number() OVER (PARTITION BY digest_id ORDER BY n_top, fpt) AS k
+          FROM s WHERE n_top > 0)
+    SELECT t.digest_id, coalesce(z.source, t.source) AS source,
+           CASE WHEN z.source IS NOT NULL THEN 'absent' ELSE 'fewest' END AS rule
+    FROM t LEFT JOIN z ON z.digest_id = t.digest_id AND z.k = 1 WHERE t.k = 1"""
