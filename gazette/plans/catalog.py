@@ -284,3 +284,103 @@ def q_first_per_source(spark, sf):
 @register("least_represented")
 def q_least_represented(spark, sf):
     return bl.least_represented(tb.events_articles(spark, sf), BAL_N)
+
+
+# ---------------------------------------------------------------- rendering
+from gazette.functions.markdown import extract_headings, normalize_headers  # noqa: E402
+from gazette.operators import render as rd  # noqa: E402
+from gazette.sources import history as hs  # noqa: E402
+
+REPORT_N = 5
+
+
+def headed_text(spark, sf):
+    """documents text with headings injected by an expression (h1 only, h2 only,
+    h1+h2, h3–h6, none, ``#x``, seven hashes, extra whitespace)."""
+    d = tb.read_table(spark, sf, "documents")
+    t, s, x = tb.first_line("text"), F.col("source"), F.col("text")
+    k = F.col("doc_id") % 8
+    nl = F.lit("\n")
+    body = (
+        F.when(k == 0, F.concat(F.lit("# "), t, nl, x))
+        .when(k == 1, F.concat(F.lit("## "), t, nl, x))
+        .when(k == 2, F.concat(F.lit("# "), t, F.lit("\n## "), s, nl, x))
+        .when(k == 3, F.concat(F.lit("### "), t, F.lit("\n#### "), s, F.lit("\n##### a\n###### b\n"), x))
+        .when(k == 4, x)
+        .when(k == 5, F.concat(F.lit("#x "), t, nl, x))
+        .when(k == 6, F.concat(F.lit("####### "), t, nl, x))
+        .otherwise(F.concat(F.lit("#   "), t, F.lit("\n##\t"), s, nl, x))
+    )
+    return d.select(F.col("doc_id").alias("seq"), t.alias("title"), "source", body.alias("headed"))
+
+
+def event_reports(spark, sf):
+    top = flt.top_n(tb.events_articles(spark, sf), REPORT_N, order=["seq"], rank_col="final_rank")
+    top = flt.dry_run(top).withColumn("digest_date", F.to_date("digest_id"))
+    return rd.render_reports(top)
+
+
+@register("normalize_headers")
+def q_normalize_headers(spark, sf):
+    h = headed_text(spark, sf)
+    return h.select("seq", F.md5(normalize_headers("headed")).alias("normalized_md5"))
+
+
+@register("article_blocks")
+def q_article_blocks(spark, sf):
+    h = headed_text(spark, sf)
+    lead = h.groupBy("title").agg(F.min("seq").alias("seq"))
+    rel = (
+        h.join(lead.withColumnRenamed("seq", "lead"), "title")
+        .filter(F.col("seq") > F.col("lead"))
+        .groupBy("lead")
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "title", F.concat(F.lit("doc://"), F.col("seq").cast("string")).alias("link")))).alias("related"))
+    )
+    arts = (
+        h.join(lead, ["title", "seq"], "left_semi")
+        .join(rel.withColumnRenamed("lead", "seq"), "seq", "left")
+        .select(
+            "seq", "title", "source",
+            F.concat(F.lit("doc://"), F.col("seq").cast("string")).alias("link"),
+            F.col("headed").alias("generated_summary"),
+            F.lit("").alias("why_care"),
+            "related",
+        )
+    )
+    return rd.render_blocks(arts).select("seq", F.md5("block").alias("block_md5"))
+
+
+@register("reports")
+def q_reports(spark, sf):
+    r = event_reports(spark, sf)
+    return r.select("digest_id", F.md5("markdown").alias("report_md5"), F.length("markdown").cast("bigint").alias("n_chars"))
+
+
+@register("headings")
+def q_headings(spark, sf):
+    r = event_reports(spark, sf)
+    return r.select("digest_id", F.posexplode(extract_headings("markdown")).alias("pos", "headline")).select(
+        "digest_id", F.col("pos").cast("bigint").alias("pos"), "headline"
+    )
+
+
+HISTORY_ASOF = "2024-01-30"
+
+
+@register("history_headlines")
+def q_history_headlines(spark, sf):
+    """Reports written to the shared checkpoint folder, read back for a window."""
+    import uuid
+
+    from gazette.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
+    hs.write_reports(event_reports(spark, sf), path)
+    h = hs.read_headlines(spark, path, HISTORY_ASOF, lookback_days=LOOKBACK)
+    return h.select(F.date_format("digest_date", "yyyy-MM-dd").alias("digest_date"), "headline")
+
+
+@register("records_json")
+def q_records_json(spark, sf):
+    top = flt.top_n(tb.events_articles(spark, sf), REPORT_N, order=["seq"])
+    return rd.to_records(flt.dry_run(top))

@@ -347,3 +347,89 @@ def _():
     SELECT t.digest_id, coalesce(z.source, t.source) AS source,
            CASE WHEN z.source IS NOT NULL THEN 'absent' ELSE 'fewest' END AS rule
     FROM t LEFT JOIN z ON z.digest_id = t.digest_id AND z.k = 1 WHERE t.k = 1"""
+
+
+# ---------------------------------------------------------------- rendering
+from gazette.plans.catalog import HISTORY_ASOF, REPORT_N  # noqa: E402
+
+WS = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+HRE = f"'^(#{{1,6}}){WS}+(.+)$'"
+HEADED = f"""(SELECT doc_id, {DOC_TITLE} AS title, source, text,
+  CASE doc_id % 8
+    WHEN 0 THEN '# ' || {DOC_TITLE} || chr(10) || text
+    WHEN 1 THEN '## ' || {DOC_TITLE} || chr(10) || text
+    WHEN 2 THEN '# ' || {DOC_TITLE} || chr(10) || '## ' || source || chr(10) || text
+    WHEN 3 THEN '### ' || {DOC_TITLE} || chr(10) || '#### ' || source || chr(10) || '##### a' || chr(10) || '###### b' || chr(10) || text
+    WHEN 4 THEN text
+    WHEN 5 THEN '#x ' || {DOC_TITLE} || chr(10) || text
+    WHEN 6 THEN '####### ' || {DOC_TITLE} || chr(10) || text
+    ELSE '#   ' || {DOC_TITLE} || chr(10) || '##' || chr(9) || source || chr(10) || text END AS headed
+  FROM documents)"""
+
+
+def _normalize_sql(col: str) -> str:
+    lv = f"length(regexp_extract(l, {HRE}, 1))"
+    body = f"regexp_extract(l, {HRE}, 2)"
+    levels = f"list_transform(string_split({col}, chr(10)), lambda l: {lv})"
+    shift = f"(list_contains({levels}, 1) AND list_contains({levels}, 2))"
+    return f"""array_to_string(list_transform(string_split({col}, chr(10)), lambda l:
+        CASE WHEN {lv} = 0 THEN l
+             WHEN {lv} = 1 THEN '### ' || {body}
+             WHEN {lv} = 2 AND {shift} THEN '#### ' || {body}
+             ELSE repeat('#', least(4, {lv} + 1)) || ' ' || {body} END), chr(10))"""
+
+
+@sql("normalize_headers")
+def _():
+    return f"SELECT doc_id AS seq, md5({_normalize_sql('headed')}) AS normalized_md5 FROM {HEADED}"
+
+
+@sql("article_blocks")
+def _():
+    nl2 = "chr(10) || chr(10)"
+    return f"""
+    WITH h AS {HEADED},
+    lead AS (SELECT title, min(doc_id) AS lead FROM h GROUP BY title),
+    rel AS (SELECT l.lead, string_agg('- [' || h.title || '](doc://' || CAST(h.doc_id AS VARCHAR) || ')' || chr(10), '' ORDER BY h.doc_id) AS lines
+            FROM h JOIN lead l ON h.title = l.title AND h.doc_id > l.lead GROUP BY l.lead)
+    SELECT h.doc_id AS seq, md5(
+        '## ' || coalesce(h.title, 'None') || {nl2}
+        || '*Source: ' || coalesce(h.source, 'None') || '*' || {nl2}
+        || CASE WHEN h.headed IS NOT NULL AND length(h.headed) > 0 THEN {_normalize_sql('h.headed')} || {nl2} ELSE '' END
+        || '[Read more](doc://' || CAST(h.doc_id AS VARCHAR) || ')' || {nl2}
+        || CASE WHEN r.lines IS NOT NULL THEN '### Related Articles' || {nl2} || r.lines || chr(10) ELSE '' END
+        || '---' || {nl2}) AS block_md5
+    FROM h JOIN lead l ON h.doc_id = l.lead LEFT JOIN rel r ON r.lead = h.doc_id"""
+
+
+EV_REPORT = f"""
+    SELECT digest_id, '# Daily Reading List - ' || digest_id || chr(10) || chr(10) || string_agg(
+        '## ' || title || chr(10) || chr(10) || '*Source: ' || source || '*' || chr(10) || chr(10)
+        || 'Summary not generated in dry run mode' || chr(10) || chr(10)
+        || '### Why Should I Care?' || chr(10) || chr(10) || 'Insights not generated in dry run mode' || chr(10) || chr(10)
+        || '[Read more](event://' || CAST(seq AS VARCHAR) || ')' || chr(10) || chr(10) || '---' || chr(10) || chr(10),
+        '' ORDER BY r) AS markdown
+    FROM (SELECT {EVENT_DIGEST} AS digest_id, event_id AS seq, event_type AS source,
+                 event_type || ' ' || CAST(event_id AS VARCHAR) AS title,
+                 row_number() OVER (PARTITION BY {EVENT_DIGEST} ORDER BY event_id) AS r FROM events)
+    WHERE r <= {REPORT_N} GROUP BY digest_id"""
+
+
+@sql("reports")
+def _():
+    return f"SELECT digest_id, md5(markdown) AS report_md5, length(markdown)::BIGINT AS n_chars FROM ({EV_REPORT})"
+
+
+@sql("headings")
+def _():
+    return f"""SELECT digest_id, (generate_subscripts(h, 1) - 1)::BIGINT AS pos, unnest(h) AS headline
+    FROM (SELECT digest_id, regexp_extract_all(markdown, '(?m)^## (.+)$', 1) AS h FROM ({EV_REPORT}))"""
+
+
+@sql("history_headlines")
+def _():
+    return f"""SELECT digest_id AS digest_date, title AS headline FROM (
+      SELECT {EVENT_DIGEST} AS digest_id, event_type || ' ' || CAST(event_id AS VARCHAR) AS title,
+             row_number() OVER (PARTITION BY {EVENT_DIGEST} ORDER BY event_id) AS r FROM events)
+    WHERE r <= {REPORT_N} AND CAST(digest_id AS DATE) > DATE '{HISTORY_ASOF}' - {LOOKBACK}
+      AND CAST(digest_id AS DATE) <= DATE '{HISTORY_ASOF}'"""
