@@ -384,3 +384,154 @@ def q_history_headlines(spark, sf):
 def q_records_json(spark, sf):
     top = flt.top_n(tb.events_articles(spark, sf), REPORT_N, order=["seq"])
     return rd.to_records(flt.dry_run(top))
+
+
+# ---------------------------------------------------------------- pages / enrichment
+from gazette.operators import enrich as en  # noqa: E402
+from gazette.operators import pages as pg  # noqa: E402
+
+PROMPT_TEMPLATE = "Title: {title}\nSource: {source}\nLink: {link}\nSummary: {summary}\n\nContent:\n{content}"
+
+
+def _unescape(c):
+    return F.replace(F.replace(c, F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
+
+
+def page_articles(spark, sf):
+    """``pages`` as one digest of articles: title from ``<title>``, comments link
+    keyed to a conversation (conv_id = page_id % 100)."""
+    p = tb.pages_table(spark, sf)
+    return p.select(
+        F.lit("pages").alias("digest_id"),
+        F.col("page_id").alias("seq"),
+        _unescape(F.regexp_extract("html", r"<title>(.*?)</title>", 1)).alias("title"),
+        F.col("url").alias("link"),
+        F.lit(None).cast("timestamp").alias("published"),
+        F.lit("").alias("summary"),
+        url_domain("url").alias("source"),
+        F.concat(F.lit("conv://"), (F.col("page_id") % 100).cast("string")).alias("comments_link"),
+        F.lit(None).cast("array<double>").alias("embedding"),
+    )
+
+
+def page_leaders(spark, sf):
+    """Exact-title groups: the first page leads, later pages are related."""
+    a = page_articles(spark, sf)
+    lead = a.groupBy("digest_id", "title").agg(F.min("seq").alias("lead"))
+    rel = (
+        a.join(lead, ["digest_id", "title"])
+        .filter(F.col("seq") > F.col("lead"))
+        .groupBy("digest_id", "lead")
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "title", "link", "comments_link", F.lit(1.0).alias("similarity")))).alias("related"))
+    )
+    leaders = a.join(lead.withColumnRenamed("lead", "seq"), ["digest_id", "title", "seq"], "left_semi")
+    empty = F.array().cast("array<struct<seq:bigint,title:string,link:string,comments_link:string,similarity:double>>")
+    return leaders.join(rel.withColumnRenamed("lead", "seq"), ["digest_id", "seq"], "left").withColumn(
+        "related", F.coalesce("related", empty)
+    )
+
+
+def comment_pages(spark, sf):
+    """Comment threads rendered as pages from ``conversations`` (one per conv)."""
+    c = tb.read_table(spark, sf, "conversations")
+    esc = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    turns = c.groupBy("conv_id").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("turn", esc.alias("t")))), lambda x: F.concat(F.lit('<div class="comment">'), x["t"], F.lit("</div>"))),
+            "",
+        ).alias("body")
+    )
+    return turns.select(
+        F.concat(F.lit("conv://"), F.col("conv_id").cast("string")).alias("url"),
+        F.concat(F.lit('<html><body><div class="comments">'), F.col("body"), F.lit("</div></body></html>")).alias("html"),
+    )
+
+
+def extracted_pages(spark, sf):
+    return pg.extract_pages(tb.pages_table(spark, sf), keep=["page_id"])
+
+
+def extracted_comments(spark, sf):
+    return pg.extract_pages(comment_pages(spark, sf))
+
+
+@register("page_text")
+def q_page_text(spark, sf):
+    return extracted_pages(spark, sf).select("page_id", "text")
+
+
+@register("page_text_clean")
+def q_page_text_clean(spark, sf):
+    return extracted_pages(spark, sf).select("page_id", F.col("text_rules").alias("text"))
+
+
+@register("page_stats")
+def q_page_stats(spark, sf):
+    x = extracted_pages(spark, sf)
+    return x.select(
+        "page_id", "title", F.length("text").alias("text_chars"), F.length("text_rules").alias("clean_chars"),
+        "image_url", "image_rules", F.col("comments").isNotNull().alias("has_comments"),
+    )
+
+
+@register("page_image")
+def q_page_image(spark, sf):
+    return extracted_pages(spark, sf).select("page_id", "image_url", "image_rules")
+
+
+@register("page_comments")
+def q_page_comments(spark, sf):
+    return extracted_comments(spark, sf).select(F.col("url").alias("comments_link"), "comments")
+
+
+@register("page_lookup")
+def q_page_lookup(spark, sf):
+    arts = page_leaders(spark, sf).select("digest_id", "seq", "link").unionByName(
+        tb.documents_articles(spark, sf).select("digest_id", "seq", "link")
+    )
+    joined = en.attach_pages(arts, extracted_pages(spark, sf))
+    return joined.select("digest_id", "seq", F.col("page_text").isNotNull().alias("has_page"))
+
+
+def _content(spark, sf):
+    return en.attach_content(page_leaders(spark, sf), extracted_pages(spark, sf), extracted_comments(spark, sf))
+
+
+@register("content_with_comments")
+def q_content_with_comments(spark, sf):
+    a = page_articles(spark, sf)
+    main, com = en._content_table(extracted_pages(spark, sf), extracted_comments(spark, sf))
+    out = en._fetch(a, "link", "comments_link", main, com, "main_")
+    return out.select("seq", F.md5("main_content").alias("content_md5"), F.length("main_content").cast("bigint").alias("n_chars"))
+
+
+@register("content_bundle")
+def q_content_bundle(spark, sf):
+    return _content(spark, sf).select(
+        "seq", F.size("related").cast("bigint").alias("n_related"), F.md5("bundle").alias("bundle_md5")
+    )
+
+
+@register("image_choice")
+def q_image_choice(spark, sf):
+    return _content(spark, sf).select("seq", "image_url")
+
+
+@register("prompts")
+def q_prompts(spark, sf):
+    p = en.build_prompts(_content(spark, sf), PROMPT_TEMPLATE)
+    return p.select("seq", F.md5("prompt").alias("prompt_md5"))
+
+
+def conversation_responses(spark, sf):
+    """Model answers stand-in: the first assistant turn of the page's conversation."""
+    c = tb.read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    first = c.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    a = page_articles(spark, sf).select("digest_id", "seq", (F.col("seq") % 100).alias("conv_id"))
+    return a.join(first, "conv_id").select("digest_id", "seq", "text")
+
+
+@register("responses")
+def q_responses(spark, sf):
+    out = en.attach_responses(page_articles(spark, sf), conversation_responses(spark, sf))
+    return out.select("seq", F.md5("generated_summary").alias("summary_md5"), "why_care")

@@ -433,3 +433,108 @@ def _():
              row_number() OVER (PARTITION BY {EVENT_DIGEST} ORDER BY event_id) AS r FROM events)
     WHERE r <= {REPORT_N} AND CAST(digest_id AS DATE) > DATE '{HISTORY_ASOF}' - {LOOKBACK}
       AND CAST(digest_id AS DATE) <= DATE '{HISTORY_ASOF}'"""
+
+
+# ---------------------------------------------------------------- pages / enrichment
+from gazette.plans.catalog import PROMPT_TEMPLATE  # noqa: E402
+
+TRIM = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# well-formed pages: the article's text nodes are the pieces between tags
+PAGE_TEXT = f"""(SELECT page_id, url, html, array_to_string(list_filter(list_transform(
+      regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'),
+      lambda s: trim(replace(replace(s, '&quot;', '"'), '&amp;', '&'), {TRIM})), lambda s: s <> ''), chr(10)) AS text
+    FROM pages)"""
+PAGE_ART = f"""(SELECT page_id AS seq, url AS link, html,
+      replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title,
+      regexp_extract(url, {AUTH_RE}, 1) AS source,
+      'conv://' || CAST(page_id % 100 AS VARCHAR) AS comments_link FROM pages)"""
+COMMENTS = f"""(SELECT 'conv://' || CAST(conv_id AS VARCHAR) AS comments_link,
+      CASE WHEN count(t) FILTER (WHERE t <> '') = 0 THEN NULL ELSE
+        string_agg(t, ' ' ORDER BY turn) FILTER (WHERE t <> '') || chr(10) || chr(10) ||
+        string_agg(t, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE t <> '') END AS comments
+    FROM (SELECT conv_id, turn, trim(text, {TRIM}) AS t FROM conversations) GROUP BY conv_id)"""
+CONTENT = f"""(SELECT a.seq, a.link, a.title, a.source, a.comments_link,
+      CASE WHEN p.text IS NOT NULL AND length(p.text) > 0 AND c.comments IS NOT NULL AND length(c.comments) > 0
+           THEN p.text || chr(10) || chr(10) || 'COMMENTS:' || chr(10) || c.comments ELSE p.text END AS content
+    FROM {PAGE_ART} a LEFT JOIN {PAGE_TEXT} p ON p.url = a.link LEFT JOIN {COMMENTS} c ON c.comments_link = a.comments_link)"""
+LEADERS = f"""(SELECT c.*, l.lead FROM {CONTENT} c JOIN (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l
+               ON c.title = l.title)"""
+BUNDLE = f"""(SELECT m.seq, m.link, m.title, m.source,
+      count(r.seq)::BIGINT AS n_related,
+      'Main Article from ' || m.link || ':' || chr(10) || coalesce(m.content, 'None') || chr(10) || chr(10) ||
+      coalesce(string_agg('Related Article from ' || r.link || ':' || chr(10) || coalesce(r.content, 'None'), chr(10) ORDER BY r.seq), '') AS bundle
+    FROM {LEADERS} m LEFT JOIN {LEADERS} r ON r.lead = m.seq AND r.seq > m.seq
+    WHERE m.seq = m.lead GROUP BY m.seq, m.link, m.title, m.source, m.content)"""
+
+
+@sql("page_text")
+def _():
+    return f"SELECT page_id, text FROM {PAGE_TEXT}"
+
+
+@sql("page_text_clean")
+def _():
+    return f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+      lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10)) AS text FROM {PAGE_TEXT}"""
+
+
+@sql("page_comments")
+def _():
+    return f"SELECT comments_link, comments FROM {COMMENTS}"
+
+
+@sql("page_lookup")
+def _():
+    return f"""
+    SELECT 'pages' AS digest_id, l.lead AS seq, TRUE AS has_page FROM (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l
+    UNION ALL
+    SELECT 'documents', doc_id, ('doc://' || CAST(doc_id AS VARCHAR)) IN (SELECT url FROM pages) FROM documents"""
+
+
+@sql("content_with_comments")
+def _():
+    return f"SELECT seq, md5(content) AS content_md5, length(content)::BIGINT AS n_chars FROM {CONTENT}"
+
+
+@sql("content_bundle")
+def _():
+    return f"SELECT seq, n_related, md5(bundle) AS bundle_md5 FROM {BUNDLE}"
+
+
+@sql("image_choice")
+def _():
+    img = "nullif(regexp_extract({t}.html, '<meta property=\"og:image\" content=\"([^\"]*)\"', 1), '')"
+    return f"""SELECT m.seq, coalesce(any_value({img.format(t='m')}), min_by({img.format(t='r')}, r.seq)) AS image_url
+    FROM {PAGE_ART} m JOIN (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l ON m.seq = l.lead
+    LEFT JOIN {PAGE_ART} r ON r.title = m.title AND r.seq > m.seq GROUP BY m.seq"""
+
+
+def _prompt_sql() -> str:
+    parts = []
+    import re as _re
+
+    pos = 0
+    for m in _re.finditer(r"\{(\w+)\}", PROMPT_TEMPLATE):
+        if m.start() > pos:
+            parts.append("'" + PROMPT_TEMPLATE[pos : m.start()].replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
+        col = {"title": "title", "source": "source", "link": "link", "summary": "''",
+               "content": "CASE WHEN bundle IS NOT NULL AND length(bundle) > 0 THEN bundle ELSE '' END"}[m.group(1)]
+        parts.append(f"coalesce({col}, 'None')")
+        pos = m.end()
+    if pos < len(PROMPT_TEMPLATE):
+        parts.append("'" + PROMPT_TEMPLATE[pos:].replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
+    return " || ".join(parts)
+
+
+@sql("prompts")
+def _():
+    return f"SELECT seq, md5({_prompt_sql()}) AS prompt_md5 FROM {BUNDLE}"
+
+
+@sql("responses")
+def _():
+    return f"""
+    SELECT a.seq, md5(coalesce(r.text, 'Error generating summary')) AS summary_md5,
+           CASE WHEN r.text IS NULL THEN 'Error generating insights' ELSE '' END AS why_care
+    FROM {PAGE_ART} a LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id) r
+      ON r.conv_id = a.seq % 100"""
