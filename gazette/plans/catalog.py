@@ -535,3 +535,66 @@ def conversation_responses(spark, sf):
 def q_responses(spark, sf):
     out = en.attach_responses(page_articles(spark, sf), conversation_responses(spark, sf))
     return out.select("seq", F.md5("generated_summary").alias("summary_md5"), "why_care")
+
+
+# ---------------------------------------------------------------- feeds
+from gazette.sources import feeds as fd  # noqa: E402
+
+FEED_ITEMS = 64  # documents per landed feed file: doc_id div 64 within a source
+
+
+def _xml_escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def landed_feeds(spark, sf):
+    """``documents`` rendered as RSS 2.0 files (one per source and id block):
+    documents without a quality label keep their description, documents
+    labelled quality 0 lack one (a bad entry)."""
+    d = tb.read_table(spark, sf, "documents")
+    lab = tb.read_table(spark, sf, "labels").select("doc_id", "quality")
+    d = d.join(lab, "doc_id", "left")
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 60)
+    pub = F.when(F.col("doc_id") % 2 == 0, F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).otherwise(
+        F.date_format(F.from_utc_timestamp(ts, "+02:00"), "EEE, dd MMM yyyy HH:mm:ss '+0200'")
+    )
+    desc = F.when(
+        F.coalesce(F.col("quality"), F.lit(1)) != 0,
+        F.concat(F.lit("<description>"), _xml_escape(F.col("text")), F.lit("</description>")),
+    ).otherwise(F.lit(""))
+    item = F.concat(
+        F.lit("<item><title>"), _xml_escape(tb.first_line("text")), F.lit("</title><link>doc://"), F.col("doc_id").cast("string"),
+        F.lit("</link><pubDate>"), pub, F.lit("</pubDate>"), desc,
+        F.lit("<comments>conv://"), (F.col("doc_id") % 100).cast("string"), F.lit("</comments></item>"),
+    )
+    feed = F.concat(F.col("source"), F.lit("/"), (F.col("doc_id") / FEED_ITEMS).cast("long").cast("string"))
+    files = d.groupBy(feed.alias("feed"), "source").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("x")))), lambda s: s["x"]), "").alias("items")
+    )
+    return files.select(
+        "feed", "source",
+        F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("source"), F.lit("</title>"), F.col("items"), F.lit("</channel></rss>")).alias("value"),
+    )
+
+
+def feed_sources(files):
+    """Registration order: source name, then block number (one URL per feed file)."""
+    block = F.split(F.col("feed"), "/")[1].cast("int")
+    names = files.select("feed", "source", block.alias("blk"))
+    ordered = positions(names.withColumn("g", F.lit(0)), "g", ["source", "blk"], out="source_ord")
+    return ordered.select(F.col("feed").alias("url"), F.col("source_ord").cast("int").alias("source_ord"), F.col("source").alias("name"))
+
+
+@register("feed_scan")
+def q_feed_scan(spark, sf):
+    files = landed_feeds(spark, sf)
+    entries = fd.isolate_feeds(fd.parse_feeds(files), "drop_entry")
+    arts = fd.assign_seq(entries, feed_sources(files), digest_id="feeds")
+    return arts.select("seq", "title", "link", "published", "source", "comments_link")
+
+
+@register("feed_isolation")
+def q_feed_isolation(spark, sf):
+    files = landed_feeds(spark, sf)
+    entries = fd.isolate_feeds(fd.parse_feeds(files), "drop_feed")
+    return entries.groupBy("feed").agg(F.count(F.lit(1)).alias("n_entries"))

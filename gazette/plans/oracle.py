@@ -538,3 +538,24 @@ def _():
            CASE WHEN r.text IS NULL THEN 'Error generating insights' ELSE '' END AS why_care
     FROM {PAGE_ART} a LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id) r
       ON r.conv_id = a.seq % 100"""
+
+
+# ---------------------------------------------------------------- feeds
+from gazette.plans.catalog import FEED_ITEMS  # noqa: E402
+
+
+@sql("feed_scan")
+def _():
+    return f"""
+    WITH d AS (SELECT doc_id, source, text, doc_id // {FEED_ITEMS} AS blk,
+                      row_number() OVER (PARTITION BY source, doc_id // {FEED_ITEMS} ORDER BY doc_id) - 1 AS entry_ord
+               FROM documents),
+    f AS (SELECT source, blk, row_number() OVER (ORDER BY source, blk) AS source_ord FROM (SELECT DISTINCT source, blk FROM d))
+    SELECT (f.source_ord * 4294967296 + d.entry_ord)::BIGINT AS seq,
+           trim({DOC_TITLE.replace('text', 'd.text')}) AS title,
+           'doc://' || CAST(d.doc_id AS VARCHAR) AS link,
+           TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (d.doc_id) MINUTE AS published,
+           d.source, 'conv://' || CAST(d.doc_id % 100 AS VARCHAR) AS comments_link
+    FROM d JOIN f ON f.source = d.source AND f.blk = d.blk
+    LEFT JOIN labels l ON l.doc_id = d.doc_id
+    WHERE coalesce(l.quality, 1) <> 0"""
