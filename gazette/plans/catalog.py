@@ -598,3 +598,13 @@ def q_feed_isolation(spark, sf):
     files = landed_feeds(spark, sf)
     entries = fd.isolate_feeds(fd.parse_feeds(files), "drop_feed")
     return entries.groupBy("feed").agg(F.count(F.lit(1)).alias("n_entries"))
+
+
+# ---------------------------------------------------------------- whole run
+from gazette.plans import flagship as fs  # noqa: E402
+
+
+@register("daily_digest")
+def q_daily_digest(spark, sf):
+    r = fs.flagship_reports(spark, sf)
+    return r.select("digest_id", F.md5("markdown").alias("report_md5"), F.length("markdown").cast("bigint").alias("n_chars"))

@@ -45,7 +45,8 @@ def parse_feed_date(col: Column) -> Column:
 
 def parse_feeds(files: DataFrame, content_col: str = "value", feed_col: str = "feed") -> DataFrame:
     """One row per feed entry: (feed, entry_ord, title, link, published, summary,
-    comments_link, entry_ok, feed_ok).
+    comments_link, entry_ok, feed_ok); ``feed_ok`` is false when any entry of
+    the feed is incomplete.
 
     ``entry_ok`` is false when title, link, date or summary is missing; a feed
     whose XML does not parse yields no entries at all.
@@ -57,8 +58,8 @@ def parse_feeds(files: DataFrame, content_col: str = "value", feed_col: str = "f
     entries = F.when(is_atom, F.transform(atom["entry"], lambda e: F.struct(
         e["title"].alias("title"),
         F.coalesce(
-            F.filter(e["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")[0]["_href"],
-            e["link"][0]["_href"],
+            F.get(F.filter(e["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate"), 0)["_href"],
+            F.get(e["link"], 0)["_href"],
         ).alias("link"),
         F.coalesce(e["published"], e["updated"]).alias("pubDate"),
         e["summary"].alias("description"),
@@ -66,7 +67,17 @@ def parse_feeds(files: DataFrame, content_col: str = "value", feed_col: str = "f
         F.lit(None).cast("string").alias("comments_link"),
         F.lit(None).cast("string").alias("comments_url"),
     ))).otherwise(rss["channel"]["item"])
-    exploded = files.select(F.col(feed_col).alias("feed"), F.posexplode(entries).alias("entry_ord", "e"))
+
+    def complete(x):
+        return x["title"].isNotNull() & x["link"].isNotNull() & x["pubDate"].isNotNull() & x["description"].isNotNull()
+
+    # the whole feed is one row here, so "any bad entry drops the feed" is a
+    # narrow array predicate — no shuffle, and valid on a stream
+    exploded = files.select(
+        F.col(feed_col).alias("feed"),
+        F.coalesce(F.forall(entries, complete), F.lit(False)).alias("feed_ok"),
+        F.posexplode(entries).alias("entry_ord", "e"),
+    )
     e = F.col("e")
     out = exploded.select(
         "feed",
@@ -77,9 +88,8 @@ def parse_feeds(files: DataFrame, content_col: str = "value", feed_col: str = "f
         e["description"].alias("summary"),
         # presence, not emptiness: an empty <comments/> still wins
         F.coalesce(e["comments"], e["comments_link"], e["comments_url"]).alias("comments_link"),
-        (e["title"].isNotNull() & e["link"].isNotNull() & e["pubDate"].isNotNull() & e["description"].isNotNull()).alias(
-            "entry_ok"
-        ),
+        complete(e).alias("entry_ok"),
+        "feed_ok",
     )
     return out
 
@@ -91,8 +101,7 @@ def isolate_feeds(entries: DataFrame, on_bad_entry: str = "drop_feed") -> DataFr
         return entries.filter("entry_ok")
     if on_bad_entry != "drop_feed":
         raise ValueError(on_bad_entry)
-    bad = entries.filter(~F.col("entry_ok")).select("feed").distinct()
-    return entries.join(bad, "feed", "left_anti")
+    return entries.filter("feed_ok")
 
 
 def read_feed_files(spark: SparkSession, path: str) -> DataFrame:
