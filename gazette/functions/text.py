@@ -30,10 +30,21 @@ def keyword_hit(keyword: str, cols: Sequence[str | Column] = ("title", "summary"
     return reduce(lambda a, b: a | b, [F.contains(_lowered(c), lit) for c in cols])
 
 
+def _with_lowered(cols: Sequence[str | Column], body) -> Column:
+    """Evaluate ``body(lowered_cols)`` with every column lower-cased exactly once
+    per row (bound as a lambda variable), however many keywords test it."""
+    packed = F.array(F.struct(*[_lowered(c).alias(f"c{i}") for i, c in enumerate(cols)]))
+    return F.transform(packed, lambda row: body([row[f"c{i}"] for i in range(len(cols))]))[0]
+
+
 def any_keyword(keywords: Sequence[str], cols: Sequence[str | Column] = ("title", "summary")) -> Column:
-    """OR of :func:`keyword_hit` over the list; an empty list is ``False``."""
+    """OR of keyword hits over the list; an empty list is ``False``."""
     kws = normalize_keywords(keywords)
-    return reduce(lambda a, b: a | b, [keyword_hit(k, cols) for k in kws], F.lit(False))
+    if not kws:
+        return F.lit(False)
+    return _with_lowered(
+        cols, lambda low: reduce(lambda a, b: a | b, [F.contains(c, F.lit(k)) for k in kws for c in low])
+    )
 
 
 def matched_keywords(keywords: Sequence[str], cols: Sequence[str | Column] = ("title", "summary")) -> Column:
@@ -41,4 +52,10 @@ def matched_keywords(keywords: Sequence[str], cols: Sequence[str | Column] = ("t
     kws = normalize_keywords(keywords)
     if not kws:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(keyword_hit(k, cols), F.lit(k)) for k in kws]))
+
+    def body(low):
+        return F.array_compact(
+            F.array(*[F.when(reduce(lambda a, b: a | b, [F.contains(c, F.lit(k)) for c in low]), F.lit(k)) for k in kws])
+        )
+
+    return _with_lowered(cols, body)
