@@ -608,3 +608,15 @@ from gazette.plans import flagship as fs  # noqa: E402
 def q_daily_digest(spark, sf):
     r = fs.flagship_reports(spark, sf)
     return r.select("digest_id", F.md5("markdown").alias("report_md5"), F.length("markdown").cast("bigint").alias("n_chars"))
+
+
+# ---------------------------------------------------------------- exact bag-of-words cosine
+from gazette.operators.bow import token_similarity_edges  # noqa: E402
+
+BOW_T = 0.6
+
+
+@register("bow_similarity")
+def q_bow_similarity(spark, sf):
+    e = token_similarity_edges(tb.documents_articles(spark, sf), BOW_T)
+    return e.select("i", "j", _r9("sim").alias("sim"))

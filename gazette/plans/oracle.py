@@ -559,3 +559,22 @@ def _():
     FROM d JOIN f ON f.source = d.source AND f.blk = d.blk
     LEFT JOIN labels l ON l.doc_id = d.doc_id
     WHERE coalesce(l.quality, 1) <> 0"""
+
+
+# ---------------------------------------------------------------- exact bag-of-words cosine
+from gazette.plans.catalog import BOW_T  # noqa: E402
+
+
+@sql("bow_similarity")
+def _():
+    return f"""
+    WITH t AS (SELECT doc_id, tok FROM (
+                 SELECT doc_id, unnest(regexp_split_to_array(lower({DOC_TITLE}), '[^\\p{{L}}\\p{{N}}]+')) AS tok FROM documents)
+               WHERE tok <> ''),
+    c AS (SELECT doc_id, tok, count(*)::DOUBLE AS c FROM t GROUP BY doc_id, tok),
+    n AS (SELECT doc_id, sqrt(sum(c * c)) AS nrm FROM c GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.c * b.c) AS dot FROM c a JOIN c b
+          ON a.tok = b.tok AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id)
+    SELECT i, j, round(dot / (na.nrm * nb.nrm), 9) AS sim FROM p
+    JOIN n na ON na.doc_id = i JOIN n nb ON nb.doc_id = j
+    WHERE dot / (na.nrm * nb.nrm) >= {BOW_T}"""
