@@ -27,37 +27,54 @@ EXTRACTED = [
 ]
 
 
-def extract_page(url: str | None, html: str | None, domain: str | None = None) -> dict:
+def extract_page(url: str | None, html: str | None, domain: str | None = None, fields=None) -> dict:
+    names = [n for n, _ in EXTRACTED if fields is None or n in fields]
     if html is None:
-        return {name: None for name, _ in EXTRACTED}
+        return {name: None for name in names}
     root = H.parse(html)
     dom = domain or ""
-    return {
-        "title": H.page_title(root),
-        "text": H.page_text(root),
-        "image_url": H.page_image(root, url or ""),
-        "comments": H.page_comments(root),
-        "text_rules": H.domain_text(root, dom),
-        "image_rules": H.domain_image(root, dom),
+    rules = {
+        "title": lambda: H.page_title(root),
+        "text": lambda: H.page_text(root),
+        "image_url": lambda: H.page_image(root, url or ""),
+        "comments": lambda: H.page_comments(root),
+        "text_rules": lambda: H.domain_text(root, dom),
+        "image_rules": lambda: H.domain_image(root, dom),
     }
+    return {name: rules[name]() for name in names}
 
 
-def extract_pages(pages: DataFrame, url: str = "url", html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
-    """``(keep…, url, title, text, image_url, comments, text_rules, image_rules)``.
+def extract_pages(
+    pages: DataFrame,
+    url: str = "url",
+    html: str = "html",
+    keep: Sequence[str] = (),
+    fields: Sequence[str] | None = None,
+) -> DataFrame:
+    """``(keep…, url, <fields>)`` with fields from ``title, text, image_url,
+    comments, text_rules, image_rules`` (all by default).
 
     ``text``/``image_url``/``comments`` follow the live page rules;
     ``text_rules``/``image_rules`` the per-domain rules (domain = URL authority).
+    When the scan yields fewer splits than the session's parallelism (a few big
+    landed files), pages are spread by URL hash first so parsing is not left to
+    one Python worker.
     """
     keep = [c for c in keep if c not in (url, html)]
+    wanted = [(n, t) for n, t in EXTRACTED if fields is None or n in fields]
     src = pages.select(*keep, F.col(url).alias("url"), F.col(html).alias("html"), url_domain(F.col(url)).alias("_domain"))
+    parallelism = pages.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < parallelism:
+        src = src.repartition(parallelism, "url")
     key_schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    schema = ", ".join(([key_schema] if key_schema else []) + ["url string"] + [f"{n} {t}" for n, t in EXTRACTED])
+    schema = ", ".join(([key_schema] if key_schema else []) + ["url string"] + [f"{n} {t}" for n, t in wanted])
+    names = [n for n, _ in wanted]
 
     def run(it):
         for pdf in it:
-            rows = [extract_page(u, h, d) for u, h, d in zip(pdf["url"], pdf["html"], pdf["_domain"])]
+            rows = [extract_page(u, h, d, names) for u, h, d in zip(pdf["url"], pdf["html"], pdf["_domain"])]
             out = pdf[[*keep, "url"]].reset_index(drop=True)
-            ext = pd.DataFrame(rows, columns=[n for n, _ in EXTRACTED])
+            ext = pd.DataFrame(rows, columns=names)
             yield pd.concat([out, ext], axis=1)
 
     return src.mapInPandas(run, schema)

@@ -447,22 +447,22 @@ def comment_pages(spark, sf):
     )
 
 
-def extracted_pages(spark, sf):
-    return pg.extract_pages(tb.pages_table(spark, sf), keep=["page_id"])
+def extracted_pages(spark, sf, fields=None):
+    return pg.extract_pages(tb.pages_table(spark, sf), keep=["page_id"], fields=fields)
 
 
 def extracted_comments(spark, sf):
-    return pg.extract_pages(comment_pages(spark, sf))
+    return pg.extract_pages(comment_pages(spark, sf), fields=["comments"])
 
 
 @register("page_text")
 def q_page_text(spark, sf):
-    return extracted_pages(spark, sf).select("page_id", "text")
+    return extracted_pages(spark, sf, ["text"]).select("page_id", "text")
 
 
 @register("page_text_clean")
 def q_page_text_clean(spark, sf):
-    return extracted_pages(spark, sf).select("page_id", F.col("text_rules").alias("text"))
+    return extracted_pages(spark, sf, ["text_rules"]).select("page_id", F.col("text_rules").alias("text"))
 
 
 @register("page_stats")
@@ -476,7 +476,7 @@ def q_page_stats(spark, sf):
 
 @register("page_image")
 def q_page_image(spark, sf):
-    return extracted_pages(spark, sf).select("page_id", "image_url", "image_rules")
+    return extracted_pages(spark, sf, ["image_url", "image_rules"]).select("page_id", "image_url", "image_rules")
 
 
 @register("page_comments")
@@ -489,18 +489,19 @@ def q_page_lookup(spark, sf):
     arts = page_leaders(spark, sf).select("digest_id", "seq", "link").unionByName(
         tb.documents_articles(spark, sf).select("digest_id", "seq", "link")
     )
-    joined = en.attach_pages(arts, extracted_pages(spark, sf))
+    joined = en.attach_pages(arts, extracted_pages(spark, sf, ["text", "image_url"]))
     return joined.select("digest_id", "seq", F.col("page_text").isNotNull().alias("has_page"))
 
 
 def _content(spark, sf):
-    return en.attach_content(page_leaders(spark, sf), extracted_pages(spark, sf), extracted_comments(spark, sf))
+    pages = extracted_pages(spark, sf, ["text", "image_url"])
+    return en.attach_content(page_leaders(spark, sf), pages, extracted_comments(spark, sf))
 
 
 @register("content_with_comments")
 def q_content_with_comments(spark, sf):
     a = page_articles(spark, sf)
-    main, com = en._content_table(extracted_pages(spark, sf), extracted_comments(spark, sf))
+    main, com = en._content_table(extracted_pages(spark, sf, ["text", "image_url"]), extracted_comments(spark, sf))
     out = en._fetch(a, "link", "comments_link", main, com, "main_")
     return out.select("seq", F.md5("main_content").alias("content_md5"), F.length("main_content").cast("bigint").alias("n_chars"))
 
