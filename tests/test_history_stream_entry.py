@@ -65,3 +65,25 @@ def test_entry_and_contract(spark):
     assert set(o) <= set(q) and len(q) >= 50
     assert not [k for k in q if k.startswith("op") or k == "pipeline"]
     assert os.path.isdir(SF001)
+
+
+def test_foreach_batch_daily_digests_write_reports(spark):
+    from gazette.operators import filters as flt
+    from gazette.operators import render as rd
+    from gazette.streaming.feeds import run_daily_digests
+
+    src = tempfile.mkdtemp(prefix="gz-feeds3-")
+    with open(os.path.join(src, "f1.xml"), "w") as f:
+        f.write(RSS)
+    sources = spark.createDataFrame([(0, "f1.xml", "one")], "source_ord int, url string, name string")
+    out = tempfile.mkdtemp(prefix="gz-out-")
+
+    def digest(batch, epoch):
+        day = batch.withColumn("digest_date", F.to_date("published")).withColumn("digest_id", F.col("digest_date").cast("string"))
+        top = flt.dry_run(flt.top_n(day, 5, rank_col="final_rank"))
+        hs.write_reports(rd.render_reports(top), out)
+
+    q = run_daily_digests(stream_articles(spark, src, sources, [""]), digest, tempfile.mkdtemp(prefix="gz-ck3-"))
+    q.awaitTermination(120)
+    heads = sorted(r.headline for r in hs.read_headlines(spark, out, "2025-06-10", 1).collect())
+    assert heads == ["Other", "Rust news"]
