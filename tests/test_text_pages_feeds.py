@@ -115,3 +115,22 @@ def test_feed_parse_and_isolation(spark):
     assert rows[("atom", 0)].link == "http://x/1"
     assert {r.feed for r in isolate_feeds(e, "drop_feed").collect()} == {"atom"}
     assert isolate_feeds(e, "drop_entry").count() == 2
+
+
+def test_read_feeds_from_files_in_registration_order(spark):
+    import os
+    import tempfile
+
+    from gazette.sources.feeds import assign_seq, read_feed_files, read_feeds
+
+    path = tempfile.mkdtemp(prefix="gz-landed-")
+    with open(os.path.join(path, "b.xml"), "w") as f:
+        f.write(RSS.replace("<item><title>No summary</title><link>http://a/2</link><pubDate>Tue, 10 Jun 2025 04:00:00 GMT</pubDate></item>", ""))
+    with open(os.path.join(path, "a.xml"), "w") as f:
+        f.write(ATOM)
+    # registration order puts b.xml first although a.xml sorts first by name
+    sources = spark.createDataFrame([(0, "b.xml", "Bee"), (1, "a.xml", "Ay")], "source_ord int, url string, name string")
+    arts = read_feeds(spark, path, sources).orderBy("seq").collect()
+    assert [(a.source, a.title) for a in arts] == [("Bee", "A & B"), ("Ay", "E")]
+    dense = assign_seq(parse_feeds(read_feed_files(spark, path)), sources, dense=True).orderBy("seq_dense").collect()
+    assert [d.seq_dense for d in dense] == [1, 2] and dense[0].source == "Bee"
