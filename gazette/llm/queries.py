@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import superminhash
+from gazette.llm import bpe, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +30,7 @@ def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_superminhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM (
-    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
     FROM documents)),
 g AS (
   SELECT doc_id, n, i, word || coalesce(' ' || lead(word, 1) OVER o, '') || coalesce(' ' || lead(word, 2) OVER o, '')
@@ -48,3 +48,11 @@ comp AS (SELECT a AS doc_id, least(a, min(b)) AS root FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(sz.n, 0) AS n_shingles, coalesce(comp.root, d.doc_id) AS component_id, coalesce(comp.root, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sz USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+
+@_query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of all documents under a public word-level vocabulary."""
+    import public_tokenizers
+
+    return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
