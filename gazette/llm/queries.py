@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import bpe, superminhash
+from gazette.llm import bpe, langid, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned on the folds that are not held out."""
+    return langid.identify(read_table(spark, sf_dir, "documents"))
