@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.common import text_batches
+from gazette.llm.common import free_name, text_batches
 
 #: Words whose ids a Python worker remembers; then it starts anew.  Results don't depend on it.
 REMEMBERED_WORDS = 200_000
@@ -186,45 +186,48 @@ def _add_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Add ``out``: the ids of ``text``.  ``path`` is the vocabulary file's place on every worker."""
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all) and ``out``: the ids of ``text``.  ``path`` is the vocabulary file's place on every worker."""
     text_batches(df.sparkSession)
-    kept = [c for c in df.columns if c != out]
+    kept = [c for c in keep or df.columns if c != out]
+    given = free_name(kept, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(path)
         for batch in batches:
-            ids, counts = bpe.encode_batch(batch.column("_text").to_pylist())
+            ids, counts = bpe.encode_batch(batch.column(given).to_pylist())
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], names=[*kept, out])
 
-    return df.select(*kept, F.col(text).cast("string").alias("_text")).mapInArrow(run, _add_column(df.select(*kept), out, T.ArrayType(T.IntegerType())))
+    return df.select(*kept, F.col(text).cast("string").alias(given)).mapInArrow(run, _add_column(df.select(*kept), out, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out``: the text of ``ids``, special strings included."""
+    """All columns and ``out``: the text of ``ids``, special strings included."""
     text_batches(df.sparkSession)
     kept = [c for c in df.columns if c != out]
+    given = free_name(kept, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(path)
         for batch in batches:
-            lists = batch.column("_ids")
+            lists = batch.column(given)
             flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             some = lists.is_valid().to_numpy(zero_copy_only=False)
             texts = [bpe.decode(flat[a:b]) if ok else "" for a, b, ok in zip(offsets[:-1], offsets[1:], some)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, out])
 
-    return df.select(*kept, F.col(ids).cast("array<int>").alias("_ids")).mapInArrow(run, _add_column(df.select(*kept), out, T.StringType()))
+    return df.select(*kept, F.col(ids).cast("array<int>").alias(given)).mapInArrow(run, _add_column(df.select(*kept), out, T.StringType()))
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    both = decode(encode(docs.select("doc_id", F.col("text").cast("string").alias("_whole")), path, text="_whole").drop("_whole"), path)
+def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, and its ``ids`` if wanted."""
+    both = decode(encode(docs.select("doc_id", "text"), path, keep=["doc_id"]), path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )

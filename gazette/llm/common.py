@@ -21,6 +21,13 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
 
 
+def free_name(columns: Sequence[str], base: str) -> str:
+    """``base``, with underscores before it until no column has that name."""
+    while base.lower() in {c.lower() for c in columns}:
+        base = f"_{base}"
+    return base
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 

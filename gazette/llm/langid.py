@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.common import broadcast_if_small, materialize, text_batches
+from gazette.llm.common import broadcast_if_small, free_name, materialize, text_batches
 from gazette.llm.sampling import sample_per_label
 
 DIMENSIONS = 4096
@@ -128,16 +128,17 @@ def fit_on(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) ->
     return fit(weights, sample["lang"].tolist())
 
 
-def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """The columns ``keep`` (all) of ``docs`` with ``lang_pred``, ``score`` and ``rejected``, from the text alone."""
     text_batches(docs.sparkSession)
     kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score", "rejected")]
+    given = free_name(kept, "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x clusters x dimensions numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column(given).to_pylist()
             n = len(texts)
             lang, score, rejected = ["und"] * n, np.zeros(n), np.ones(n, bool)
             some = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if m.languages else []
@@ -153,7 +154,7 @@ def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     schema = T.StructType([*docs.select(*kept).schema.fields, *added])
-    return docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(text).cast("string").alias(given)).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column | None = None) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import bpe, langid, superminhash
+from gazette.llm import bpe, langid, mixing, quality, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned on the folds that are not held out."""
     return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of all documents from their text, host and path."""
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a weighted mix takes from all documents."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
