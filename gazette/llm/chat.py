@@ -100,7 +100,7 @@ def to_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, keep: tu
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for x in reversed(usable):
         if x.messages:
-            made = F.transform(_quoted(x.messages), lambda m, x=x: F.struct(_role(m[x.role]), _text(m[x.text])))
+            made = _messages(x)
         else:
             made = F.array(*[F.struct(_role(F.lit(r)), _text(F.col(_quoted(p)))) for r, p in x.turns])
         hit = F.col("_fingerprint") == fingerprint_of(x.paths)
@@ -108,6 +108,10 @@ def to_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, keep: tu
     return marked.select(*keep, name.alias("layout"), turns.alias("turns"))
 
 
+def _messages(layout: Layout) -> Column:
+    return F.transform(_quoted(layout.messages), lambda m: F.struct(_role(m[layout.role]), _text(m[layout.text])))
+
+
 def _role(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("")).alias("role")
 
@@ -165,7 +169,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return F.struct(unescape_role(role).alias("role"), unescape(text).alias("text"))
 
     # the mask as one entry per piece (NULL: not trained on), so that each piece is cut once
-    spans = F.map_from_entries(F.transform("loss_mask", lambda s: F.struct(s["piece"], F.struct(s["first"].alias("first"), s["length"].alias("length"))))))
+    spans = F.map_from_entries(F.transform("loss_mask", lambda s: F.struct(s["piece"], F.struct(s["first"].alias("first"), s["length"].alias("length")))))
     return (
         cut.withColumn("_spans", spans)
         .select(
