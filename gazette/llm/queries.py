@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import bpe, chat, langid, mixing, quality, sharding, superminhash
+from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, sharding, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,24 @@ SELECT conv_id, count(*) AS n_turns,
     + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id
 """
+
+
+@_query
+def op4_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings of equal labels."""
+    return multiindex.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op4_multiindex"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS vec_id, least(a, min(b)) AS root FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.root, e.vec_id) AS component_id, coalesce(comp.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN comp USING (vec_id)
+"""
