@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, sharding, superminhash
+from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, reputation, sharding, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,55 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.root, e.vec_id) AS component_id, coalesce(comp.root, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN comp USING (vec_id)
 """
+
+
+#: The rules that all pages are judged by.
+RULES = [
+    reputation.Rule("block", "net"),
+    reputation.Rule("allow", "example.net", "/en/"),
+    reputation.Rule("block", "example.com", "/de/"),
+    reputation.Rule("allow", "org", "/fr/"),
+]
+
+
+@_query
+def op9_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls.  A page's outcome is the label of its id: bad if of
+    low quality or toxic."""
+    labels = read_table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return reputation.judge(read_table(spark, sf_dir, "pages"), outcomes, RULES)
+
+
+ORACLE["op9_reputation"] = r"""
+WITH p AS (
+  SELECT page_id,
+    translate(CASE WHEN contains(url, '://') THEN regexp_extract(u, '^[^/?#]*') ELSE '' END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(u, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM (SELECT page_id, url, substr(url, strpos(url, '://') + 3) AS u FROM pages)),
+k AS (SELECT doc_id, avg(CASE WHEN quality = 0 OR toxic = 1 THEN 1.0 WHEN quality IS NULL OR toxic IS NULL THEN NULL ELSE 0.0 END) AS bad FROM labels GROUP BY 1),
+h0 AS (SELECT host, CAST(count(k.bad) AS DOUBLE) AS n, coalesce(sum(k.bad), 0.0) AS bad FROM p LEFT JOIN k ON p.page_id = k.doc_id GROUP BY 1),
+h AS (SELECT *, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM h0),
+g AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS rate FROM h),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1),
+sv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+  SELECT sum(n * (bad / n - rate) ** 2) / sum(n) - sum(rate * (1 - rate)) / sum(n) AS v FROM s0, g WHERE n > 1), g),
+s AS (SELECT suffix, (k * rate + bad) / (k + n) AS m FROM s0, sv, g),
+d0 AS (SELECT h.suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM h JOIN s USING (suffix) GROUP BY 1, 2),
+dv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+  SELECT sum(n * (bad / n - m) ** 2) / sum(n) - sum(m * (1 - m)) / sum(n) AS v FROM d0 WHERE n > 1), g),
+d AS (SELECT suffix, domain, (k * m + bad) / (k + n) AS m FROM d0, dv),
+h1 AS (SELECT h.*, d.m FROM h JOIN d USING (suffix, domain)),
+hv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+  SELECT sum(n * (bad / n - m) ** 2) / sum(n) - sum(m * (1 - m)) / sum(n) AS v FROM h1 WHERE n > 1), g),
+h2 AS (SELECT host, n, k, (k * m + bad) / (k + n) AS mean FROM h1, hv),
+known AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS verdict FROM h2),
+ruled AS (SELECT p.*, known.verdict AS own,
+  CASE WHEN ('.' || p.host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || p.host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || p.host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || p.host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM p JOIN known USING (host))
+SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' ELSE own END AS verdict
+FROM ruled
+"""

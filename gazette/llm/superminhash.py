@@ -17,8 +17,10 @@ Then, in Spark:
 3. each bucket links its members to its smallest id, confirmed on full sets, and
    the links are grouped by union-find (``components``);
 4. buckets that still hold several groups compare all members of different
-   groups by signature, in blocks of bounded size, and the pairs that may reach
-   the threshold are confirmed on full sets as well; the groups are joined again.
+   groups by longer signatures, in blocks of bounded size.  Of the pairs that may reach the
+   threshold, first only the most alike one of each two groups is confirmed on full
+   sets and the groups are joined (so two large groups meet by one link); then all
+   pairs that are left are confirmed and the groups are joined again.
 
 So every candidate pair of a band is either inside one group already or compared.
 
@@ -44,15 +46,18 @@ from gazette.llm.components import components
 
 SLOTS = 128
 BANDS = 32
-#: Slots that must agree before a pair is confirmed on full sets; a pair of
-#: similarity 0.75 agrees on fewer with probability below 1e-6 (mean 96, deviation under 5).
-LEAST_AGREEING = 70
+#: Pairs beyond a bucket's first member are compared by longer signatures of one byte a slot.
+FINE_SLOTS = 1024
+#: Slots of these that must agree before a pair is confirmed on full sets; a pair of
+#: similarity 0.75 agrees on fewer with probability below 1e-6 (mean 769, deviation under 14).
+LEAST_AGREEING = 699
 #: Members of one bucket that are compared with each other in one step.
 BLOCK_ROWS = 512
 
 _STEP = 0x9E3779B97F4A7C15
 _GOLDEN = np.uint64(_STEP)
-_EMPTY = np.uint32(0xFFFFFFFF)
+_LOW = np.uint64(0xFFFFFFFF)
+_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -75,14 +80,33 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
+#: Bytes of permutations that a worker holds at once.
+_PLACES_BYTES = 32 << 20
+
+
 def superminhash(values: np.ndarray, owner: np.ndarray, owners: int, slots: int = SLOTS) -> np.ndarray:
-    """Signatures, one row per owner, of the hashes that each owner holds."""
-    signature = np.full(owners * slots, _EMPTY, np.uint32)
+    """Signatures, one row per owner, of the hashes that each owner holds (sorted by owner):
+    per slot the winning level in the high and its rank in the low 32 bits."""
+    kind = np.uint8 if slots <= 256 else np.uint16
+    room = max(1, _PLACES_BYTES // (slots * np.dtype(kind).itemsize))
+    signature = np.full((owners, slots), _EMPTY, np.uint64)
+    starts = np.searchsorted(owner, np.arange(owners + 1))
+    first = 0
+    while first < owners:
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + room, side="right")) - 1)
+        part = slice(starts[first], starts[last])
+        signature[first:last] = _levels(values[part], owner[part] - first, last - first, slots, kind)
+        first = last
+    return signature
+
+
+def _levels(values: np.ndarray, owner: np.ndarray, owners: int, slots: int, kind: type) -> np.ndarray:
+    signature = np.full(owners * slots, _EMPTY, np.uint64)
     place = None
     for level in range(slots):
         draw = _mix(values + np.uint64(_STEP * (level + 1) & 0xFFFFFFFFFFFFFFFF))
-        pick = level + (((draw & np.uint64(0xFFFFFFFF)) * np.uint64(slots - level)) >> np.uint64(32)).astype(np.int64)
-        value = np.uint32(level << 25) | (draw >> np.uint64(39)).astype(np.uint32)
+        pick = level + (((draw & _LOW) * np.uint64(slots - level)) >> np.uint64(32)).astype(np.int64)
+        value = np.uint64(level << 32) | (draw >> np.uint64(32))
         at = np.arange(len(values))
         if place is None:
             slot = pick
@@ -95,13 +119,23 @@ def superminhash(values: np.ndarray, owner: np.ndarray, owners: int, slots: int
             break
         values, owner = values[open_], owner[open_]
         if place is None:
-            place = np.tile(np.arange(slots, dtype=np.uint8), (len(values), 1))
+            place = np.tile(np.arange(slots, dtype=kind), (len(values), 1))
             place[np.arange(len(values)), pick[open_]] = 0
         else:
             place = place[open_]
     return signature.reshape(owners, slots)
 
 
+def _signed(sets: list[np.ndarray], slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sets that hold anything, and their signatures."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return full, np.empty((0, slots), np.uint64)
+    owner = np.repeat(np.arange(len(full)), sizes[full])
+    return full, superminhash(np.concatenate([sets[i] for i in full]), owner, len(full), slots)
+
+
 FEATURES = "doc_id long, n_shingles long, set_key string, signature binary"
 
 
@@ -109,18 +143,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         sets = [shingle_set(t) for t in texts]
-        sizes = np.array([len(s) for s in sets], np.int64)
-        full = np.flatnonzero(sizes)
         keys: list = [None] * len(sets)
         marks: list = [None] * len(sets)
-        if len(full):
-            owner = np.repeat(np.arange(len(full)), sizes[full])
-            signature = superminhash(np.concatenate([sets[i] for i in full]), owner, len(full))
-            for row, i in enumerate(full):
-                keys[i] = xxhash.xxh3_128_hexdigest(sets[i].tobytes())
-                marks[i] = signature[row].tobytes()
+        for i, signature in zip(*_signed(sets, SLOTS)):
+            keys[i] = xxhash.xxh3_128_hexdigest(sets[i].tobytes())
+            marks[i] = signature.astype(np.uint32).tobytes()  # the ranks; equal ranks of two levels are as rare as equal hashes
+        sizes = pa.array([len(s) for s in sets], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes), pa.array(keys, pa.string()), pa.array(marks, pa.binary())],
+            [ids, sizes, pa.array(keys, pa.string()), pa.array(marks, pa.binary())],
             names=["doc_id", "n_shingles", "set_key", "signature"],
         )
 
@@ -134,6 +164,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "shingles"])
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+        marks: list = [None] * len(sets)
+        for i, signature in zip(*_signed(sets, FINE_SLOTS)):
+            marks[i] = signature.astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["doc_id", "fine"])
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_key, signature`` of every document."""
     text_batches(docs.sparkSession)
@@ -144,14 +183,17 @@ def _may_reach(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents whose ``_id`` is given."""
+    ids = materialize(ids.distinct())
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.join(broadcast_if_small(ids, ids.count()), texts["doc_id"] == ids["_id"], "left_semi")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets reach the similarity."""
     pairs = materialize(pairs)
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    n = ids.count()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    wanted = texts.join(broadcast_if_small(ids, n), texts.doc_id == ids["_id"], "left_semi")
-    sets = materialize(wanted.mapInArrow(_sets, "doc_id long, shingles array<long>"))
+    sets = materialize(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")), docs).mapInArrow(_sets, "doc_id long, shingles array<long>"))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_sb"))
     common = F.size(F.array_intersect("_sa", "_sb"))
@@ -159,23 +201,32 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame:
     return joined.where(F.col("_common") * 100 >= (F.col("_na") + F.col("_nb") - F.col("_common")) * percent).select("a", "b").distinct()
 
 
-def _compare_blocks(least: int, percent: int):
-    """Pairs of different groups in one block pair whose signatures may reach the threshold."""
+def _compare_blocks(least: int, percent: int, best: bool):
+    """Pairs of different groups in one block pair whose signatures may reach the threshold;
+    ``best``: the most alike one of each two groups."""
 
     def pairs_of(g) -> tuple[np.ndarray, np.ndarray]:
-        sig = np.frombuffer(b"".join(g["signature"]), np.uint32).reshape(len(g), -1)
+        sig = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), -1)
         ids, group, n = g["id"].to_numpy(), g["grp"].to_numpy(), g["n"].to_numpy()
         block, bi, bj = g["blk"].to_numpy(), g["bi"].iat[0], g["bj"].iat[0]
         lo, hi = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
-        found_a, found_b = [], []
+        found_a, found_b, alike = [], [], []
         for i in lo:
             with_ = hi[(ids[hi] > ids[i]) if bi == bj else slice(None)]
             with_ = with_[group[with_] != group[i]]
             with_ = with_[np.minimum(n[with_], n[i]) * 100 >= np.maximum(n[with_], n[i]) * percent]
-            with_ = with_[(sig[with_] == sig[i]).sum(axis=1) >= least] if len(with_) else with_
-            found_a.append(np.full(len(with_), ids[i]))
-            found_b.append(ids[with_])
-        return np.concatenate(found_a or [np.empty(0, np.int64)]), np.concatenate(found_b or [np.empty(0, np.int64)])
+            agree = (sig[with_] == sig[i]).sum(axis=1)
+            with_, agree = with_[agree >= least], agree[agree >= least]
+            found_a.append(np.full(len(with_), i))
+            found_b.append(with_)
+            alike.append(agree)
+        a, b = np.concatenate(found_a or [np.empty(0, np.int64)]), np.concatenate(found_b or [np.empty(0, np.int64)])
+        if best and len(a):
+            lo_group, hi_group = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
+            order = np.lexsort((ids[b], ids[a], -np.concatenate(alike), hi_group, lo_group))
+            new = np.concatenate([[True], (np.diff(lo_group[order]) != 0) | (np.diff(hi_group[order]) != 0)])
+            a, b = a[order[new]], b[order[new]]
+        return ids[a], ids[b]
 
     def run(frames):
         import pandas as pd
@@ -202,22 +253,23 @@ def _compare_blocks(least: int, percent: int):
     return run
 
 
-def _crossing(bands: DataFrame, groups: DataFrame, block_rows: int, percent: int) -> DataFrame:
-    """Candidate pairs of buckets that hold several groups."""
-    placed = bands.join(groups, bands["id"] == groups["node"], "left").select("key", "id", "n", "signature", F.coalesce("root", "id").alias("grp"))
-    open_ = (
-        placed.groupBy("key")
-        .agg(F.min("grp").alias("_lo"), F.max("grp").alias("_hi"), F.count(F.lit(1)).alias("_rows"))
-        .where("_lo <> _hi")
-        .select(F.col("key").alias("_key"), F.ceil(F.col("_rows") / block_rows).alias("_blocks"))
-    )
-    rows = placed.join(open_, F.col("key") == F.col("_key")).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+def _open_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several groups, with their group ``grp``."""
+    placed = rows.join(groups, rows["id"] == groups["node"], "left").select(*[rows[c] for c in rows.columns], F.coalesce("root", "id").alias("grp"))
+    several = placed.groupBy("key").agg(F.min("grp").alias("_lo"), F.max("grp").alias("_hi"), F.count(F.lit(1)).alias("_rows")).where("_lo <> _hi")
+    return placed.join(several.select(F.col("key").alias("_key"), "_rows"), F.col("key") == F.col("_key")).drop("_key")
+
+
+def _crossing(rows: DataFrame, groups: DataFrame, block_rows: int, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs between the groups of buckets that hold several."""
+    blocks = F.ceil(F.col("_rows") / block_rows)
+    open_ = _open_rows(rows, groups).withColumn("_blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("_blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
-    dealt = rows.withColumn("_other", other).select(
+    dealt = open_.withColumn("_other", other).select(
         "key", F.least("blk", "_other").alias("bi"), F.greatest("blk", "_other").alias("bj"), "blk", "id", "n", "signature", "grp"
     )
     sorted_ = dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return sorted_.mapInPandas(_compare_blocks(LEAST_AGREEING, percent), "a long, b long").distinct()
+    return sorted_.mapInPandas(_compare_blocks(LEAST_AGREEING, percent, best), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -238,12 +290,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_
         .distinct()
     )
     links = materialize(confirm(star, docs, percent))
-    first = components(links, "a", "b")
-    sides = classes.select(F.col("id").alias("_cid"), "signature", F.col("n").alias("_n")).dropDuplicates(["_cid"])
-    signed = shared.select("key", "id", "n").join(sides, F.col("id") == F.col("_cid"))
-    more = confirm(_crossing(signed, first, block_rows, percent), docs, percent)
-    joined = first.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
-    roots = components(joined, "a", "b")
+    roots = components(links, "a", "b")
+    left = materialize(_open_rows(shared.select("key", "id", "n"), roots).select("key", "id", "n"))
+    fine = _texts_of(left.select(F.col("id").alias("_id")), docs).mapInArrow(_fine, "doc_id long, fine binary").dropDuplicates(["doc_id"])
+    left = materialize(left.join(fine, F.col("id") == F.col("doc_id")).select("key", "id", "n", F.col("fine").alias("signature")).where("signature IS NOT NULL"))
+    for best in (True, False):
+        more = confirm(_crossing(left, roots, block_rows, percent, best), docs, percent)
+        roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more), "a", "b")
 
     keyed = seen.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_key"))
     rep = classes.join(roots, classes["id"] == roots["node"], "left").select(F.col("set_key").alias("_set"), F.coalesce("root", "id").alias("_root"))
