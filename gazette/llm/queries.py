@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, reputation, sharding, superminhash
+from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, reputation, sharding, spotsigs, superminhash
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,9 @@ ruled AS (SELECT p.*, known.verdict AS own,
 SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' ELSE own END AS verdict
 FROM ruled
 """
+
+
+@_query
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.fingerprints(read_table(spark, sf_dir, "documents"))
