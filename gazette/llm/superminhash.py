@@ -206,7 +206,9 @@ def _compare_blocks(least: int, percent: int, best: bool):
     ``best``: the most alike one of each two groups."""
 
     def pairs_of(g) -> tuple[np.ndarray, np.ndarray]:
-        sig = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), -1)
+        fine = np.frombuffer(b"".join(g["fine"]), np.uint8).reshape(len(g), -1)
+        bands = np.frombuffer(b"".join(g["signature"]), np.uint32).reshape(len(g), BANDS, -1)
+        band = g["band"].iat[0]
         ids, group, n = g["id"].to_numpy(), g["grp"].to_numpy(), g["n"].to_numpy()
         block, bi, bj = g["blk"].to_numpy(), g["bi"].iat[0], g["bj"].iat[0]
         lo, hi = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
@@ -215,7 +217,8 @@ def _compare_blocks(least: int, percent: int, best: bool):
             with_ = hi[(ids[hi] > ids[i]) if bi == bj else slice(None)]
             with_ = with_[group[with_] != group[i]]
             with_ = with_[np.minimum(n[with_], n[i]) * 100 >= np.maximum(n[with_], n[i]) * percent]
-            agree = (sig[with_] == sig[i]).sum(axis=1)
+            with_ = with_[(bands[with_] == bands[i]).all(axis=2).argmax(axis=1) == band]  # a pair counts in the first bucket it shares
+            agree = (fine[with_] == fine[i]).sum(axis=1)
             with_, agree = with_[agree >= least], agree[agree >= least]
             found_a.append(np.full(len(with_), i))
             found_b.append(with_)
@@ -266,7 +269,7 @@ def _crossing(rows: DataFrame, groups: DataFrame, block_rows: int, percent: int,
     open_ = _open_rows(rows, groups).withColumn("_blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("_blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
     dealt = open_.withColumn("_other", other).select(
-        "key", F.least("blk", "_other").alias("bi"), F.greatest("blk", "_other").alias("bj"), "blk", "id", "n", "signature", "grp"
+        "key", "band", F.least("blk", "_other").alias("bi"), F.greatest("blk", "_other").alias("bj"), "blk", "id", "n", "signature", "fine", "grp"
     )
     sorted_ = dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
     return sorted_.mapInPandas(_compare_blocks(LEAST_AGREEING, percent, best), "a long, b long").distinct()
@@ -281,7 +284,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_
     )
     width = SLOTS // BANDS * 4
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(BANDS)])
-    slim = classes.select("id", "n", F.explode(keys).alias("key"))
+    slim = classes.select("id", "n", F.posexplode(keys).alias("band", "key"))
     buckets = slim.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = materialize(slim.join(buckets.select("key", "c"), "key"))
     star = (
@@ -291,9 +294,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_
     )
     links = materialize(confirm(star, docs, percent))
     roots = components(links, "a", "b")
-    left = materialize(_open_rows(shared.select("key", "id", "n"), roots).select("key", "id", "n"))
-    fine = _texts_of(left.select(F.col("id").alias("_id")), docs).mapInArrow(_fine, "doc_id long, fine binary").dropDuplicates(["doc_id"])
-    left = materialize(left.join(fine, F.col("id") == F.col("doc_id")).select("key", "id", "n", F.col("fine").alias("signature")).where("signature IS NOT NULL"))
+    left = materialize(_open_rows(shared.select("key", "band", "id", "n"), roots).select("key", "band", "id", "n"))
+    fine = _texts_of(left.select(F.col("id").alias("_id")), docs).mapInArrow(_fine, "doc_id long, fine binary").where("fine IS NOT NULL")
+    signed = fine.join(classes.select("id", "signature"), F.col("doc_id") == F.col("id")).drop("id").dropDuplicates(["doc_id"])
+    left = materialize(left.join(signed, F.col("id") == F.col("doc_id")).drop("doc_id"))
     for best in (True, False):
         more = confirm(_crossing(left, roots, block_rows, percent, best), docs, percent)
         roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more), "a", "b")
