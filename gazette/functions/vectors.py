@@ -39,6 +39,21 @@ def normalize_vec(a) -> Column:
     return F.when(n > 0, F.transform(_c(a), lambda x: x / n))
 
 
+#: Digits to which cosines and their means are rounded before they are compared.
+SIM_DIGITS = 12
+
+
+def widen(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A side whose vectors are all missing has width 0: give it zeros."""
+    if a.shape[1] == b.shape[1]:
+        return a, b
+    if a.shape[1] == 0:
+        return np.zeros((a.shape[0], b.shape[1])), b
+    if b.shape[1] == 0:
+        return a, np.zeros((b.shape[0], a.shape[1]))
+    raise ValueError(f"vector widths differ: {a.shape[1]} vs {b.shape[1]}")
+
+
 def stack(series: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a pandas array column → (unit-row matrix, valid mask).
 

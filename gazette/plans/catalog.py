@@ -206,7 +206,7 @@ def q_dedupe_leaders(spark, sf):
 
 @register("dedupe_leaders_partitioned")
 def q_dedupe_leaders_partitioned(spark, sf):
-    g = dd.similarity_groups(tb.embeddings_articles(spark, sf), SIM_T, local_max_rows=0, block_rows=128)
+    g = dd.similarity_groups(tb.embeddings_articles(spark, sf), SIM_T, block_rows=128)
     return g.filter("seq = leader_seq").select("seq")
 
 
@@ -235,6 +235,12 @@ def q_peel_rank(spark, sf):
     return pl.peel_rank(tb.embeddings_articles(spark, sf)).select("seq", "div_rank")
 
 
+@register("peel_rank_rounds")
+def q_peel_rank_rounds(spark, sf):
+    """The same order from several rounds: most rows stand outside a round's batch."""
+    return pl.peel_rank(tb.embeddings_articles(spark, sf), batch_rows=400, picks=128).select("seq", "div_rank")
+
+
 @register("static_centrality")
 def q_static_centrality(spark, sf):
     return pl.peel_rank(tb.embeddings_articles(spark, sf), mode="static").select("seq", "div_rank")

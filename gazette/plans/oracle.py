@@ -250,6 +250,7 @@ walk(step, sc, k) AS (
 SELECT e.id AS seq, w.step AS div_rank FROM walk w JOIN e ON e.p = w.k WHERE w.step >= 1
 """
 ORACLE["peel_rank"] = PEEL
+ORACLE["peel_rank_rounds"] = PEEL
 
 MEAN_SIM = f"""
 SELECT a.vec_id AS seq, avg({COS}(a.v, b.v)) AS m FROM {EMB} a JOIN {EMB} b ON a.vec_id <> b.vec_id GROUP BY a.vec_id"""

@@ -1,73 +1,67 @@
-"""Plain-Python models of the sequential operators, written from the
-operator definitions (used as brute-force oracles on small inputs)."""
+"""Brute-force models of the sequential operators for small inputs, written
+from their definitions (not from the operators' way of computing them)."""
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 
 
 def cos(a, b):
-    na, nb = np.linalg.norm(a), np.linalg.norm(b)
-    if na == 0 or nb == 0:
-        return float("nan")
-    return float(np.dot(a, b) / (na * nb))
+    length = np.linalg.norm(a) * np.linalg.norm(b)
+    return float(np.dot(a, b) / length) if length else float("nan")
 
 
 def greedy_groups(ids, vecs, t):
-    """Leader scan: the first unabsorbed row leads and absorbs later similar rows."""
-    order = sorted(range(len(ids)), key=lambda k: ids[k])
-    absorbed, leader, sim = set(), {}, {}
-    for pos, i in enumerate(order):
-        if i in absorbed:
-            continue
-        absorbed.add(i)
-        leader[ids[i]] = ids[i]
-        for j in order[pos + 1 :]:
-            if j in absorbed:
-                continue
-            s = cos(vecs[i], vecs[j])
-            if s >= t:
-                absorbed.add(j)
-                leader[ids[j]] = ids[i]
-                sim[ids[j]] = s
+    """A row belongs to the smallest earlier leader it is similar to; without one it leads."""
+    leader, sim = {}, {}
+    for i, v in sorted(zip(ids, vecs), key=lambda x: x[0]):
+        near = {l: cos(vecs[ids.index(l)], v) for l in sorted(set(leader.values()))}
+        found = next((l for l, s in near.items() if round(s, 12) >= t), None)
+        leader[i] = i if found is None else found
+        if found is not None:
+            sim[i] = near[found]
     return leader, sim
 
 
 def peel(ids, vecs):
-    """Repeatedly take the row with the highest mean cosine to the other
-    remaining rows (lowest id on ties, means rounded to 12 digits)."""
-    rem = sorted(range(len(ids)), key=lambda k: ids[k])
-    out = []
-    while rem:
-        if len(rem) <= 2 or any(np.linalg.norm(vecs[i]) == 0 for i in rem):
-            k = rem[0]
-        else:
-            means = [round(float(np.mean([cos(vecs[i], vecs[j]) for j in rem if j != i])), 12) for i in rem]
-            k = rem[int(np.argmax(means))]
-        out.append(ids[k])
-        rem.remove(k)
+    """The order in which rows leave, by the matrix of all cosines."""
+    at = {i: k for k, i in enumerate(ids)}
+    c = np.array([[cos(a, b) for b in vecs] for a in vecs])
+
+    def worth(i, left):
+        others = [at[j] for j in left if j != i]
+        return 0.0 if len(others) < 2 else round(float(c[at[i], others].mean()), 12)
+
+    left, out = set(ids), []
+    while left:
+        undefined = any(not np.linalg.norm(vecs[at[i]]) for i in left)
+        out.append(min(left, key=lambda i: (0.0 if undefined else -worth(i, left), i)))
+        left.remove(out[-1])
     return out
 
 
 def balance(sources, n):
-    """Unrestricted balancing loop on the full list; returns the new order of
-    positions."""
-    m = max(n // 5, 3)
-    lst = list(range(len(sources)))
-    for _ in range(n):
-        top = lst[:n]
-        tc = Counter(sources[i] for i in top)
-        over = [s for s, c in tc.items() if c > m]
-        if not over:
+    """Every row holds a place ``(part, number)``; the list is the rows by place."""
+    most = max(n // 5, 3)
+    place = {row: (0, row) for row in range(len(sources))}
+
+    def by_source():
+        rows = {}
+        for at, row in enumerate(sorted(place, key=place.get)):
+            rows.setdefault(sources[row], []).append((at, row))
+        return rows
+
+    for step in range(1, n + 1):
+        rows = by_source()
+        inside = {s: sum(at < n for at, _ in r) for s, r in rows.items()}
+        crowded = [r[0] for s, r in rows.items() if inside[s] > most]
+        if not crowded:
             break
-        idx = next(k for k, i in enumerate(top) if sources[i] == over[0])
-        lst.append(lst.pop(idx))
-        allc = Counter(sources[i] for i in lst)
-        zero = {s: c for s, c in allc.items() if s not in tc and c > 1}
-        target = max(zero.items(), key=lambda x: x[1])[0] if zero else min(tc.items(), key=lambda x: x[1])[0]
-        p = next(k for k, i in enumerate(lst) if sources[i] == target)
-        if p >= n:
-            lst.insert(0, lst.pop(p))
-    return lst
+        place[min(crowded)[1]] = (1, step)
+        after = by_source()
+        absent = [(-len(r), after[s][0][0], s) for s, r in rows.items() if not inside[s] and len(r) > 1]
+        fewest = [(inside[s], r[0][0], s) for s, r in rows.items() if inside[s]]
+        at, row = after[min(absent or fewest)[2]][0]
+        if at >= n:
+            place[row] = (-1, -step)
+    return sorted(place, key=place.get)
