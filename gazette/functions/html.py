@@ -1,29 +1,29 @@
-"""Per-page HTML helpers run inside Arrow batches (``mapInPandas``).
-
-A small tree builder on the standard-library tokenizer with the semantics the
-page rules rely on: no implied end tags (unclosed ``<p>``/``<b>`` nest), an
-end tag closes its nearest open match and unmatched end tags are ignored,
-void elements never take children, adjacent text and character references
-form one text node, any tag splits text nodes, and the text of ``script``,
-``style``, ``template`` and comments is not page text.
-
-Selectors are the simple forms the rules use: ``tag``, ``tag.class``,
-``tag#id``, ``.class``, ``#id``, ``tag[attr="v"]`` and ``tag[attr*="v"]``.
+"""Page extraction as column expressions.
+
+A page is first rid of comments and of ``script``, ``style`` and ``template``
+elements with all they hold.  An element is found by a pattern for its start tag
+(made from a simple selector: ``tag``, ``.class``, ``#id``, ``[attr="v"]``,
+``[attr*="v"]``) and reaches up to the end tag at which as many elements of its tag
+are closed as were opened, or to the end of the page.  Its text nodes are what
+stands between tags, with character references decoded.
+
+Known limits of this form: a ``>`` inside an attribute ends the tag; an element is
+not ended by its parent's end tag; elements taken out of an article end at the first
+end tag of their name; references need their semicolon.  Nothing recurses, so pages
+of any depth give text.  A NULL page gives NULLs.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
-from urllib.parse import urlparse
+from collections.abc import Callable
+from dataclasses import dataclass
+from html.entities import name2codepoint
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-# HTML void elements (never have children).
-VOID = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split()
-)
-# Elements whose text is not page text.
-NON_TEXT = frozenset(["script", "style", "template"])
+from gazette.functions.urls import resolve_src
 
 # Page rules (live path).
 ARTICLE_SELECTORS = ["article", "div.article", "div.post", "div.entry", "div.content", "div.main", "main"]
@@ -48,13 +48,10 @@ DOMAIN_CONTENT_RULES = [
 GENERIC_CONTENT_SELECTORS = [
     "article", "main", ".post-content", ".article-content", ".story-body", ".entry-content", "#content", ".content",
 ]
-REMOVED_SELECTORS = ["script", "style", "nav", "header", "footer", ".ad", ".advertisement"]
-TECHCRUNCH_IMAGE_SELECTORS = [
-    "img.attachment-post-thumbnail.size-post-thumbnail.wp-post-image",
-    "img.wp-post-image",
-    "img.featured-image",
-    'img[class*="post-thumbnail"]',
-]
+REMOVED_TAGS = ["nav", "header", "footer"]
+REMOVED_CLASSES = ["ad", "advertisement"]
+
+# Domain-rule images.
 GENERIC_IMAGE_SELECTORS = [
     'meta[property="og:image"]',
     'meta[name="twitter:image"]',
@@ -63,260 +60,208 @@ GENERIC_IMAGE_SELECTORS = [
     'img[class*="hero"]',
     'img[class*="featured"]',
 ]
+TECHCRUNCH = "techcrunch.com"
+TECHCRUNCH_IMAGE_SELECTORS = [
+    "img.attachment-post-thumbnail.size-post-thumbnail.wp-post-image",
+    "img.wp-post-image",
+    "img.featured-image",
+    'img[class*="post-thumbnail"]',
+]
+TECHCRUNCH_BODY, TECHCRUNCH_PATHS = "main.template-content", ["wp-content", "techcrunch"]
 SKIP_IMAGE_WORDS = ["icon", "logo", "avatar", "author"]
 SKIP_AUTHOR_WORDS = ["author", "avatar"]
 
+_CUT = "<!>"  # stands where something was taken out; any tag splits text nodes
+_UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
+_TAG = r"<[a-zA-Z/!?][^>]*>"
+_EDGES = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
 
-    def __init__(self, tag, attrs, parent):
-        self.tag = tag
-        self.attrs = attrs
-        self.children = []
-        self.parent = parent
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once for the row."""
+    return F.transform(F.array(value), body)[0]
 
-    def classes(self):
-        return (self.attrs.get("class") or "").split()
 
+@dataclass(frozen=True)
+class Selector:
+    tag: str  # "" for any
+    pattern: str  # of the start tag
 
-class _Text:
-    __slots__ = ("text", "kind")
 
-    def __init__(self, text, kind):
-        self.text = text
-        self.kind = kind  # "text" or "skip"
+def selector(css: str) -> Selector:
+    m = re.fullmatch(r"(\w*)((?:[.#][\w-]+)*)(?:\[([\w:-]+)(\*?=)\"([^\"]*)\"\])?", css)
+    if not m:
+        raise ValueError(f"unsupported selector {css!r}")
+    tag, marks, attr, how, value = m.groups()
 
+    def holds(name: str, inside: str, bare: str) -> str:
+        """Attribute ``name`` with a quoted value like ``inside`` or an unquoted one like ``bare``."""
+        values = [f"{q}{inside.replace('@', q)}{q}" for q in ('"', "'")] + [rf"{bare}(?=[\s>])"]
+        return rf"(?=[^>]*\s(?i:{name})\s*=\s*(?:{'|'.join(values)}))"
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("[document]", {}, None)
-        self.stack = [self.root]
+    pattern = "<" + (f"(?i:{tag})" if tag else r"[a-zA-Z][^\s/>]*") + r"(?=[\s/>])"
+    for kind, name in re.findall(r"([.#])([\w-]+)", marks):
+        one = rf"\Q{name}\E"
+        pattern += holds("class", rf"(?:[^@>]*\s)?{one}(?:\s[^@>]*)?", one) if kind == "." else holds("id", one, one)
+    if attr:
+        one = rf"\Q{value}\E"
+        pattern += holds(attr, one, one) if how == "=" else holds(attr, rf"[^@>]*{one}[^@>]*", rf"[^\s>]*{one}[^\s>]*")
+    return Selector(tag, pattern + "[^>]*>")
 
-    def _append_text(self, data, kind):
-        kids = self.stack[-1].children
-        if kids and isinstance(kids[-1], _Text) and kids[-1].kind == kind:
-            kids[-1].text += data
-        else:
-            kids.append(_Text(data, kind))
 
-    def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
-        self.stack[-1].children.append(node)
-        if tag not in VOID:
-            self.stack.append(node)
+def visible(html: Column) -> Column:
+    """The page without comments and what is never shown."""
+    return F.regexp_replace(html, _UNSEEN, _CUT)
 
-    def handle_startendtag(self, tag, attrs):
-        self.stack[-1].children.append(Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1]))
 
-    def handle_endtag(self, tag):
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                del self.stack[k:]
-                return
+def exists(html: Column, s: Selector) -> Column:
+    return html.rlike(s.pattern)
 
-    def handle_data(self, data):
-        self._append_text(data, "skip" if self.stack[-1].tag in NON_TEXT else "text")
 
-    def handle_comment(self, data):
-        self.stack[-1].children.append(_Text(data, "skip"))
+def first_tag(html: Column, s: Selector) -> Column:
+    return F.regexp_extract(html, s.pattern, 0)
 
 
-def parse(html: str) -> Node:
-    b = _Builder()
-    try:
-        b.feed(html or "")
-        b.close()
-    except Exception:  # noqa: BLE001 - a broken page still yields what was parsed
-        pass
-    return b.root
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a start tag; NULL where the tag lacks it."""
+    pattern = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+    value = F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
+    return F.when(tag.rlike(pattern), decoded(value))
 
 
-def iter_elements(node: Node):
-    for c in node.children:
-        if isinstance(c, Node):
-            yield c
-            yield from iter_elements(c)
+def _upto_end(rest: Column, tag: Column) -> Column:
+    """What an element of ``tag`` holds, from the page behind its start tag."""
+    pattern = F.concat(F.lit("(?i)</?"), tag, F.lit(r"(?=[\s/>])[^>]*>"))
 
+    def cut(marks: Column) -> Column:
+        start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("held"))
+        walked = F.aggregate(
+            marks,
+            start,
+            lambda at, t: F.when(at["open"] == 0, at).otherwise(
+                F.struct((at["open"] + F.when(t.startswith("</"), -1).otherwise(1)).alias("open"), (at["held"] + 1).alias("held"))
+            ),
+        )
+        pieces = F.split(rest, pattern, -1)
+        return _let(walked, lambda w: F.array_join(F.slice(pieces, F.lit(1), w["held"] + F.when(w["open"] == 0, 0).otherwise(1)), _CUT))
 
-_SEL = re.compile(r"^(?P<tag>[a-zA-Z0-9]*)(?P<rest>(?:[.#][\w-]+)*)(?:\[(?P<attr>[\w:-]+)(?P<op>\*?=)\"(?P<val>[^\"]*)\"\])?$")
+    return _let(F.regexp_extract_all(rest, pattern, F.lit(0)), cut)
 
 
-def _matcher(selector: str):
-    m = _SEL.match(selector.strip())
-    if not m:
-        raise ValueError(f"unsupported selector {selector!r}")
-    tag = m.group("tag").lower()
-    classes = re.findall(r"\.([\w-]+)", m.group("rest"))
-    ids = re.findall(r"#([\w-]+)", m.group("rest"))
-    attr, op, val = m.group("attr"), m.group("op"), m.group("val")
-
-    def match(n: Node) -> bool:
-        if tag and n.tag != tag:
-            return False
-        if classes:
-            have = n.classes()
-            if not all(c in have for c in classes):
-                return False
-        if ids and n.attrs.get("id") != ids[0]:
-            return False
-        if attr is not None:
-            v = n.attrs.get(attr)
-            if v is None:
-                return False
-            if op == "=" and v != val:
-                return False
-            if op == "*=" and val not in v:
-                return False
-        return True
-
-    return match
-
-
-def select(node: Node, selector: str) -> list[Node]:
-    """Matches of a selector (or a comma group) in document order."""
-    ms = [_matcher(s) for s in selector.split(",")]
-    return [n for n in iter_elements(node) if any(m(n) for m in ms)]
-
-
-def select_one(node: Node, selector: str):
-    ms = [_matcher(s) for s in selector.split(",")]
-    for n in iter_elements(node):
-        if any(m(n) for m in ms):
-            return n
-    return None
-
-
-def strings(node: Node, removed: frozenset = frozenset()):
-    for c in node.children:
-        if isinstance(c, _Text):
-            if c.kind == "text":
-                yield c.text
-        elif id(c) not in removed:
-            yield from strings(c, removed)
-
-
-def get_text(node: Node, separator: str = "", strip: bool = False, removed: frozenset = frozenset()) -> str:
-    parts = strings(node, removed)
-    if strip:
-        parts = (p.strip() for p in parts)
-        parts = (p for p in parts if p)
-    return separator.join(parts)
-
-
-def resolve_src(page_url: str, src: str) -> str:
-    """Parity rule: prefix ``scheme://netloc`` verbatim unless ``data:``/``http``."""
-    if src.startswith(("data:", "http")):
-        return src
-    p = urlparse(page_url or "")
-    return f"{p.scheme}://{p.netloc}{src}"
-
-
-def _body(root: Node):
-    return select_one(root, "body")
-
-
-def page_text(root: Node):
+def _tag_of(start: Column) -> Column:
+    return F.regexp_extract(start, r"^<([a-zA-Z][^\s/>]*)", 1)
+
+
+def inner(html: Column, s: Selector) -> Column:
+    """What the first element of a selector holds; NULL where there is none."""
+    tag = F.lit(s.tag) if s.tag else F.concat(F.lit(r"\Q"), _tag_of(first_tag(html, s)), F.lit(r"\E"))
+    return F.when(exists(html, s), _upto_end(F.split(html, s.pattern, 2)[1], tag))
+
+
+def every(html: Column, s: Selector) -> Column:
+    """What each element of a selector holds, in order of their start tags, inner ones again."""
+    opened = f"<{s.tag}>"
+
+    def held(parts: Column) -> Column:
+        n = F.size(parts)
+        at = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: _upto_end(F.array_join(F.slice(parts, i, n), opened), F.lit(s.tag)))
+
+    return _let(F.split(html, s.pattern, -1), held)
+
+
+def decoded(text: Column) -> Column:
+    """Character references replaced."""
+    names = F.create_map(*[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))])
+
+    def of(part: Column) -> Column:
+        def put(ref: Column) -> Column:
+            base16 = F.lower(F.substring(ref, 2, 1)) == "x"
+            point = F.when(base16, F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7)).cast("int")
+            real = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+            number = F.when(real, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
+            value = F.when(ref.startswith("#"), number).otherwise(F.try_element_at(names, ref))
+            return F.when((ref == "") | value.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(value, F.substr(part, F.length(ref) + 2)))
+
+        return _let(F.regexp_extract(part, _REFERENCE, 1), put)
+
+    parts = F.split(text, "&", -1)
+    whole = _let(parts, lambda p: F.concat(p[0], F.array_join(F.transform(F.slice(p, F.lit(2), F.size(p)), of), "")))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
+def text_nodes(fragment: Column) -> Column:
+    """The trimmed non-empty text nodes of a fragment."""
+    nodes = F.transform(F.split(fragment, _TAG, -1), lambda t: F.regexp_replace(decoded(t), _EDGES, ""))
+    return F.filter(nodes, lambda t: t != "")
+
+
+def page_title(page: Column) -> Column:
+    held = inner(page, selector("title"))
+    return decoded(F.regexp_replace(held, _TAG, ""))
+
+
+def page_text(page: Column) -> Column:
     """Live-path page text: first existing container of the ordered list, else body."""
-    text = ""
-    for sel in ARTICLE_SELECTORS:
-        el = select_one(root, sel)
-        if el is not None:
-            text = get_text(el, "\n", True)
-            break
-    if not text:
-        body = _body(root)
-        if body is None:
-            return None
-        text = get_text(body, "\n", True)
-    return text
-
-
-def page_image(root: Node, url: str):
-    for sel in IMAGE_META_SELECTORS:
-        el = select_one(root, sel)
-        if el is not None and el.attrs.get("content"):
-            return el.attrs["content"]
-    for img in select(root, "img"):
-        src = img.attrs.get("src")
-        if src:
-            return resolve_src(url, src)
-    return None
-
-
-def page_comments(root: Node):
-    found = []
-    for sel in COMMENT_SELECTORS:
-        for el in select(root, sel):
-            t = get_text(el, " ", True)
-            if t:
-                found.append(t)
-    return "\n\n".join(found) if found else None
-
-
-def page_title(root: Node):
-    el = select_one(root, "title")
-    return get_text(el) if el is not None else None
-
-
-def domain_text(root: Node, domain: str, rules=DOMAIN_CONTENT_RULES):
+    body = F.array_join(text_nodes(inner(page, selector("body"))), "\n")
+    found = F.lit("")
+    for s in map(selector, reversed(ARTICLE_SELECTORS)):
+        found = F.when(exists(page, s), F.array_join(text_nodes(inner(page, s)), "\n")).otherwise(found)
+    return _let(found, lambda t: F.when(t != "", t).otherwise(body))
+
+
+def page_image(page: Column, url: Column) -> Column:
+    """First non-empty image of the meta kinds, verbatim, else the first image of the page, resolved."""
+    metas = [F.nullif(attribute(first_tag(page, selector(css)), "content"), F.lit("")) for css in IMAGE_META_SELECTORS]
+    return F.coalesce(*metas, resolve_src(url, F.get(_sources(page), F.lit(0))))
+
+
+def _sources(fragment: Column) -> Column:
+    """The non-empty ``src`` of all images of a fragment."""
+    tags = F.regexp_extract_all(fragment, F.lit(selector("img").pattern), F.lit(0))
+    return F.filter(F.transform(tags, lambda t: attribute(t, "src")), lambda s: s != "")
+
+
+def page_comments(page: Column) -> Column:
+    """Texts of all elements of the comment selectors, nested ones repeated; NULL without any."""
+    found = F.flatten(F.array(*[every(page, selector(css)) for css in COMMENT_SELECTORS]))
+    texts = F.filter(F.transform(found, lambda x: F.array_join(text_nodes(x), " ")), lambda t: t != "")
+    return _let(texts, lambda t: F.when(F.size(t) > 0, F.array_join(t, "\n\n")))
+
+
+def _without_boilerplate(fragment: Column) -> Column:
+    tags = "|".join(REMOVED_TAGS)
+    classes = "|".join(rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'](?:[^\"'>]*\s)?{c}(?:\s[^\"'>]*)?[\"'])" for c in REMOVED_CLASSES)
+    out = F.regexp_replace(fragment, rf"(?is)<({tags})(?=[\s/>])[^>]*>.*?</\1\s*>", _CUT)
+    return F.regexp_replace(out, rf"(?s)<([a-zA-Z][^\s/>]*)(?=[\s/>])(?:{classes})[^>]*>.*?</\1\s*>", _CUT)
+
+
+def domain_text(page: Column, domain: Column) -> Column:
     """Domain-rule text: a matching domain rule decides alone (a miss is NULL)."""
-    content = None
-    for needle, sel in rules:
-        if needle in domain:
-            content = select_one(root, sel)
-            break
-    else:
-        for sel in GENERIC_CONTENT_SELECTORS:
-            content = select_one(root, sel)
-            if content is not None:
-                break
-    if content is None:
-        return None
-    removed = frozenset(id(n) for n in select(content, ", ".join(REMOVED_SELECTORS)))
-    text = get_text(content, "\n", True, removed)
-    return "\n".join(line.strip() for line in text.split("\n") if line.strip())
-
-
-def domain_image(root: Node, domain: str):
-    if "techcrunch.com" in domain:
-        for sel in TECHCRUNCH_IMAGE_SELECTORS:
-            img = select_one(root, sel)
-            if img is not None and img.attrs.get("src"):
-                src = img.attrs["src"]
-                if not any(w in src.lower() for w in SKIP_AUTHOR_WORDS):
-                    return src
-        for img in _descendant_imgs(root, "main.template-content"):
-            src = img.attrs.get("src")
-            if src and ("wp-content" in src or "techcrunch" in src) and not any(w in src.lower() for w in SKIP_AUTHOR_WORDS):
-                return src
-        return None
-    for sel in GENERIC_IMAGE_SELECTORS:
-        el = select_one(root, sel)
-        if el is not None:
-            return el.attrs.get("content") if el.tag == "meta" else el.attrs.get("src")
-    imgs = []
-    for container in select(root, "article, main"):
-        imgs.extend(i for i in iter_elements(container) if i.tag == "img")
-    seen, ordered = set(), []
-    order = {id(n): k for k, n in enumerate(iter_elements(root))}
-    for i in sorted(imgs, key=lambda n: order[id(n)]):
-        if id(i) not in seen:
-            seen.add(id(i))
-            ordered.append(i)
-    for img in ordered:
-        src = img.attrs.get("src")
-        if src and not any(w in src.lower() for w in SKIP_IMAGE_WORDS):
-            return src
-    return None
-
-
-def _descendant_imgs(root: Node, container_sel: str):
-    out, seen = [], set()
-    for c in select(root, container_sel):
-        for i in iter_elements(c):
-            if i.tag == "img" and id(i) not in seen:
-                seen.add(id(i))
-                out.append(i)
-    return out
+    content = F.coalesce(*[inner(page, selector(css)) for css in GENERIC_CONTENT_SELECTORS])
+    for needle, css in reversed(DOMAIN_CONTENT_RULES):
+        content = F.when(F.contains(domain, F.lit(needle)), inner(page, selector(css))).otherwise(content)
+    lines = F.split(F.array_join(text_nodes(_without_boilerplate(content)), "\n"), "\n", -1)
+    kept = F.filter(F.transform(lines, lambda t: F.regexp_replace(t, _EDGES, "")), lambda t: t != "")
+    return F.array_join(kept, "\n")
+
+
+def domain_image(page: Column, domain: Column) -> Column:
+    """Domain-rule image, by the table of rules above."""
+
+    def free_of(words: list[str]) -> Callable[[Column], Column]:
+        return lambda src: ~F.lower(src).rlike("|".join(words))
+
+    def named(src: Column, words: list[str]) -> Column:
+        return F.when((src != "") & free_of(words)(src), src)
+
+    featured = [named(attribute(first_tag(page, selector(css)), "src"), SKIP_AUTHOR_WORDS) for css in TECHCRUNCH_IMAGE_SELECTORS]
+    hosted = F.filter(_sources(inner(page, selector(TECHCRUNCH_BODY))), lambda s: s.rlike("|".join(TECHCRUNCH_PATHS)) & free_of(SKIP_AUTHOR_WORDS)(s))
+    # elsewhere the first kind of element that exists decides, with or without the attribute
+    inside = F.concat(_sources(F.array_join(every(page, selector("article")), "")), _sources(F.array_join(every(page, selector("main")), "")))
+    other = F.get(F.filter(inside, free_of(SKIP_IMAGE_WORDS)), F.lit(0))
+    for css in reversed(GENERIC_IMAGE_SELECTORS):
+        s = selector(css)
+        other = F.when(exists(page, s), attribute(first_tag(page, s), "content" if s.tag == "meta" else "src")).otherwise(other)
+    return F.when(F.contains(domain, F.lit(TECHCRUNCH)), F.coalesce(*featured, F.get(hosted, F.lit(0)))).otherwise(other)

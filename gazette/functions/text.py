@@ -15,6 +15,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Keywords up to which a list becomes one OR-chain in generated code.
+INLINE_KEYWORDS = 256
+
+
+def content_key(url: str | Column, content: str | Column, n_chars: int = 100) -> Column:
+    """Key of a piece of content: MD5 of its url and the first ``n_chars`` characters (NULL content: none)."""
+    u, c = (F.col(x) if isinstance(x, str) else x for x in (url, content))
+    return F.md5(F.concat(u, F.coalesce(F.substring(c, 1, n_chars), F.lit(""))))
+
+
 def _lowered(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(F.lower(c), F.lit(""))
@@ -42,6 +52,9 @@ def any_keyword(keywords: Sequence[str], cols: Sequence[str | Column] = ("title"
     kws = normalize_keywords(keywords)
     if not kws:
         return F.lit(False)
+    if len(kws) > INLINE_KEYWORDS:  # a list literal instead of one expression per keyword
+        listed = F.lit(kws)
+        return _with_lowered(cols, lambda low: F.exists(listed, lambda k: reduce(lambda a, b: a | b, [F.contains(c, k) for c in low])))
     return _with_lowered(
         cols, lambda low: reduce(lambda a, b: a | b, [F.contains(c, F.lit(k)) for k in kws for c in low])
     )

@@ -1,39 +1,25 @@
-"""Vector helpers: Column-level cosine / normalisation and the default title
-encoder.
+"""Vector helpers: scaling to length 1 and the default title encoder.
 
-Pairwise work never goes through these Column functions in bulk — the
-similarity joins in :mod:`gazette.operators.simjoin` compute block products
-with numpy.  ``cosine`` is for row-level use (one pair per row).
+Pairwise work goes through block products with numpy, in
+:mod:`gazette.operators.simjoin`.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def norm(a) -> Column:
     return F.sqrt(F.aggregate(_c(a), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def cosine(a, b) -> Column:
-    """a·b / (‖a‖‖b‖); NULL for a zero vector (ANSI-safe ``try_divide``)."""
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
-
-
 def normalize_vec(a) -> Column:
     n = norm(a)
     return F.when(n > 0, F.transform(_c(a), lambda x: x / n))
@@ -74,31 +60,24 @@ def stack(series: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return m, valid
 
 
-_TOKEN = re.compile(r"\w+", re.UNICODE)
-
+# Fixed value: what stands between tokens (runs of letters, digits and underscores).
+TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
 
-def hashed_bow(texts: pd.Series, dim: int) -> pd.Series:
-    import xxhash
 
-    out = []
-    for t in texts:
-        v = np.zeros(dim, dtype=np.float64)
-        if t:
-            for tok in _TOKEN.findall(t.lower()):
-                v[xxhash.xxh64_intdigest(tok) % dim] += 1.0
-        n = np.linalg.norm(v)
-        out.append(v / n if n > 0 else v)
-    return pd.Series(out)
+def hashed_bow_encoder(dim: int = 256):
+    """Default deterministic title encoder: a hashed bag of words scaled to length 1,
+    as a column expression.  A token counts in the place that the first 32 bits of its
+    MD5 give.  Plug a pandas UDF of a model in its place for semantic embeddings."""
 
+    def encode(title: Column) -> Column:
+        tokens = F.filter(F.split(F.lower(F.coalesce(title, F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
+        places = F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % dim)
 
-def hashed_bow_encoder(dim: int = 256):
-    """Default deterministic title encoder: L2-normalised hashed bag of words
-    (a pandas UDF, Arrow-batched).  Plug a model-backed pandas UDF with the same
-    signature in its place for semantic embeddings."""
+        def counted(at: Column) -> Column:
+            counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(at, lambda p: p == i)).cast("double"))
+            return F.transform(F.array(counts), lambda c: F.coalesce(normalize_vec(c), c))[0]
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def encode(texts: pd.Series) -> pd.Series:
-        return hashed_bow(texts, dim)
+        return F.transform(F.array(places), counted)[0]
 
     return encode
 

@@ -11,31 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazette.functions.text import any_keyword, matched_keywords, normalize_keywords
-
-# Keyword lists longer than this are matched through a broadcast keyword table
-# instead of one OR-chain (the list lives on the driver, so its size is known).
-INLINE_KEYWORD_LIMIT = 256
+from gazette.functions.text import any_keyword, matched_keywords
+from gazette.plans.stored import join_on
 
 # Placeholder texts the dry-run mode writes instead of a summary.
 DRY_RUN_SUMMARY = "Summary not generated in dry run mode"
 DRY_RUN_WHY_CARE = "Insights not generated in dry run mode"
 
 
-def _keyword_join(df: DataFrame, keywords: Sequence[str], cols: Sequence[str], how: str) -> DataFrame:
-    spark = df.sparkSession
-    kw = spark.createDataFrame([(k,) for k in normalize_keywords(keywords)], "kw string")
-    cond = None
-    for c in cols:
-        hit = F.contains(F.coalesce(F.lower(df[c]), F.lit("")), kw["kw"])
-        cond = hit if cond is None else cond | hit
-    return df.join(F.broadcast(kw), cond, how)
-
-
 def keyword_filter(df: DataFrame, keywords: Sequence[str], cols: Sequence[str] = ("title", "summary")) -> DataFrame:
     """Keep rows matching at least one keyword; an empty list keeps nothing."""
-    if len(keywords) > INLINE_KEYWORD_LIMIT:
-        return _keyword_join(df, keywords, cols, "left_semi")
     return df.filter(any_keyword(keywords, cols))
 
 
@@ -43,8 +28,6 @@ def negative_keyword_filter(
     df: DataFrame, keywords: Sequence[str], cols: Sequence[str] = ("title", "summary")
 ) -> DataFrame:
     """Drop rows matching any keyword; an empty list keeps everything."""
-    if len(keywords) > INLINE_KEYWORD_LIMIT:
-        return _keyword_join(df, keywords, cols, "left_anti")
     return df.filter(~any_keyword(keywords, cols))
 
 
@@ -90,6 +73,18 @@ def stage_counts(
     ).withColumn("n_rows", F.col("n_rows").cast("bigint"))
 
 
+def count_stages(stages: Sequence[tuple[str, DataFrame]], by: str = "digest_id") -> DataFrame:
+    """``(by, stage_ord, stage, n_rows)`` of any chain of stages, given as names and
+    frames in order; a digest that a stage empties counts 0 there."""
+    first = stages[0][1].select(by).distinct()
+    out = None
+    for i, (name, frame) in enumerate(stages):
+        n = join_on(first, frame.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows")), [by], "left")
+        part = n.select(by, F.lit(i).alias("stage_ord"), F.lit(name).alias("stage"), F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def dry_run(df: DataFrame) -> DataFrame:
     """Enrichment stand-in: fixed summary / insight placeholders, no page reads."""
     return df.withColumn("generated_summary", F.lit(DRY_RUN_SUMMARY)).withColumn("why_care", F.lit(DRY_RUN_WHY_CARE))

@@ -1,47 +1,20 @@
-"""Landed pages → extracted fields, one parse per page inside Arrow batches.
+"""Landed pages → extracted fields, as column expressions over the page's text.
 
-``extract_pages`` is row-parallel: pages are spread by the scan (or by
-``repartition(n, url)`` when a few hosts dominate), every batch is parsed with
-the standard-library tokenizer, and only the extracted columns (never the raw
-HTML) flow into later joins.
+Each page is one row from scan to output: no shuffle, no Python worker, and only
+the extracted columns (never the raw HTML) flow into later joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette.functions import html as H
 from gazette.functions.urls import url_domain
 
-EXTRACTED = [
-    ("title", "string"),
-    ("text", "string"),
-    ("image_url", "string"),
-    ("comments", "string"),
-    ("text_rules", "string"),
-    ("image_rules", "string"),
-]
-
-
-def extract_page(url: str | None, html: str | None, domain: str | None = None, fields=None) -> dict:
-    names = [n for n, _ in EXTRACTED if fields is None or n in fields]
-    if html is None:
-        return {name: None for name in names}
-    root = H.parse(html)
-    dom = domain or ""
-    rules = {
-        "title": lambda: H.page_title(root),
-        "text": lambda: H.page_text(root),
-        "image_url": lambda: H.page_image(root, url or ""),
-        "comments": lambda: H.page_comments(root),
-        "text_rules": lambda: H.domain_text(root, dom),
-        "image_rules": lambda: H.domain_image(root, dom),
-    }
-    return {name: rules[name]() for name in names}
+FIELDS = ("title", "text", "image_url", "comments", "text_rules", "image_rules")
 
 
 def extract_pages(
@@ -56,25 +29,17 @@ def extract_pages(
 
     ``text``/``image_url``/``comments`` follow the live page rules;
     ``text_rules``/``image_rules`` the per-domain rules (domain = URL authority).
-    When the scan yields fewer splits than the session's parallelism (a few big
-    landed files), pages are spread by URL hash first so parsing is not left to
-    one Python worker.
     """
     keep = [c for c in keep if c not in (url, html)]
-    wanted = [(n, t) for n, t in EXTRACTED if fields is None or n in fields]
-    src = pages.select(*keep, F.col(url).alias("url"), F.col(html).alias("html"), url_domain(F.col(url)).alias("_domain"))
-    parallelism = pages.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < parallelism:
-        src = src.repartition(parallelism, "url")
-    key_schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    schema = ", ".join(([key_schema] if key_schema else []) + ["url string"] + [f"{n} {t}" for n, t in wanted])
-    names = [n for n, _ in wanted]
-
-    def run(it):
-        for pdf in it:
-            rows = [extract_page(u, h, d, names) for u, h, d in zip(pdf["url"], pdf["html"], pdf["_domain"])]
-            out = pdf[[*keep, "url"]].reset_index(drop=True)
-            ext = pd.DataFrame(rows, columns=names)
-            yield pd.concat([out, ext], axis=1)
-
-    return src.mapInPandas(run, schema)
+    base = pages.select(*keep, F.col(url).alias("url"), F.col(html).alias("_html"))
+    page, at, domain = F.col("_page"), F.col("url"), F.coalesce(url_domain("url"), F.lit(""))
+    made = {
+        "title": lambda: H.page_title(page),
+        "text": lambda: H.page_text(page),
+        "image_url": lambda: H.page_image(page, at),
+        "comments": lambda: H.page_comments(page),
+        "text_rules": lambda: H.domain_text(page, domain),
+        "image_rules": lambda: H.domain_image(page, domain),
+    }
+    seen = base.withColumn("_page", H.visible(F.col("_html")))
+    return seen.select(*keep, "url", *[made[f]().alias(f) for f in FIELDS if fields is None or f in fields])

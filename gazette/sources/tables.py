@@ -6,7 +6,7 @@ column pruning and filter pushdown reach the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,17 +18,17 @@ def first_line(col: str = "text"):
     return F.substring_index(F.col(col), "\n", 1)
 
 
-def documents_articles(spark: SparkSession, sf_dir: str, digest: str = "documents") -> DataFrame:
-    """``documents`` as one digest: title = first line of text, summary = text."""
+def documents_articles(spark: SparkSession, sf_dir: str, digest: str | Column = "documents", source: str = "source") -> DataFrame:
+    """``documents`` as one digest (or one per value of a column): title = first line of text, summary = text."""
     d = read_table(spark, sf_dir, "documents")
     return d.select(
-        F.lit(digest).alias("digest_id"),
+        (F.lit(digest) if isinstance(digest, str) else digest).alias("digest_id"),
         F.col("doc_id").alias("seq"),
         first_line("text").alias("title"),
         F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("link"),
         F.lit(None).cast("timestamp").alias("published"),
         F.col("text").alias("summary"),
-        F.col("source"),
+        F.col(source).alias("source"),
         F.lit(None).cast("string").alias("comments_link"),
         F.lit(None).cast("array<double>").alias("embedding"),
     )

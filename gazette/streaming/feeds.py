@@ -14,19 +14,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.functions.text import any_keyword
 from gazette.functions.urls import clean_url
-from gazette.sources.feeds import assign_seq, isolate_feeds, parse_feeds
+from gazette.functions.vectors import embed
+from gazette.operators.render import render_reports
+from gazette.plans.digest import DigestConfig, enrich, rank_and_select
+from gazette.plans.stored import stored
+from gazette.sources.feeds import assign_seq, decoded_files, isolate_feeds, parse_feeds
+from gazette.sources.history import read_headlines, write_reports
 
 
 def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", "true")
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path).select(F.col("_metadata.file_name").alias("feed"), F.col("value"))
+    return decoded_files(reader.load(path))
 
 
 def stream_articles(
@@ -47,14 +53,45 @@ def stream_articles(
 
 
 def suppress_repeats(articles: DataFrame, lookback_days: int = 7, ts: str = "published") -> DataFrame:
-    """Drop a later arrival of the same clean URL seen within the watermark."""
+    """Drop a later arrival of the same clean URL seen within the watermark.  An article
+    without a date counts as seen when it arrives (``seen_at``)."""
     return (
         articles.withColumn("clean_url", clean_url(F.col("link")))
-        .withWatermark(ts, f"{lookback_days} days")
+        .withColumn("seen_at", F.coalesce(F.col(ts), F.current_timestamp()))
+        .withWatermark("seen_at", f"{lookback_days} days")
         .dropDuplicatesWithinWatermark(["clean_url"])
     )
 
 
+def daily_digest_fn(cfg: DigestConfig, report_path: str, **enrichment: DataFrame) -> Callable[[DataFrame, int], None]:
+    """A ``digest_fn``: the batch pipeline on each day of a micro-batch.
+
+    Reports of the days before (``report_path``) are the history, each digest seeing
+    its own; a day's own report is not, so a replayed batch writes the same report.
+    ``enrichment`` is passed to the enrichment step (pages, responses, ...).
+    """
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        day = F.to_date("published")
+        articles = stored(batch.filter(F.col("published").isNotNull()).withColumn("digest_date", day))
+        days = articles.agg(F.min("digest_date").alias("first"), F.max("digest_date").alias("last")).head()
+        if days["first"] is None:
+            return
+        spark = batch.sparkSession
+        reach = (days["last"] - days["first"]).days + cfg.novelty_lookback_days
+        try:
+            past = stored(read_headlines(spark, report_path, str(days["last"]), reach + 1))
+        except AnalysisException:  # no report yet
+            past = None
+        for at in [r["digest_date"] for r in articles.select("digest_date").distinct().orderBy("digest_date").collect()]:
+            today = articles.filter(F.col("digest_date") == F.lit(at))
+            history = None if past is None else embed(past.filter(F.col("digest_date") < F.lit(at)), "headline", encoder=cfg.encoder)
+            top = enrich(rank_and_select(today, cfg, history), cfg, **enrichment)
+            write_reports(render_reports(top, title=cfg.title, block=cfg.block), report_path)
+
+    return run
+
+
 def run_daily_digests(
     articles: DataFrame,
     digest_fn: Callable[[DataFrame, int], DataFrame],

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from gazette.functions.text import INLINE_KEYWORDS, content_key
 from gazette.operators import filters as flt
 from gazette.plans.stages import Pipeline
 
@@ -38,9 +39,9 @@ def test_negative_is_complement(spark):
     assert pos | neg == {1, 2, 3, 4} and not pos & neg
 
 
-def test_long_keyword_lists_use_the_join_path(spark):
+def test_long_keyword_lists(spark):
     df = _arts(spark, ROWS)
-    kws = [f"zz{i}" for i in range(flt.INLINE_KEYWORD_LIMIT + 5)] + ["tomato"]
+    kws = [f"zz{i}" for i in range(INLINE_KEYWORDS + 5)] + ["tomato"]
     assert [r.seq for r in flt.keyword_filter(df, kws).collect()] == [2]
     assert sorted(r.seq for r in flt.negative_keyword_filter(df, kws).collect()) == [1, 3, 4]
 
@@ -72,3 +73,17 @@ def test_top_n_per_digest(spark):
 def test_dry_run_placeholders(spark):
     out = flt.dry_run(_arts(spark, ROWS)).select("generated_summary", "why_care").distinct().collect()
     assert len(out) == 1 and out[0].generated_summary.startswith("Summary not generated")
+
+
+def test_counts_of_any_chain_of_stages(spark):
+    df = _arts(spark, ROWS + [(None, 9, "x", "y", "a")])
+    out = flt.count_stages([("input", df), ("rust", flt.keyword_filter(df, ["rust"])), ("none", df.limit(0))])
+    got = {(r.digest_id, r.stage): r.n_rows for r in out.collect()}
+    assert got == {("d", "input"): 4, ("d", "rust"): 2, ("d", "none"): 0, (None, "input"): 1, (None, "rust"): 0, (None, "none"): 0}
+
+
+def test_content_key(spark):
+    import hashlib
+
+    df = spark.createDataFrame([("u", "x" * 150), ("u", None)], "u string, c string").select(content_key("u", "c").alias("k"))
+    assert [r.k for r in df.collect()] == [hashlib.md5(("u" + "x" * 100).encode()).hexdigest(), hashlib.md5(b"u").hexdigest()]

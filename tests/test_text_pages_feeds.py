@@ -2,53 +2,40 @@ import re
 
 from pyspark.sql import functions as F
 
-from gazette.functions import html as H
 from gazette.functions.markdown import extract_headings, normalize_headers
 from gazette.operators import render as rd
-from gazette.operators.pages import extract_page
-from gazette.sources.feeds import isolate_feeds, parse_feeds
-
-
-def _py_normalize(content):
-    lines = content.split("\n")
-    pat = re.compile(r"^(#{1,6})\s+(.+)$")
-    levels = [len(m.group(1)) for m in map(pat.match, lines) if m]
-    shift = 1 in levels and 2 in levels
-    out = []
-    for line in lines:
-        m = pat.match(line)
-        if not m:
-            out.append(line)
-            continue
-        lvl, text = len(m.group(1)), m.group(2)
-        if lvl == 1:
-            out.append(f"### {text}")
-        elif lvl == 2 and shift:
-            out.append(f"#### {text}")
-        else:
-            out.append("#" * min(4, lvl + 1) + f" {text}")
-    return "\n".join(out)
-
-
-CASES = [
-    "# A\nbody",
-    "## B\ntext",
-    "# A\n## B\n### C",
-    "#### d\n##### e\n###### f",
-    "#x no\n####### seven",
-    "#   spaced\n##\ttab",
-    "plain\n\ntrailing\n",
-    "# nbsp header",
-    "# title with separator",
-    "# carriage\r",
-]
-
-
-def test_normalize_headers_matches_python_rule(spark):
-    df = spark.createDataFrame([(c,) for c in CASES], "t string")
-    got = [r.n for r in df.select(normalize_headers("t").alias("n")).collect()]
-    assert got == [_py_normalize(c) for c in CASES]
-    assert all(not re.search(r"(?m)^## ", g) for g in got)
+from gazette.operators.pages import extract_pages
+from gazette.sources.feeds import feed_counts, isolate_feeds, parse_feeds, read_all, read_feed_files
+
+
+#: text → what header re-levelling makes of it
+LEVELLED = {
+    "# A\nbody": "### A\nbody",
+    "## B\ntext": "### B\ntext",
+    "# A\n## B\n### C": "### A\n#### B\n#### C",
+    "#### d\n##### e\n###### f": "#### d\n#### e\n#### f",
+    "### c\nx": "#### c\nx",
+    "#x no\n####### seven": "#x no\n####### seven",
+    "#   spaced\n##\ttab": "### spaced\n#### tab",
+    "plain\n\ntrailing\n": "plain\n\ntrailing\n",
+    "#\u00a0nbsp header": "### nbsp header",
+    "#\x1ctitle with separator": "### title with separator",
+    "# line\u2028separator": "### line\u2028separator",
+    "# carriage\r": "### carriage\r",
+}
+
+
+def test_normalize_headers(spark):
+    df = spark.createDataFrame([(c,) for c in LEVELLED], "t string")
+    got = {r.t: r.n for r in df.select("t", normalize_headers("t").alias("n")).collect()}
+    assert got == LEVELLED
+    assert all(not re.search(r"(?m)^## ", g) for g in got.values())
+
+
+ARTICLE = (
+    "digest_id string, final_rank int, title string, source string, link string, image_url string, "
+    "generated_summary string, why_care string, related array<struct<seq:bigint,title:string,link:string>>"
+)
 
 
 def test_render_parse_round_trip(spark):
@@ -70,31 +57,72 @@ def test_render_parse_round_trip(spark):
     parsed = rd.parse_reports(spark.createDataFrame([("d", md)], "digest_id string, markdown string")).orderBy("position").collect()
     assert [p.title for p in parsed] == ["First   title", "Second"]
     assert parsed[0].image_url == "http://img/a.png" and parsed[1].image_url is None
+    assert [tuple(x) for x in parsed[0].related] == [("Rel", "http://r")] and parsed[1].related == []
+    assert [p.link for p in parsed] == ["http://a", "http://b"]
+
 
+def test_rules_and_links_in_a_body_survive_the_round_trip(spark):
+    body = "before\n\n---\n\n# title\n[Read more](x) of it\n\n---\n"
+    rows = [("d", 1, "One", "s", "http://a(1)", None, body, "why", [(5, "R [x](y)", "http://r")]), ("d", 2, "Two", "s", "http://b", None, "", "", [])]
+    df = spark.createDataFrame(rows, ARTICLE).withColumn("digest_date", F.lit("2025-06-08").cast("date"))
+    parsed = rd.parse_reports(rd.render_reports(df)).orderBy("position").collect()
+    assert [(p.title, p.link) for p in parsed] == [("One", "http://a(1)"), ("Two", "http://b")]
+    assert parsed[0].body.startswith("before\n\n---\n\n### title\n[Read more](x) of it\n\n---\n")
+    assert [tuple(x) for x in parsed[0].related] == [("R [x](y)", "http://r")]
 
-def test_page_rules_on_handwritten_pages():
+
+def test_a_block_template_of_ones_own(spark):
+    df = spark.createDataFrame([("d", 1, "One", "s", "l", None, "t", "", [])], ARTICLE).withColumn("digest_date", F.lit("2025-06-08").cast("date"))
+    out = rd.render_reports(df, block=lambda **cols: F.concat(F.lit("* "), F.col("title"), F.lit("\n"))).head()
+    assert out.markdown == "# Daily Reading List - 2025-06-08\n\n* One\n"
+
+
+def _extract(spark, rows, *fields):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, url string, html string")
+    return [r.asDict() for r in extract_pages(df, keep=["i"], fields=fields or None).orderBy("i").collect()]
+
+
+def test_page_rules_on_handwritten_pages(spark):
     page = (
         '<html><head><meta property="og:image" content=""><meta name="twitter:image" content="/tw.png">'
         "<title>T &amp; U</title></head><body><article><p>One <b>two</p> three"
         "<script>var x='<p>';</script></article><div class=\"comments\"><div class=\"comment\">c1</div>"
         '<div class="comment">c2</div></div></body></html>'
     )
-    x = extract_page("https://h.example/p", page)
+    img = '<html><body><img src=""><img src="a.png"><article></article><p>x</p></body></html>'
+    nested = "<body><div class='x post y'><div>in &#8364;&#x1F600;&eacute;&nope;</div>tail<!-- <p>no</p> --></div>out</body>"
+    x, y, z, t, none = _extract(
+        spark,
+        [("https://h.example/p", page), ("https://h.example/p", img), ("u", nested), ("u", "<body><article>a<template><p>hidden</p></template></article>"), ("u", "<html><p>no body</p></html>")],
+        "title", "text", "image_url", "comments",
+    )
     assert x["title"] == "T & U"
     assert x["text"] == "One\ntwo\nthree"
     assert x["image_url"] == "/tw.png"  # verbatim, relative stays relative
     assert x["comments"] == "c1 c2\n\nc1\n\nc2"  # nested matches repeat
-    img = '<html><body><img src=""><img src="a.png"><article></article><p>x</p></body></html>'
-    y = extract_page("https://h.example/p", img)
     assert y["image_url"] == "https://h.examplea.png"
     assert y["text"] == "x"  # empty article falls back to body
-    assert extract_page("u", "<html><p>no body</p></html>")["text"] is None
+    assert z["text"] == "in €😀é&nope;\ntail" and z["comments"] is None
+    assert t["text"] == "a" and none["text"] is None
+
 
+def test_no_page_fails_a_job(spark):
+    deep = "<body>" + "<li>" * 100_000 + "deep"
+    rows = [("http://[x/y", "<img src='a.png'><body><p>t"), (None, None), ("http://a/", ""), ("http://a/", "<article <p>< & &#xFFFFFFF; &#0; &"), ("u", "<div class=comments>" * 50 + "c"), ("u", deep)]
+    got = _extract(spark, rows)
+    assert got[0]["image_url"] == "http://[xa.png" and got[1]["text"] is None and got[5]["text"] == "deep"
+    assert got[4]["comments"] == "\n\n".join(["c"] * 50)
 
-def test_domain_rules_remove_boilerplate():
-    page = "<body><article><nav>menu</nav><p>keep</p><div class=\"ad\">buy</div><footer>f</footer></article></body>"
-    assert H.domain_text(H.parse(page), "example.com") == "keep"
-    assert H.domain_text(H.parse(page), "techcrunch.com") is None  # a matching domain rule that misses decides
+
+def test_domain_rules(spark):
+    page = "<body><article><nav>menu</nav><p>keep</p><div class=\"box ad\">buy</div><footer>f</footer><img src='/logo.png'><img src='pic.png'></article></body>"
+    tech = "<body><main class='a template-content'><img class='wp-post-image' src='/author.png'><img src='/wp-content/x.png'>text</main></body>"
+    hero = "<body><img class='big hero-x'><article>t<img src='p.png'></article></body>"
+    a, b, c, d = _extract(spark, [("http://example.com/1", page), ("https://techcrunch.com/1", page), ("https://techcrunch.com/2", tech), ("http://e.org/", hero)], "text_rules", "image_rules")
+    assert (a["text_rules"], a["image_rules"]) == ("keep", "pic.png")
+    assert (b["text_rules"], b["image_rules"]) == (None, None)  # a matching domain rule that misses decides
+    assert (c["text_rules"], c["image_rules"]) == ("text", "/wp-content/x.png")
+    assert d["image_rules"] is None  # the first existing element decides, even without the attribute
 
 
 RSS = """<rss version="2.0"><channel><title>T</title>
@@ -117,6 +145,36 @@ def test_feed_parse_and_isolation(spark):
     assert isolate_feeds(e, "drop_entry").count() == 2
 
 
+RDF = """<?xml version="1.0"?><!-- <feed > --><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dc="http://purl.org/dc/elements/1.1/">
+<channel><title>x</title></channel><item><title>T</title><link>http://a</link><dc:date>2025-06-10T04:00:00Z</dc:date><description>d</description></item></rdf:RDF>"""
+
+
+def test_feed_shapes_are_told_by_their_root(spark):
+    trick = RSS.replace("<p>x</p>", "see <feed > tag")
+    files = spark.createDataFrame([("rdf", RDF), ("trick", trick), ("broken", "<rss><channel>"), ("empty", ""), ("null", None)], "feed string, value string")
+    got = parse_feeds(files).collect()
+    assert sorted((r.feed, r.title) for r in got) == [("rdf", "T"), ("trick", "A & B"), ("trick", "No summary")]
+    counts = {r.feed: (r.parsed, r.n_entries, r.n_complete) for r in feed_counts(files).collect()}
+    assert counts == {"rdf": (True, 1, 1), "trick": (True, 2, 1), "broken": (False, 0, 0), "empty": (False, 0, 0), "null": (False, 0, 0)}
+
+
+def test_declared_encodings(spark, tmp_path):
+    for name, charset in (("a", "ISO-8859-1"), ("b", "UTF-16"), ("c", "UTF-8")):
+        (tmp_path / f"{name}.xml").write_bytes((f'<?xml version="1.0" encoding="{charset}"?>' + RSS.replace("A &amp; B", "café")).encode(charset))
+    got = parse_feeds(read_feed_files(spark, str(tmp_path))).filter("entry_ord = 0").collect()
+    assert sorted((r.feed, r.title) for r in got) == [("a.xml", "café"), ("b.xml", "café"), ("c.xml", "café")]
+
+
+def test_custom_sources_keep_registration_order(spark):
+    kind = "entry_ord int, title string, link string, published timestamp, summary string, comments_link string"
+
+    def of(*titles):
+        return lambda s: s.createDataFrame([(i, t, "l", None if t == "bad" else __import__("datetime").datetime(2025, 1, 1), "s", None) for i, t in enumerate(titles)], kind)
+
+    got = read_all(spark, [("z", of("a", "bad", "b")), ("y", of("c"))]).orderBy("seq").collect()
+    assert [(r.source, r.title) for r in got] == [("z", "a"), ("z", "b"), ("y", "c")]
+
+
 def test_read_feeds_from_files_in_registration_order(spark):
     import os
     import tempfile
