@@ -20,6 +20,8 @@ HEADLINE = [
     "top_n",
     "arrival_seq",
     "cosine_pairs",
+    "bow_similarity",
+    "dedupe_leaders_partitioned",
     "novelty_filter",
     "novelty_scores",
     "dedupe_leaders",
