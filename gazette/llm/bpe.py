@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from gazette.llm.common import free_name, text_batches
 
 #: Words whose ids a Python worker remembers; then it starts anew.  Results don't depend on it.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 100_000
 _NO_RANK = np.iinfo(np.int64).max
 
 # The characters of Unicode's White_Space property, as \s means them in the file's pattern.
@@ -221,9 +221,29 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return df.select(*kept, F.col(ids).cast("array<int>").alias(given)).mapInArrow(run, _add_column(df.select(*kept), out, T.StringType()))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass of one worker: the columns ``keep`` (all), ``ids`` and ``decoded``."""
+    text_batches(df.sparkSession)
+    kept = [c for c in keep or df.columns if c not in ("ids", "decoded")]
+    given = free_name(kept, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _load(path)
+        for batch in batches:
+            ids, counts = bpe.encode_batch(batch.column(given).to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            texts = [bpe.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists, pa.array(texts, pa.string())], names=[*kept, "ids", "decoded"])
+
+    base = df.select(*kept)
+    schema = T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    return df.select(*kept, F.col(text).cast("string").alias(given)).mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, and its ``ids`` if wanted."""
-    both = decode(encode(docs.select("doc_id", "text"), path, keep=["doc_id"]), path)
+    both = round_trip(docs, path, keep=["doc_id"])
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

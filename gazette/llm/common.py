@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gazette.session import ensure_checkpoint_dir
 
 #: Rows of text that one Arrow batch holds at most; bounds a Python worker's memory.
-TEXT_BATCH_ROWS = 256
+TEXT_BATCH_ROWS = 128
 #: Rows up to which an id table or a per-site table is broadcast (a few tens of MB).
 BROADCAST_ROWS = 1_000_000
 

@@ -132,7 +132,8 @@ def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None
     """The columns ``keep`` (all) of ``docs`` with ``lang_pred``, ``score`` and ``rejected``, from the text alone."""
     text_batches(docs.sparkSession)
     kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score", "rejected")]
-    given = free_name(kept, "text")
+    string = docs.schema[text].dataType == T.StringType()
+    given = text if text in kept and string else free_name(kept, "text")  # a kept text travels once
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x clusters x dimensions numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +155,8 @@ def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     schema = T.StructType([*docs.select(*kept).schema.fields, *added])
-    return docs.select(*kept, F.col(text).cast("string").alias(given)).mapInArrow(run, schema)
+    extra = [] if given in kept else [F.col(text).cast("string").alias(given)]
+    return docs.select(*kept, *extra).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column | None = None) -> Column:
