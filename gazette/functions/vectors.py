@@ -74,10 +74,16 @@ def hashed_bow_encoder(dim: int = 256):
         places = F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % dim)
 
         def counted(at: Column) -> Column:
-            counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(at, lambda p: p == i)).cast("double"))
-            return F.transform(F.array(counts), lambda c: F.coalesce(normalize_vec(c), c))[0]
-
-        return F.transform(F.array(places), counted)[0]
+            # places in order: a place's count is the way from its first position to the next place's
+            own = F.array_distinct(at)
+            first = F.transform(own, lambda p: F.array_position(at, p))
+            behind = F.concat(F.slice(first, F.lit(2), F.size(first)), F.array((F.size(at) + 1).cast("bigint")))
+            held = F.map_from_arrays(own, F.zip_with(first, behind, lambda f, b: (b - f).cast("double")))
+            empty = F.array_repeat(F.lit(0.0), dim)
+            dense = F.transform(F.array(held), lambda m: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at(m, i.cast("bigint")), F.lit(0.0))))[0]
+            return F.when(F.size(at) == 0, empty).otherwise(F.transform(F.array(dense), lambda c: normalize_vec(c))[0])
+
+        return F.transform(F.array(F.sort_array(places)), counted)[0]
 
     return encode
 
