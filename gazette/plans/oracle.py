@@ -278,13 +278,18 @@ from gazette.plans.catalog import BAL_N  # noqa: E402
 BAL_M = max(BAL_N // 5, 3)
 
 
-def _balance_sql(base: str) -> str:
+def _balance_sql(base: str, n: int = BAL_N) -> str:
     """The balancing loop over a list state per digest (``base``: d, id, src)."""
-    n, m = BAL_N, BAL_M
     return f"""
 WITH RECURSIVE
 b AS ({base}),
-init AS (SELECT d, list(id ORDER BY id) AS ids, list(src ORDER BY id) AS srcs FROM b GROUP BY d),
+{_balance_ctes(n)}
+SELECT d, unnest(ids) AS seq, unnest(srcs) AS src, unnest(range(1, len(ids) + 1)) AS final_rank FROM final"""
+
+
+def _balance_ctes(n: int) -> str:
+    m = max(n // 5, 3)
+    return f"""init AS (SELECT d, list(id ORDER BY id) AS ids, list(src ORDER BY id) AS srcs FROM b GROUP BY d),
 walk(d, it, ids, srcs, done) AS (
   SELECT d, 0, ids, srcs, false FROM init
   UNION ALL
@@ -305,8 +310,7 @@ walk(d, it, ids, srcs, done) AS (
   LATERAL (SELECT CASE WHEN zp.pos > {n} THEN list_concat([m1.ids1[zp.pos]], list_slice(m1.ids1, 1, zp.pos - 1), list_slice(m1.ids1, zp.pos + 1, len(m1.ids1))) ELSE m1.ids1 END AS ids2,
                   CASE WHEN zp.pos > {n} THEN list_concat([m1.srcs1[zp.pos]], list_slice(m1.srcs1, 1, zp.pos - 1), list_slice(m1.srcs1, zp.pos + 1, len(m1.srcs1))) ELSE m1.srcs1 END AS srcs2) pr
   WHERE NOT w.done AND w.it < {n}),
-final AS (SELECT * FROM walk QUALIFY it = max(it) OVER (PARTITION BY d))
-SELECT d, unnest(ids) AS seq, unnest(srcs) AS src, unnest(range(1, len(ids) + 1)) AS final_rank FROM final"""
+final AS (SELECT * FROM walk QUALIFY it = max(it) OVER (PARTITION BY d))"""
 
 
 @sql("balance_sources")
@@ -661,3 +665,64 @@ def _():
       UNION ALL SELECT 3, 'novelty', count(*) FROM e
       UNION ALL SELECT 4, 'grouping', count(*) FROM leaders
       UNION ALL SELECT 5, 'limit', least(count(*), {BAL_N}) FROM leaders)"""
+
+
+# ---------------------------------------------------------------- the whole run
+from gazette.plans.flagship import AS_OF, FLAGSHIP  # noqa: E402
+
+
+@sql("daily_digest")
+def _():
+    """Every step of the run, one digest per language, on sparse title vectors."""
+    cfg, dim, nl = FLAGSHIP, 256, "chr(10)"
+    nl2 = f"{nl} || {nl}"
+    places = (
+        lambda rows: f"""(SELECT id, place, c, sqrt(sum(c * c) OVER (PARTITION BY id)) AS nrm FROM (
+      SELECT id, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % {dim} AS place, CAST(count(*) AS DOUBLE) AS c FROM (
+        SELECT id, unnest(regexp_split_to_array(lower(title), '[^\\p{{L}}\\p{{N}}_]+')) AS tok FROM {rows}) WHERE tok <> '' GROUP BY ALL))"""
+    )
+    balance = _balance_ctes(cfg.max_articles).replace("walk", "bwalk").replace("final AS", "bfinal AS")
+    return f"""
+WITH RECURSIVE
+a AS (SELECT doc_id AS id, lang AS d, source, {DOC_TITLE} AS title FROM documents WHERE NOT {_any(cfg.negative_keywords)} AND {_any(cfg.keywords)}),
+h AS (SELECT item_id AS id, {DOC_TITLE} AS title FROM benchmark),
+pa0 AS {places("a")}, ph AS {places("h")},
+seen AS (SELECT DISTINCT x.id FROM pa0 x JOIN ph y USING (place) GROUP BY x.id, y.id
+         HAVING round(sum(x.c * y.c) / any_value(x.nrm * y.nrm), 12) >= {cfg.novelty_similarity_threshold}),
+kept AS (SELECT * FROM a WHERE id IN (SELECT id FROM pa0) AND id NOT IN (SELECT id FROM seen)),
+pa AS (SELECT p.*, k.d FROM pa0 p JOIN kept k USING (id)),
+sim AS (SELECT x.d, x.id AS i, y.id AS j, sum(x.c * y.c) / any_value(x.nrm * y.nrm) AS s FROM pa x JOIN pa y ON x.d = y.d AND x.place = y.place AND x.id <> y.id GROUP BY ALL),
+nb AS (SELECT j, list(i) AS lower FROM sim WHERE i < j AND round(s, 12) >= {cfg.similarity_threshold} GROUP BY j),
+ord AS (SELECT id, row_number() OVER (ORDER BY id) AS k, coalesce(nb.lower, []) AS lower FROM kept LEFT JOIN nb ON nb.j = id),
+gwalk(k, leaders) AS (
+  SELECT 0::BIGINT, []::BIGINT[]
+  UNION ALL
+  SELECT w.k + 1, CASE WHEN list_has_any(w.leaders, o.lower) THEN w.leaders ELSE list_append(w.leaders, o.id) END FROM gwalk w JOIN ord o ON o.k = w.k + 1),
+lead AS (SELECT unnest(leaders) AS id FROM gwalk WHERE k = (SELECT max(k) FROM ord)),
+member AS (SELECT j AS id, min(i) AS leader FROM sim WHERE i < j AND round(s, 12) >= {cfg.similarity_threshold} AND i IN (SELECT id FROM lead) AND j NOT IN (SELECT id FROM lead) GROUP BY j),
+e AS (SELECT kept.id, d, source, row_number() OVER (PARTITION BY d ORDER BY kept.id) AS p, count(*) OVER (PARTITION BY d) AS n FROM kept JOIN lead USING (id)),
+cell AS (SELECT x.d, x.p AS p, y.p AS q, coalesce(s.s, 0.0) AS s FROM e x JOIN e y ON x.d = y.d LEFT JOIN sim s ON s.i = x.id AND s.j = y.id),
+g AS (SELECT d, p, list(s ORDER BY q) AS r FROM cell GROUP BY d, p),
+gm AS (SELECT d, list(r ORDER BY p) AS m, list(list_sum(r) ORDER BY p) AS s0, count(*) AS n FROM g GROUP BY d),
+pwalk(d, step, sc, k) AS (
+  SELECT d, 0::BIGINT, s0, NULL::BIGINT FROM gm
+  UNION ALL
+  SELECT w.d, w.step + 1, list_transform(range(1, gm.n + 1), lambda x: CASE WHEN x = pk.k OR w.sc[x] IS NULL THEN NULL ELSE w.sc[x] - gm.m[pk.k][x] END), pk.k
+  FROM pwalk w JOIN gm ON gm.d = w.d,
+  LATERAL (SELECT CASE WHEN gm.n - w.step <= 2 THEN list_position(list_transform(w.sc, lambda x: x IS NOT NULL), true)
+    ELSE list_position(list_transform(w.sc, lambda x: round(x / (gm.n - w.step - 1), 12)),
+                       list_max(list_transform(w.sc, lambda x: round(x / (gm.n - w.step - 1), 12)))) END AS k) pk
+  WHERE w.step < gm.n),
+ranked AS (SELECT w.d, w.step AS r, e.id, e.source FROM pwalk w JOIN e ON e.d = w.d AND e.p = w.k WHERE w.step >= 1),
+b AS (SELECT d, r AS id, source AS src FROM ranked),
+{balance},
+top AS (SELECT x.d, x.final_rank, r.id FROM (SELECT d, unnest(ids) AS r, unnest(range(1, len(ids) + 1)) AS final_rank FROM bfinal) x
+        JOIN ranked r ON r.d = x.d AND r.r = x.r WHERE x.final_rank <= {cfg.max_articles}),
+rel AS (SELECT m.leader AS id, string_agg('- [' || a.title || '](doc://' || CAST(a.id AS VARCHAR) || ')' || {nl}, '' ORDER BY a.id) AS lines FROM member m JOIN a ON a.id = m.id GROUP BY 1),
+report AS (SELECT t.d AS digest_id, '# Daily Reading List - {AS_OF}' || {nl2} || string_agg(
+    '## ' || a.title || {nl2} || '*Source: ' || a.source || '*' || {nl2}
+    || 'Summary not generated in dry run mode' || {nl2} || '### Why Should I Care?' || {nl2} || 'Insights not generated in dry run mode' || {nl2}
+    || '[Read more](doc://' || CAST(a.id AS VARCHAR) || ')' || {nl2}
+    || coalesce('### Related Articles' || {nl2} || rel.lines || {nl}, '') || '---' || {nl2}, '' ORDER BY t.final_rank) AS markdown
+  FROM top t JOIN a ON a.id = t.id LEFT JOIN rel ON rel.id = t.id GROUP BY t.d)
+SELECT digest_id, md5(markdown) AS report_md5, CAST(length(markdown) AS BIGINT) AS n_chars FROM report"""
