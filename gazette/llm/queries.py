@@ -156,20 +156,20 @@ WITH p AS (
 k AS (SELECT doc_id, avg(CASE WHEN quality = 0 OR toxic = 1 THEN 1.0 WHEN quality IS NULL OR toxic IS NULL THEN NULL ELSE 0.0 END) AS bad FROM labels GROUP BY 1),
 h0 AS (SELECT host, CAST(count(k.bad) AS DOUBLE) AS n, coalesce(sum(k.bad), 0.0) AS bad FROM p LEFT JOIN k ON p.page_id = k.doc_id GROUP BY 1),
 h AS (SELECT *, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM h0),
-g AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS rate FROM h),
+g AS (SELECT (sum(bad) + 1.0) / (sum(n) + 10.0) AS rate, sum(n) + 10.0 AS pages FROM h),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1),
-sv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+sv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(10.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
   SELECT sum(n * (bad / n - rate) ** 2) / sum(n) - sum(rate * (1 - rate)) / sum(n) AS v FROM s0, g WHERE n > 1), g),
-s AS (SELECT suffix, (k * rate + bad) / (k + n) AS m FROM s0, sv, g),
-d0 AS (SELECT h.suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM h JOIN s USING (suffix) GROUP BY 1, 2),
-dv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+s AS (SELECT suffix, (k * rate + bad) / (k + n) AS m, n + least(k, pages - n) AS pages FROM s0, sv, g),
+d0 AS (SELECT h.suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m, any_value(pages) AS pages FROM h JOIN s USING (suffix) GROUP BY 1, 2),
+dv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(10.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
   SELECT sum(n * (bad / n - m) ** 2) / sum(n) - sum(m * (1 - m)) / sum(n) AS v FROM d0 WHERE n > 1), g),
-d AS (SELECT suffix, domain, (k * m + bad) / (k + n) AS m FROM d0, dv),
-h1 AS (SELECT h.*, d.m FROM h JOIN d USING (suffix, domain)),
-hv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
+d AS (SELECT suffix, domain, (k * m + bad) / (k + n) AS m, n + least(k, d0.pages - n) AS pages FROM d0, dv),
+h1 AS (SELECT h.*, d.m, d.pages FROM h JOIN d USING (suffix, domain)),
+hv AS (SELECT CASE WHEN v > 0 THEN least(1000.0, greatest(10.0, rate * (1 - rate) / v - 1)) ELSE 1000.0 END AS k FROM (
   SELECT sum(n * (bad / n - m) ** 2) / sum(n) - sum(m * (1 - m)) / sum(n) AS v FROM h1 WHERE n > 1), g),
-h2 AS (SELECT host, n, k, (k * m + bad) / (k + n) AS mean FROM h1, hv),
-known AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS verdict FROM h2),
+h2 AS (SELECT host, n + least(k, h1.pages - n) AS pages, (k * m + bad) / (k + n) AS mean FROM h1, hv),
+known AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (pages + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS verdict FROM h2),
 ruled AS (SELECT p.*, known.verdict AS own,
   CASE WHEN ('.' || p.host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
     WHEN ('.' || p.host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'

@@ -7,7 +7,9 @@ suffix; the global rate is the beta prior of the suffixes, a suffix's posterior
 mean the prior of its domains, a domain's that of its hosts.  The priors' strengths
 come from the spread between the sites of a level beyond what chance adds (method
 of moments).  A host is blocked when the lower bound of its posterior rate of bad
-pages (mean less ``BOUND_DEVIATIONS`` standard deviations) is above ``MOST_BAD``.
+pages (mean less ``BOUND_DEVIATIONS`` standard deviations) is above ``MOST_BAD``.  A
+prior counts for no more pages in that bound than were seen beside the site's own, so
+a host without labels has its domain's rate and the doubt that is left about it.
 
 Column expressions and joins only.  Hosts are aggregated before they meet a page;
 their table is broadcast behind a check of its size, else joined by shuffle, where
@@ -46,8 +48,10 @@ class Rule:
 #: A host is blocked when its rate of bad pages is credibly above this.
 MOST_BAD = 0.25
 BOUND_DEVIATIONS = 1.645
+#: What is held of all pages before any label: this rate of bad ones, worth so many pages.
+FIRST_RATE, FIRST_PAGES = 0.1, 10
 #: Bounds of a prior's strength, in pages.
-WEAKEST, STRONGEST = 2.0, 1000.0
+WEAKEST, STRONGEST = 10.0, 1000.0
 
 # Second-level public suffixes; all other suffixes are the last label.
 SECOND_LEVEL = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "org.au", "org.uk")
@@ -104,22 +108,31 @@ def _shrunk(strength: float, prior: Column) -> Column:
     return (prior * strength + F.col("bad")) / (F.col("n") + strength)
 
 
+def _pages(strength: float, above: Column) -> Column:
+    """Pages that a site's rate rests on: its own and, up to the prior's strength, the
+    others that the level above rests on."""
+    return F.col("n") + F.least(F.lit(strength), above - F.col("n"))
+
+
 def reputations(hosts: DataFrame) -> DataFrame:
     """``host, n, bad, mean, lower`` from labelled counts ``host, n, bad`` of every host."""
     hosts = materialize(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     total = hosts.agg(*sums).head()
-    rate = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1)
+    every = float(total["n"] or 0) + FIRST_PAGES
+    rate = ((total["bad"] or 0) + FIRST_RATE * FIRST_PAGES) / every
     domains = hosts.groupBy("suffix", "domain").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    by_suffix = suffixes.select("suffix", _shrunk(_strength(suffixes, F.lit(rate), rate), F.lit(rate)).alias("suffix_mean"))
+    k = _strength(suffixes, F.lit(rate), rate)
+    by_suffix = suffixes.select("suffix", _shrunk(k, F.lit(rate)).alias("prior"), _pages(k, F.lit(every)).alias("pages"))
     placed = materialize(domains.join(by_suffix, "suffix"))
-    by_domain = placed.select("suffix", "domain", _shrunk(_strength(placed, F.col("suffix_mean"), rate), F.col("suffix_mean")).alias("domain_mean"))
+    k = _strength(placed, F.col("prior"), rate)
+    by_domain = placed.select("suffix", "domain", _shrunk(k, F.col("prior")).alias("prior"), _pages(k, F.col("pages")).alias("pages"))
     placed = materialize(hosts.join(by_domain, ["suffix", "domain"]))
-    strength = _strength(placed, F.col("domain_mean"), rate)
-    mean = _shrunk(strength, F.col("domain_mean"))
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + strength + 1))
-    return placed.withColumn("mean", mean).select("host", "n", "bad", "mean", F.greatest(F.lit(0.0), F.col("mean") - BOUND_DEVIATIONS * deviation).alias("lower"))
+    k = _strength(placed, F.col("prior"), rate)
+    known = placed.select("host", "n", "bad", _shrunk(k, F.col("prior")).alias("mean"), _pages(k, F.col("pages")).alias("pages"))
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("pages") + 1))
+    return known.select("host", "n", "bad", "mean", F.greatest(F.lit(0.0), F.col("mean") - BOUND_DEVIATIONS * deviation).alias("lower"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule]) -> DataFrame:

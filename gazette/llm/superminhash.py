@@ -2,7 +2,7 @@
 
 A document's set holds its distinct five-word shingles (words of
 ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; with one to four words the whole
-sequence is the one shingle).  Every shingle draws a random permutation of the
+sequence is the one shingle), held as 64-bit hashes.  Every shingle draws a random permutation of the
 128 signature slots and one rank per level; level ``j`` competes for the slot at
 place ``j`` of the permutation with a value in ``[j, j + 1)``, so a slot filled
 on a lower level can never improve and a document stops as soon as all its

@@ -60,7 +60,8 @@ def test_a_host_is_blocked_only_on_credible_evidence(spark):
     df = spark.createDataFrame(urls, "page_id long, url string")
     out = R.judge(df, spark.createDataFrame(marks, "page_id long, bad int"), [])
     verdicts = {r.host: r.verdict for r in out.select("host", "verdict").distinct().collect()}
-    assert [h for h, v in verdicts.items() if v == "block"] == ["bad.one.com"]
+    # two bad pages of two are not enough; a host of a bad domain inherits its reputation
+    assert {h for h, v in verdicts.items() if v == "block"} == {"bad.one.com", "new.one.com"}
     assert len(verdicts) == 34
 
 
