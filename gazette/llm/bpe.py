@@ -24,9 +24,11 @@ that Unicode assigned only lately may split otherwise in the public library.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 from gazette.llm.common import free_name, text_batches
 
 #: Words whose ids a Python worker remembers; then it starts anew.  Results don't depend on it.
-REMEMBERED_WORDS = 100_000
+REMEMBERED_WORDS = 200_000
 _NO_RANK = np.iinfo(np.int64).max
 
 # The characters of Unicode's White_Space property, as \s means them in the file's pattern.
@@ -77,18 +79,23 @@ class WordBpe:
         self.cut = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)))
         pattern = pre[0]["pattern"]["Regex"].replace("[^\\s", "[^" + _WHITE_SPACE)
         self.words = regex.compile(pattern).findall
+        # the same on ASCII text, where letters and digits are plain ranges
+        self.ascii_words = re.compile(pattern.replace(_WHITE_SPACE, r"\x09-\x0D\x20").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")).findall
         symbols = {**vocab, **self.special}
         self.symbols = np.full(max(symbols.values()) + 1, None, object)
         for text, i in symbols.items():
             self.symbols[i] = text
+        self.gaps = any(s is None for s in self.symbols)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[str | tuple, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and the count of each word."""
+        if not words:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         raw = [w.encode() for w in words]
         sizes = np.array([len(r) for r in raw], np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -96,46 +103,57 @@ class WordBpe:
         symbol = self.inner[data]
         symbol[ends] = self.last[data[ends]]
         word = np.repeat(np.arange(len(words)), sizes)
+        rank, product = np.full(len(symbol), _NO_RANK), np.zeros(len(symbol), np.int64)
+        self._look_up(np.arange(len(symbol)), symbol, word, rank, product)
         done_symbols, done_words = [], []
         while len(symbol):
-            key = symbol[:-1] * self.size + symbol[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = (self.keys[at] == key) & (word[:-1] == word[1:])
-            rank = np.where(known, self.ranks[at], _NO_RANK)
-            best = np.full(len(words), _NO_RANK, np.int64)
-            np.minimum.at(best, word[:-1], rank)
-            over = best[word] == _NO_RANK
+            best = np.full(len(words), _NO_RANK)
+            np.minimum.at(best, word, rank)
+            lowest = best[word]
+            over = lowest == _NO_RANK
             if over.any():
                 done_symbols.append(symbol[over])
                 done_words.append(word[over])
-            hit = known & (rank == best[word[:-1]])
-            where = np.flatnonzero(hit)
+            where = np.flatnonzero((rank == lowest) & ~over)
             if len(where):  # of overlapping hits (a a a), every second one counts, from the left
                 new_run = np.concatenate([[True], np.diff(where) != 1])
                 first = np.maximum.accumulate(np.where(new_run, np.arange(len(where)), 0))
                 where = where[(np.arange(len(where)) - first) % 2 == 0]
-            symbol[where] = self.merged[at[where]]
+            symbol[where] = product[where]
             stay = ~over
             stay[where + 1] = False
-            symbol, word = symbol[stay], word[stay]
+            place = np.cumsum(stay) - 1
+            symbol, word, rank, product = symbol[stay], word[stay], rank[stay], product[stay]
+            # only the pairs on both sides of a merged symbol are new
+            merged = place[where]
+            self._look_up(np.concatenate([merged, np.maximum(merged - 1, 0)]), symbol, word, rank, product)
         if not done_symbols:
             return np.empty(0, np.int32), np.zeros(len(words), np.int64)
         all_words = np.concatenate(done_words)
         order = np.argsort(all_words, kind="stable")
         return np.concatenate(done_symbols)[order].astype(np.int32), np.bincount(all_words, minlength=len(words))
 
+    def _look_up(self, at: np.ndarray, symbol: np.ndarray, word: np.ndarray, rank: np.ndarray, product: np.ndarray) -> None:
+        """Rank and product of the pairs that begin at ``at``, by binary search over the sorted keys."""
+        rank[at[at == len(symbol) - 1]] = _NO_RANK
+        at = at[at < len(symbol) - 1]
+        key = symbol[at] * self.size + symbol[at + 1]
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = (self.keys[found] == key) & (word[at] == word[at + 1])
+        rank[at] = np.where(known, self.ranks[found], _NO_RANK)
+        product[at] = self.merged[found]
+
     def _pieces(self, text: str) -> list[str]:
         """The words of a text without special strings."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # capital sigma, wherever it stands
-        return self.words(text.lower())
+        if text.isascii():
+            return self.ascii_words(text.lower())
+        return self.words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # capital sigma, wherever it stands
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and the count of each text.  Special
-        strings stand as their ids between them."""
+        """Ids of all texts in one array, and the count of each text."""
         if len(self.place) > REMEMBERED_WORDS:
             self._forget()
-        found: list[list] = []
+        found: list[list] = []  # of each text: words, and special strings as one-tuples of their id
         for text in texts:
             if not text:
                 found.append([])
@@ -144,37 +162,35 @@ class WordBpe:
                 at = 0
                 for m in self.cut.finditer(text):
                     out += self._pieces(text[at : m.start()])
-                    out.append(self.special[m[0]])
+                    out.append((self.special[m[0]],))
                     at = m.end()
                 found.append(out + self._pieces(text[at:]))
             else:
                 found.append(self._pieces(text))
-        known = self.place
-        fresh = list(dict.fromkeys(w for words in found for w in words if w not in known and type(w) is str))
-        if fresh:
-            ids, counts = self.merge(fresh)
+        fresh = [w for w in dict.fromkeys(chain.from_iterable(found)) if w not in self.place]
+        words, marks = [w for w in fresh if type(w) is str], [w for w in fresh if type(w) is not str]
+        self._remember(words, *self.merge(words))
+        self._remember(marks, np.array([m[0] for m in marks], np.int32), np.ones(len(marks), np.int64))
+        per_text = np.array([len(w) for w in found], np.int64)
+        places = np.fromiter(map(self.place.__getitem__, chain.from_iterable(found)), np.int64, per_text.sum())
+        begin = self.starts[places]
+        length = self.starts[places + 1] - begin
+        stops = np.concatenate([[0], np.cumsum(length)])
+        source = np.arange(stops[-1]) + np.repeat(begin - stops[:-1], length)
+        ends = np.cumsum(per_text)
+        return self.flat[source], stops[ends] - stops[ends - per_text]
+
+    def _remember(self, words: list, ids: np.ndarray, counts: np.ndarray) -> None:
+        if words:
             first = len(self.starts) - 1
-            known.update({w: first + i for i, w in enumerate(fresh)})
+            self.place.update({w: first + i for i, w in enumerate(words)})
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
             self.flat = np.concatenate([self.flat, ids])
-        per_text = np.array([len(words) for words in found], np.int64)
-        places = np.fromiter((known[w] if type(w) is str else -1 - w for words in found for w in words), np.int64, per_text.sum())
-        plain = places >= 0
-        begin = np.where(plain, self.starts[np.maximum(places, 0)], 0)
-        length = np.where(plain, self.starts[np.maximum(places, 0) + (len(self.starts) > 1)] - begin, 1)
-        stops = np.cumsum(length)
-        total = int(stops[-1]) if len(stops) else 0
-        source = np.arange(total) - np.repeat(stops - length, length) + np.repeat(begin, length)
-        out = np.empty(total, np.int32)
-        usual = np.repeat(plain, length)
-        out[usual] = self.flat[source[usual]]
-        out[~usual] = -1 - places[~plain]
-        text_of = np.repeat(np.arange(len(found)), per_text)
-        return out, np.bincount(text_of, weights=length, minlength=len(found)).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         ids = ids[(ids >= 0) & (ids < len(self.symbols))]
-        return " ".join(s for s in self.symbols[ids] if s is not None)
+        symbols = self.symbols[ids].tolist()
+        return " ".join(s for s in symbols if s is not None) if self.gaps else " ".join(symbols)
 
 
 @lru_cache(maxsize=2)
