@@ -37,6 +37,8 @@ from gazette.llm.sampling import sample_per_label
 DIMENSIONS = 4096
 #: Training documents of each language at most.
 PER_LANGUAGE = 600
+#: Training documents of all languages together, where that leaves 20 of each.
+MOST_TRAINING = 9_600
 CLUSTERS = 4
 #: A text is rejected below this share of the least cosine seen in training (one in a thousand left out).
 REJECT_SHARE = 0.5
@@ -120,6 +122,7 @@ def fit_on(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) ->
     text_batches(docs.sparkSession)
     usable = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     usable = usable.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    per_language = min(per_language, max(20, MOST_TRAINING // max(1, usable.select("lang").distinct().count())))
     ids = materialize(sample_per_label(usable.select("doc_id", "lang"), "lang", per_language, "langid").select(F.col("doc_id").alias("_id")).distinct())
     rows = usable.join(broadcast_if_small(ids, ids.count()), F.col("doc_id") == F.col("_id"), "left_semi")
     sample = rows.mapInArrow(_weights, "doc_id long, lang string, w binary").where("w IS NOT NULL").toPandas()
