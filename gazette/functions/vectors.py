@@ -21,8 +21,9 @@ def norm(a) -> Column:
 
 
 def normalize_vec(a) -> Column:
-    n = norm(a)
-    return F.when(n > 0, F.transform(_c(a), lambda x: x / n))
+    """``a`` scaled to length 1 (NULL for a zero vector); its length is computed once."""
+    v = _c(a)
+    return F.transform(F.array(norm(v)), lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)))[0]
 
 
 #: Digits to which cosines and their means are rounded before they are compared.
