@@ -4,9 +4,14 @@ Words are runs of letters and digits, lower-cased.  Common words are anchors; an
 anchor directly before a content word starts a chain of that word and the next
 content word, and anchor and chain make a spot signature.  A text's fingerprint is
 its set of spot signatures: their distinct 32-bit hashes in order, eight hex digits
-each.  A text without such spots takes the chains of any three following words (of
-fewer words, all of them) and one without words its whole self, so only the empty
-text has an empty fingerprint.  Two fingerprints are as alike as the Jaccard
+each.  Stretches that anchors do not cover add signatures of their own, whatever the
+rest of the text holds: every three content words that follow each other without an
+anchor between, every three anchors that do, and the two words of a text that begins
+with just two before its first anchor.  So an edit adds and takes signatures but never
+changes their kind, and no words go without one but a single word before the first
+anchor, the first of just two anchors together and one or two anchors at the end.  A
+text of such words only is one signature as a whole, and so is one without words: only
+the empty text has an empty fingerprint.  Two fingerprints are as alike as the Jaccard
 similarity of their sets; two empty ones are equal.
 
 ``near_pairs`` finds alike texts: sets are partitioned by length so that only sets
@@ -50,13 +55,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _hashes(chains: Column) -> Column:
-    return F.transform(chains, lambda c: F.hash(c))
+def _tagged(words: Column) -> Column:
+    """Each word with a mark behind it if it is an anchor, else a space."""
+    return F.transform(words, lambda w: F.concat(w, F.when(w.isin(*ANCHORS), F.lit(_MARK)).otherwise(F.lit(" "))))
 
 
-def _spots(words: Column) -> Column:
+def _spots(tagged: Column) -> Column:
     """Hashes of anchor, content word and next content word, in order, NULL where no anchor stands."""
-    glued = F.array_join(F.transform(words, lambda w: F.when(w.isin(*ANCHORS), F.concat(w, F.lit(_MARK))).otherwise(F.concat(w, F.lit(" ")))), "")
 
     def chains(tokens: Column) -> Column:
         following = F.slice(F.transform(tokens, lambda t: F.substring_index(t, _MARK, -1)), F.lit(2), F.size(tokens))
@@ -65,24 +70,36 @@ def _spots(words: Column) -> Column:
         )
 
     # the last token is what follows the last content word: nothing, or anchors without a chain
-    return _let(F.split(glued, " "), lambda t: _let(F.slice(t, F.lit(1), F.size(t) - 1), chains))
+    return _let(F.split(F.array_join(tagged, ""), " "), lambda t: _let(F.slice(t, F.lit(1), F.size(t) - 1), chains))
 
 
-def _threes(words: Column) -> Column:
-    two = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    three = F.zip_with(two, F.slice(words, F.lit(3), F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    return _hashes(F.slice(three, F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))))
+def _plain(chain: Column) -> Column:
+    return F.hash(F.rtrim(F.translate(chain, _MARK, " ")))
+
+
+def _runs(tagged: Column) -> Column:
+    """Hashes of every three words in a row that are all content or all anchors, else NULL."""
+    two = F.zip_with(tagged, F.slice(tagged, F.lit(2), F.size(tagged)), lambda a, b: F.concat(a, b))
+    three = F.zip_with(two, F.slice(tagged, F.lit(3), F.size(tagged)), lambda a, b: F.concat(a, b))
+    return F.transform(three, lambda c: F.when(~F.contains(c, F.lit(_MARK)) | ~F.contains(c, F.lit(" ")), _plain(c)))
+
+
+def _start(tagged: Column) -> Column:
+    """Hash of two content words that begin a text and are followed by an anchor or nothing, else NULL."""
+    two = F.concat(F.get(tagged, 0), F.get(tagged, 1))
+    alone = ~F.contains(two, F.lit(_MARK)) & F.coalesce(F.contains(F.get(tagged, 2), F.lit(_MARK)), F.lit(True))
+    return F.when(alone, _plain(two))
 
 
 def signatures(text: Column) -> Column:
-    """The set of spot signatures of a whole text, ascending ``array<int>``."""
+    """The set of signatures of a whole text, ascending ``array<int>``."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
-    def of(w: Column) -> Column:
-        plain = F.when(F.size(w) > 0, _threes(w)).when(text != "", F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
-        return _let(F.array_compact(_spots(w)), lambda s: F.when(F.size(s) > 0, s).otherwise(plain))
+    def of(t: Column) -> Column:
+        whole = F.when(F.size(t) > 0, F.array(_plain(F.array_join(t, "")))).when(text != "", F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
+        return _let(F.array_compact(F.concat(_spots(t), _runs(t), F.array(_start(t)))), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
 
-    return F.sort_array(F.array_distinct(_let(words, of)))
+    return F.sort_array(F.array_distinct(_let(_tagged(words), of)))
 
 
 def fingerprint(signature_set: Column) -> Column:

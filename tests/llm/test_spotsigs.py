@@ -86,3 +86,22 @@ def test_near_pairs_equal_brute_force(spark):
     reps = sorted({r for i, r in rep.items() if sets[i]})
     want = {(a, b) for a in reps for b in reps if a < b and len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])}
     assert {(r.a, r.b) for r in pairs.collect()} == want and len(want) > 10
+
+
+def test_stretches_without_anchors_have_signatures(spark):
+    body = [f"word{i}" for i in range(400)]
+    long, changed = " ".join(body), " ".join(body[:200] + [f"other{i}" for i in range(200)])
+    foot = " | ".join(["", "of Stone, paper"])
+    few = ["the", "river"] * 3
+    texts = [long, long + foot, changed + foot, "ten other words" + foot, " ".join(few + ["to", "be", "or", "not"] * 2), "stone paper the river", "stone the of"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", S.signatures(F.col("t")).alias("s"))
+    got = {r.i: set(r.s) for r in df.collect()}
+    alike = lambda a, b: len(got[a] & got[b]) / len(got[a] | got[b])
+    # a stray anchor adds to the rest of the text and takes nothing from it
+    assert len(got[0]) == 398 and len(got[1] - got[0]) <= 4 and got[0] <= got[1]
+    assert 0.3 < alike(1, 2) < 0.4 and alike(2, 3) < 0.02
+    hashed = {t: spark.range(1).select(F.hash(F.lit(t))).head()[0] for t in ("to be or", "stone paper", "stone the of")}
+    assert hashed["stone paper"] in got[5] and got[6] == {hashed["stone the of"]}
+    docs = spark.createDataFrame([(1, long + foot), (2, "x")], "doc_id long, text string")
+    first = S.fingerprints(docs).orderBy("doc_id").head()
+    assert 0.6 < first.near_edited < 0.8  # three quarters of the text stay
