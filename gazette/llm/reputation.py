@@ -11,6 +11,11 @@ pages (mean less ``BOUND_DEVIATIONS`` standard deviations) is above ``MOST_BAD``
 prior counts for no more pages in that bound than were seen beside the site's own, so
 a host without labels has its domain's rate and the doubt that is left about it.
 
+Public suffixes are those of ``public_suffix_list.dat`` (publicsuffix.org, ICANN and
+private section, with its wildcard and exception rules), joined with the distinct hosts;
+a suffix that no rule names is the last label.  Only where the package was installed
+without that file, the few suffixes of ``SECOND_LEVEL`` stand in for it, with a warning.
+
 Column expressions and joins only.  Hosts are aggregated before they meet a page;
 their table is broadcast behind a check of its size, else joined by shuffle, where
 a hot host can be split.
@@ -18,15 +23,18 @@ a hot host can be split.
 Defined cases: a NULL url and one without ``://`` have an empty host and path,
 which form a site of their own; labels that are NULL or of no page are ignored,
 repeated labels of a page count as their mean; ports and user names stay in
-``host`` and are left off for the domain; an IP address is its own domain; without
+``host`` and are left off for the domain, as is a dot at the end; an IP address is its
+own domain, and so is a host that is a public suffix itself; without
 any label everything that no rule blocks is allowed; repeated rows are each
 judged; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from functools import reduce
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +61,8 @@ FIRST_RATE, FIRST_PAGES = 0.1, 10
 #: Bounds of a prior's strength, in pages.
 WEAKEST, STRONGEST = 10.0, 1000.0
 
-# Second-level public suffixes; all other suffixes are the last label.
+SUFFIX_LIST = "public_suffix_list.dat"
+# Second-level public suffixes where there is no list; all other suffixes are the last label.
 SECOND_LEVEL = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "org.au", "org.uk")
 
 
@@ -69,18 +78,61 @@ def path_of(url: Column) -> Column:
 
 
 def suffix_of(host: Column) -> Column:
+    """By ``SECOND_LEVEL`` alone; :func:`with_sites` takes the whole list."""
     bare = bare_host(host)
     two = F.substring_index(bare, ".", -2)
     return F.when(bare.rlike(r"^[0-9.]*$"), bare).when(two.isin(*SECOND_LEVEL), two).otherwise(F.substring_index(bare, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    """The registered domain: the public suffix and one label before it."""
+    """The registered domain, the public suffix and one label before it, by ``SECOND_LEVEL`` alone."""
     bare = bare_host(host)
     two = F.substring_index(bare, ".", -2)
     return F.when(bare.rlike(r"^[0-9.]*$"), bare).when(two.isin(*SECOND_LEVEL), F.substring_index(bare, ".", -3)).otherwise(two)
 
 
+def suffix_rules(lines: list[str]) -> list[tuple[str, int, bool]]:
+    """``tail, labels, exception`` of each rule of a public suffix list: a host that ends in
+    ``tail`` has a suffix of so many labels.  Names beyond ASCII stand in both spellings."""
+    rules = set()
+    for line in lines:
+        rule = (line.split() or ["//"])[0].lower()
+        if rule.startswith("//"):
+            continue
+        exception, wild = rule.startswith("!"), rule.startswith("*.")
+        labels = rule.removeprefix("!").removeprefix("*.").split(".")
+        coded = [x if x.isascii() else "xn--" + x.encode("punycode").decode() for x in labels]
+        rules |= {(".".join(x), len(labels) + wild - exception, exception) for x in (labels, coded)}
+    return sorted(rules)
+
+
+def listed_rules() -> list[tuple[str, int, bool]]:
+    """The rules of the list in this package, else the fallback."""
+    try:
+        return suffix_rules(resources.files(__package__).joinpath(SUFFIX_LIST).read_text("utf-8").splitlines())
+    except FileNotFoundError:
+        warnings.warn(f"{SUFFIX_LIST} is not installed: only {len(SECOND_LEVEL)} second-level suffixes are known", stacklevel=2)
+        return suffix_rules(list(SECOND_LEVEL))
+
+
+def with_sites(hosts: DataFrame, rules: list[tuple[str, int, bool]]) -> DataFrame:
+    """``hosts``, one row per ``host``, with the ``domain`` and public ``suffix`` of each.  An
+    exception goes before all other rules, else the rule of most labels holds."""
+    bare = F.regexp_replace(bare_host(F.col("host")), r"\.$", "")
+    labels = F.split(bare, r"\.")
+    n, most = F.size(labels), max(tail.count(".") + 1 for tail, _, _ in rules)
+    tails = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most))), lambda k: F.lower(F.array_join(F.slice(labels, n - k + 1, k), ".")))
+    table = hosts.sparkSession.createDataFrame(rules, "_rule string, _labels int, _exception boolean")
+    met = hosts.select(F.col("host").alias("_of"), n.alias("_n"), F.explode(tails).alias("_tail")).join(F.broadcast(table), F.col("_tail") == F.col("_rule"))
+    best = met.where("_labels <= _n").groupBy("_of").agg(F.max(F.struct("_exception", "_labels"))["_labels"].alias("_take"))
+    take = F.coalesce("_take", F.lit(1))
+    address = bare.rlike(r"^[0-9.]*$")
+    domain = F.array_join(F.slice(labels, F.greatest(n - take, F.lit(1)), n), ".")
+    suffix = F.array_join(F.slice(labels, n - take + 1, take), ".")
+    named = hosts.join(best, F.col("host") == F.col("_of"), "left")
+    return named.select(*hosts.columns, F.when(address, bare).otherwise(domain).alias("domain"), F.when(address, bare).otherwise(suffix).alias("suffix"))
+
+
 def bare_host(host: Column) -> Column:
     """Without user name and port."""
     return F.regexp_extract(host, r"(?s)^(?:.*@)?([^:]*)", 1)
@@ -116,7 +168,7 @@ def _pages(strength: float, above: Column) -> Column:
 
 def reputations(hosts: DataFrame) -> DataFrame:
     """``host, n, bad, mean, lower`` from labelled counts ``host, n, bad`` of every host."""
-    hosts = materialize(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = materialize(with_sites(materialize(hosts), listed_rules()))
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     total = hosts.agg(*sums).head()
     every = float(total["n"] or 0) + FIRST_PAGES

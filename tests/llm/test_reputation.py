@@ -70,3 +70,30 @@ def test_means_lie_between_own_rate_and_prior(spark):
     by = {r.host: r for r in R.reputations(hosts).collect()}
     assert by["a.x.com"].mean < 0.9 and by["c.y.com"].mean > 0.05 and 0 < by["b.x.com"].mean < by["a.x.com"].mean
     assert all(0 <= r.lower <= r.mean <= 1 for r in by.values())
+
+
+def test_domains_by_the_whole_suffix_list(spark):
+    want = {
+        "a.shop.com.sg": ("shop.com.sg", "com.sg"),
+        "x.uni.edu.au": ("uni.edu.au", "edu.au"),
+        "me.github.io": ("me.github.io", "github.io"),
+        "a.b.example.co.uk:80": ("example.co.uk", "co.uk"),
+        "a.b.c.ck": ("b.c.ck", "c.ck"),  # *.ck
+        "a.www.ck": ("www.ck", "ck"),  # !www.ck
+        "a.city.kobe.jp": ("city.kobe.jp", "kobe.jp"),
+        "a.b.x.kobe.jp": ("b.x.kobe.jp", "x.kobe.jp"),
+        "a.b.unlisted-suffix": ("b.unlisted-suffix", "unlisted-suffix"),
+        "a.shop.公司.cn": ("shop.公司.cn", "公司.cn"),
+        "a.shop.xn--55qx5d.cn": ("shop.xn--55qx5d.cn", "xn--55qx5d.cn"),
+        "www.example.com.": ("example.com", "com"),
+        "github.io": ("github.io", "github.io"),
+        "ck": ("ck", "ck"),
+        "u@10.0.0.1:8": ("10.0.0.1", "10.0.0.1"),
+        "": ("", ""),
+    }
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in R.with_sites(df, R.listed_rules()).collect()}
+    assert got == want
+    assert len(R.listed_rules()) > 9000
+    short = {r.host: r.domain for r in R.with_sites(df, R.suffix_rules(list(R.SECOND_LEVEL))).collect()}
+    assert short["a.b.example.co.uk:80"] == "example.co.uk" and short["me.github.io"] == "github.io"
