@@ -8,10 +8,11 @@ For each half the distance to such a plane is known; with the centroids of both
 halves in order of that distance (the multi-sequence order) a vector visits cells
 until the sum of the squared distances leaves the bound.
 
-The bound follows from the target recall.  For recall 1 it is ``2 - 2c`` itself and
-no neighbour can be missed; below 1 a neighbour's offset is taken to point anywhere
-(each direction gets ``(2 - 2c) / dimensions`` of it), and the bound leaves out cells
-that hold a neighbour with a probability of at most ``1 - recall``.
+The bound follows from the target recall.  For recall 1, the default, it is ``2 - 2c``
+itself and no neighbour can be missed; below 1 a neighbour's offset is taken to point
+anywhere (each direction gets ``(2 - 2c) / dimensions`` of it), and the bound leaves out
+cells that each hold a neighbour with a probability of at most ``1 - recall``.  Vectors
+that lie near few dimensions lose more than that, as may the cells left out together.
 
 Of two cells only one visits the other (the one less than half a turn before it), so
 a pair meets once.  Cells are cut into blocks of bounded rows; every block pair is
@@ -46,7 +47,8 @@ from gazette.llm.common import materialize, unit
 from gazette.llm.components import components
 
 LEAST_COSINE = 0.93
-RECALL = 0.9999
+#: Share of neighbours found for certain; below 1 only where offsets point equally in all directions.
+RECALL = 1.0
 SAMPLE_ROWS = 16_384
 #: Rows of a cell, and of its visitors, that meet in one task.
 HOME_ROWS, VISITOR_ROWS = 1024, 2048

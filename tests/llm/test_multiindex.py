@@ -77,3 +77,13 @@ def test_awkward_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS id", "'k' AS key", "2 AS n", "true AS home", "3 AS cell")
     assert sorted((tuple(r) for r in M.near_duplicates(df).collect()), key=str) == brute_force(rows)
     assert M.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_no_link_is_lost_on_low_dimensional_vectors(spark, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_CELL", 1)
+    rng = np.random.default_rng(5)
+    basis = rng.normal(size=(4, 64))
+    rows = [(i, 1, [float(x) for x in np.float32(rng.normal(size=4) @ basis)]) for i in range(1500)]  # rank 4 of 64
+    want = brute_force(rows)
+    got = sorted((tuple(r) for r in M.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    assert sum(r[1] for r in want) > 5000 and got == want
