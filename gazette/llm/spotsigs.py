@@ -17,7 +17,7 @@ similarity of their sets; two empty ones are equal.
 ``near_pairs`` finds alike texts: sets are partitioned by length so that only sets
 of one or of neighbouring partitions can reach the threshold, sets meet on the
 rarest signatures of each (enough of them that two alike sets must share one), and
-the pairs' lengths and shared counts prune before the sets are compared.
+the pairs' lengths prune before the sets are compared.  No registered query calls it.
 
 Everything is column expressions and joins; no text is cut short.
 
