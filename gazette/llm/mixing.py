@@ -6,10 +6,11 @@ times its source's size, the excess is shared again by weight until no target is
 above its stop.
 
 The mix is cut into blocks of ``BLOCK_WORDS`` words.  Blocks are awarded to the
-sources one by one by the highest quotient ``target / (2 * won + 1)``; the awards,
-in this order, fill the shards, so each shard has an integer quota of blocks of
-each source.  (Sainte-Lague is house-monotone: a shard's quota is the difference
-of two apportionments, which a divisor search finds without awarding singly.)
+sources one by one by the highest quotient ``target / (2 * won + 1)``.  Dealt out in
+this order, each shard has an integer quota of blocks of each source (``shard_quotas``;
+Sainte-Lague is house-monotone: a quota is the difference of two apportionments, which
+a divisor search finds without awarding singly).  ``mix`` takes their sum only: no block
+or word is assigned to a shard, and ``taken`` does not depend on the number of shards.
 
 A source lays its documents end to end in seeded order and cuts that line into
 blocks.  Its quota takes whole passes over the line and then a run of consecutive
