@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import bpe, chat, langid, mixing, multiindex, quality, reputation, sharding, spotsigs, superminhash
+from gazette.llm import bpe, chat, filteraudit, langid, mixing, multiindex, quality, reputation, reversed_search, sharding, spotsigs, superminhash, tokencount
 from gazette.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,73 @@ FROM ruled
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return spotsigs.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of every order of five filters on all documents."""
+    return filteraudit.audit_texts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+ORACLE["op11_filter_audit"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+d AS (
+  SELECT part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b,
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+  FROM w),
+f AS (
+  SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails,
+    count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM d GROUP BY ALL),
+orders(o) AS (SELECT '' UNION ALL SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(o, l) AND length(o) < 5),
+steps AS (SELECT o AS filter_order, step, substr(o, step, 1) AS l, substr(o, 1, step - 1) AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(o) = 5),
+r AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, l,
+    sum(CASE WHEN translate(fails, before || l, '') = fails THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = l THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM f, steps GROUP BY part, filter_order, step, l)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@_query
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, of all documents."""
+    return reversed_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_reversed_search"] = r"""
+WITH dt AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+docs AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM dt WHERE len(ts) > 0),
+it AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM docs) WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term),
+v AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS v FROM tf JOIN docs USING (r) JOIN w USING (term), s),
+sums AS (SELECT item_id, r, doc_id, CAST(sum(v) AS BIGINT) AS score FROM it JOIN v USING (term) GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM sums WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@_query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents under a public sentencepiece model, and what of each fits 4,096 tokens."""
+    import public_tokenizers
+
+    return tokencount.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
