@@ -18,6 +18,18 @@ from pyspark.sql import functions as F
 #: Keywords up to which a list becomes one OR-chain in generated code.
 INLINE_KEYWORDS = 256
 
+#: White space at a text's edges: that of Unicode and the four separators U+001C to U+001F.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+_SHOWN = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+#: Control characters that stand for a windows-1252 byte, and what that byte shows (arguments of ``translate``).
+WINDOWS_1252 = "".join(c for c in _SHOWN if _SHOWN[c]), "".join(_SHOWN.values())
+
+
+def strip(text: Column) -> Column:
+    """``text`` without white space at its edges, in time linear in the text."""
+    return F.btrim(text, F.lit(BLANKS))
+
 
 def content_key(url: str | Column, content: str | Column, n_chars: int = 100) -> Column:
     """Key of a piece of content: MD5 of its url and the first ``n_chars`` characters (NULL content: none)."""

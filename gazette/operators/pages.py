@@ -41,5 +41,5 @@ def extract_pages(
         "text_rules": lambda: H.domain_text(page, domain),
         "image_rules": lambda: H.domain_image(page, domain),
     }
-    seen = base.withColumn("_page", H.visible(F.col("_html")))
-    return seen.select(*keep, "url", *[made[f]().alias(f) for f in FIELDS if fields is None or f in fields])
+    cut = base.withColumn("_page", H.parsed(F.col("_html")))
+    return cut.select(*keep, "url", *[made[f]().alias(f) for f in FIELDS if fields is None or f in fields])
