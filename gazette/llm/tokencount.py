@@ -28,10 +28,10 @@ no rows.  Special strings inside a text are plain text, as the library has it.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,10 +40,10 @@ from pyspark.sql import types as T
 
 from gazette.llm.common import free_name, text_batches
 
-#: Stretches, and characters in them, whose tables a Python worker remembers; then it
-#: starts anew.  Results don't depend on them.
-REMEMBERED_STRETCHES = 400_000
-REMEMBERED_CHARS = 8_000_000
+#: Stretches of which a Python worker remembers the counts: it forgets those not met since as
+#: many others were.  Longer ones than this many characters are not remembered.
+REMEMBERED_STRETCHES = 600_000
+REMEMBERED_LENGTH = 40
 #: Pairs of pieces of which a worker remembers whether they encode to themselves.
 REMEMBERED_PAIRS = 1_000_000
 #: The model's mark of a blank.
@@ -72,16 +72,15 @@ class PrefixCounter:
         runs = {self.score[p] for p in longer if len(set(p)) == 1}
         if len(set(mixed)) != len(mixed) or runs & set(mixed):  # equal scores are known to keep the rule only in runs of one character
             raise ValueError("two pieces have the same score")
-        self.longest = max(map(len, self.score))
+        self.ends = ahocorasick.Automaton()  # all longer pieces that end at each character, longest first
+        for p in longer:
+            self.ends.add_word(p, (len(p), p, {}))
+        self.ends.make_automaton()
         joined = "".join(map(re.escape, sorted({c for p in longer for c in p} - {BLANK})))
         self.stretches = re.compile(f"{BLANK}+[{joined}]*|[{joined}]+|[^{joined}{BLANK}]").findall
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.tables: dict[str, array] = {}
+        self.pairs = 0
         self.totals: dict[str, int] = {}
-        self.chars = 0
+        self.older: dict[str, int] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short string by plain merging: best score first, leftmost of equals."""
@@ -93,71 +92,89 @@ class PrefixCounter:
             i = min(found)[1]
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
 
-    def _keeps(self, left: str, right: str) -> bool:
+    def _keeps(self, left: str, right: str, known: dict[str, bool]) -> bool:
         """Whether ``left`` and ``right`` (a stretch's first piece has no ``left``) encode to themselves."""
-        if len(self.pairs) >= REMEMBERED_PAIRS:
-            self.pairs.clear()
-        keeps = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        if self.pairs >= REMEMBERED_PAIRS:
+            self.pairs = 0
+            for _, _, other in self.ends.values():
+                other.clear()
+        self.pairs += 1
+        keeps = known[left] = self.merged(left + right) == ([left, right] if left else [right])
         return keeps
 
-    def table(self, stretch: str) -> array:
+    def table(self, stretch: str) -> list[int]:
         """Count at each prefix of a stretch, from 0 characters on."""
-        counts, last, pairs, score, longest = [0], [""], self.pairs, self.score, self.longest
-        for end in range(1, len(stretch) + 1):
-            for start in range(end - longest if end > longest else 0, end - 1):
-                piece = stretch[start:end]
-                if piece in score:
-                    keeps = pairs.get((last[start], piece))
-                    if keeps or keeps is None and self._keeps(last[start], piece):
-                        counts.append(counts[start] + 1)
-                        break
-            else:
-                piece = stretch[end - 1]
-                counts.append(counts[-1] + (1 if piece in score else len(piece.encode())))
-            last.append(piece)
-        return array("B" if max(counts) < 256 else "i", counts)
-
-    def cut(self, text: str) -> list[str]:
-        """The stretches of a text, of which all tables are then known."""
-        if len(self.tables) > REMEMBERED_STRETCHES or self.chars > REMEMBERED_CHARS:
-            self._forget()
-        if not text:
-            return []
-        found = self.stretches(BLANK + text.replace(" ", BLANK))
-        for s in set(found).difference(self.tables):
-            self.tables[s] = t = self.table(s)
-            self.totals[s] = t[-1]
-            self.chars += len(s)
-        return found
+        counts, last, score = [0], [""], self.score
+
+        def alone(end: int) -> None:
+            """Up to ``end``, no longer piece ends a prefix."""
+            for c in stretch[len(last) - 1 : end]:
+                counts.append(counts[-1] + (1 if c in score else len(c.encode())))
+                last.append(c)
+
+        at = 0  # characters whose piece is known
+        for end, (size, piece, lefts) in self.ends.iter(stretch):
+            if end >= at:
+                if end > at:
+                    alone(end)
+                    at = end
+                left = last[end + 1 - size]
+                keeps = lefts.get(left)
+                if keeps or keeps is None and self._keeps(left, piece, lefts):
+                    counts.append(counts[end + 1 - size] + 1)
+                    last.append(piece)
+                    at = end + 1
+        alone(len(stretch))
+        return counts
+
+    def cut(self, texts: list[str | None]) -> list[tuple[list[str], list[int]]]:
+        """The stretches of each text, and their counts."""
+        found = [self.stretches(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        new = set().union(*found).difference(self.totals)
+        known = {s: self.older[s] for s in new if s in self.older}
+        known.update({s: self.table(s)[-1] for s in new.difference(known)})
+        if len(self.totals) + len(known) > REMEMBERED_STRETCHES:
+            self.older, totals = self.totals, {**self.totals, **known}
+            self.totals = {}
+        else:
+            totals = self.totals
+        totals.update(known)
+        out = [(f, list(map(totals.__getitem__, f))) for f in found]
+        if self.totals is totals:
+            for s in known:
+                if len(s) > REMEMBERED_LENGTH:
+                    del totals[s]
+        return out
 
     def count(self, text: str | None) -> int:
-        found = self.cut(text or "")  # may forget the totals known before
-        return sum(map(self.totals.__getitem__, found))
+        return sum(self.cut([text])[0][1])
 
     def prefixes(self, text: str | None) -> np.ndarray:
         """Exact count of the first 0, 1, ... characters."""
-        found = self.cut(text or "")
+        found, totals = self.cut([text])[0]
         if not found:
             return np.zeros(1, np.int32)
-        before = np.cumsum([0, *(self.totals[s] for s in found[:-1])])
+        tables = {s: self.table(s)[1:] for s in set(found)}
         sizes = [len(s) for s in found]
-        inner = np.fromiter((n for s in found for n in self.tables[s][1:]), np.int64, sum(sizes))
-        out = inner + np.repeat(before, sizes)
+        inner = np.fromiter((n for s in found for n in tables[s]), np.int64, sum(sizes))
+        out = inner + np.repeat(np.cumsum([0, *totals[:-1]]), sizes)
         out[0] = 0  # the blank that the model puts before a text is part of its first character
         return out.astype(np.int32)
 
-    def fit(self, text: str | None, budget: int) -> tuple[int, int, int]:
-        """Count of the whole text; characters and count of its longest prefix of at most ``budget`` tokens."""
-        found = self.cut(text or "")
-        totals = [self.totals[s] for s in found]
+    def fit(self, texts: list[str | None], budgets: list[int | None]) -> list[tuple[int, int | None, int | None]]:
+        """Count of each whole text; characters and count of its longest prefix of at most its budget."""
+        return [self._fit(t or "", *cut, b) for t, cut, b in zip(texts, self.cut(texts), budgets)]
+
+    def _fit(self, text: str, found: list[str], totals: list[int], budget: int | None) -> tuple[int, int | None, int | None]:
         whole = sum(totals)
-        if whole <= budget:
-            return whole, len(text or ""), whole
+        if budget is None or whole <= budget:
+            return (whole, None, None) if budget is None else (whole, len(text), whole)
         at = used = 0
         for s, n in zip(found, totals):
             if used + n > budget:  # every later stretch has a token, so the prefix ends here
-                inside = max((i for i, c in enumerate(self.tables[s]) if used + c <= budget), default=0)
-                used, at = used + self.tables[s][inside], at + inside
+                table = self.table(s)
+                inside = max((i for i, c in enumerate(table) if used + c <= budget), default=0)
+                used, at = used + table[inside], at + inside
                 break
             used, at = used + n, at + len(s)
         return (whole, at - 1, used) if at > 1 else (whole, 0, 0)
@@ -180,10 +197,7 @@ def counts(df: DataFrame, path: str, budget: int | Column | None = None, text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _load(path)
         for batch in batches:
-            rows = []
-            for t, b in zip(batch.column(given), batch.column(limit).to_pylist()):  # one text at a time
-                t = t.as_py()
-                rows.append(counter.fit(t, b) if b is not None else (counter.count(t), None, None))
+            rows = counter.fit(batch.column(given).to_pylist(), batch.column(limit).to_pylist())
             columns = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(c, pa.int64()) for c in columns)], names=[*kept, *new])
 

@@ -45,7 +45,7 @@ def test_every_prefix_and_every_budget(counter, library, texts):
         assert counter.prefixes(t).tolist() == want, t
         for budget in range(0, want[-1] + 2):
             best = max(i for i, n in enumerate(want) if n <= budget)
-            assert counter.fit(t, budget) == (want[-1], best, want[best]), (t, budget)
+            assert counter.fit([t], [budget]) == [(want[-1], best, want[best])], (t, budget)
 
 
 def test_stretch_without_blanks_is_counted_whole(counter, library):
@@ -54,11 +54,13 @@ def test_stretch_without_blanks_is_counted_whole(counter, library):
 
 
 def test_forgetting_changes_nothing(monkeypatch, library, texts):
-    for name in ("REMEMBERED_STRETCHES", "REMEMBERED_CHARS", "REMEMBERED_PAIRS"):
-        monkeypatch.setattr(tokencount, name, 3)
+    for name in ("REMEMBERED_STRETCHES", "REMEMBERED_LENGTH", "REMEMBERED_PAIRS"):
+        monkeypatch.setattr(tokencount, name, 200 if name == "REMEMBERED_PAIRS" else 3)
     small = tokencount.PrefixCounter(PATH)
     for t in texts[:150]:
         assert small.count(t) == len(library.encode(t or ""))
+    assert [r[0] for r in small.fit(texts, [None] * len(texts))] == [len(library.encode(t or "")) for t in texts]
+    assert len(small.totals) <= 3
 
 
 def key(row):
