@@ -6,6 +6,8 @@ Pairwise work goes through block products with numpy, in
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -30,15 +32,26 @@ def normalize_vec(a) -> Column:
 SIM_DIGITS = 12
 
 
-def widen(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A side whose vectors are all missing has width 0: give it zeros."""
-    if a.shape[1] == b.shape[1]:
-        return a, b
-    if a.shape[1] == 0:
-        return np.zeros((a.shape[0], b.shape[1])), b
-    if b.shape[1] == 0:
-        return a, np.zeros((b.shape[0], a.shape[1]))
-    raise ValueError(f"vector widths differ: {a.shape[1]} vs {b.shape[1]}")
+def no_rows(columns: Sequence[str]) -> pd.DataFrame:
+    """No rows, in a form that converts to columns of any type."""
+    return pd.DataFrame({c: np.empty(0, object) for c in columns})
+
+
+def units_by_width(vectors: pd.Series) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Width → places of the vectors of that width that have a cosine, and these scaled to length 1.
+
+    A missing vector, a zero vector and one with a NULL or non-finite component have none."""
+    widths = np.array([-1 if v is None else len(v) for v in vectors], dtype=np.int64)
+    out = {}
+    for width in np.unique(widths[widths > 0]).tolist():
+        at = np.flatnonzero(widths == width)
+        m = np.array([np.asarray(v, dtype=np.float64) for v in vectors.iloc[at]])
+        with np.errstate(invalid="ignore", over="ignore"):
+            n = np.linalg.norm(m, axis=1)
+        ok = np.isfinite(n) & (n > 0)
+        if ok.any():
+            out[width] = at[ok], m[ok] / n[ok, None]
+    return out
 
 
 def stack(series: pd.Series) -> tuple[np.ndarray, np.ndarray]:
