@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.functions.text import WINDOWS_1252
 from gazette.plans.positions import positions
 
 RSS_SCHEMA = (
@@ -133,21 +134,24 @@ def isolate_feeds(entries: DataFrame, on_bad_entry: str = "drop_feed") -> DataFr
     return entries.filter("feed_ok")
 
 
-#: Declared encodings that the engine decodes; others are read as UTF-8.
-ENCODINGS = {"iso-8859-1": "ISO-8859-1", "latin1": "ISO-8859-1", "windows-1252": "ISO-8859-1", "us-ascii": "US-ASCII", "utf-16": "UTF-16", "utf-16le": "UTF-16LE", "utf-16be": "UTF-16BE"}
+#: Declared encodings that the engine decodes; others are read as UTF-8.  windows-1252 is Latin-1
+#: but for what its bytes 80 to 9F show.
+ENCODINGS = {"iso-8859-1": "ISO-8859-1", "latin1": "ISO-8859-1", "us-ascii": "US-ASCII", "utf-16": "UTF-16", "utf-16le": "UTF-16LE", "utf-16be": "UTF-16BE"}
+WINDOWS = ["windows-1252", "cp1252", "x-cp1252"]
 
 
-def decoded_files(files: DataFrame) -> DataFrame:
-    """``(feed, value)`` of binary files: the file name, and its text by the encoding that the
-    byte order mark or the XML declaration names."""
+def decoded_files(files: DataFrame, feed: Column | None = None) -> DataFrame:
+    """``(feed, value)`` of binary files: the file name (or ``feed``), and its text by the encoding that
+    the byte order mark or the XML declaration names."""
     plain = F.decode(F.substring("content", 1, 200), "ISO-8859-1")
     named = F.lower(F.regexp_extract(plain, r"^<\?xml[^>]*encoding=[\"']([^\"']+)", 1))
     marked = F.hex(F.substring("content", 1, 2)).isin("FFFE", "FEFF")
-    text = F.decode("content", "UTF-8")
+    text = F.when(named.isin(WINDOWS), F.translate(F.decode("content", "ISO-8859-1"), *WINDOWS_1252)).otherwise(F.decode("content", "UTF-8"))
     for name, charset in ENCODINGS.items():
         text = F.when(named == name, F.decode("content", charset)).otherwise(text)
     text = F.when(marked, F.decode("content", "UTF-16")).otherwise(text)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("feed"), F.regexp_replace(text, r"\A\uFEFF", "").alias("value"))
+    name = F.element_at(F.split("path", "/"), -1) if feed is None else feed
+    return files.select(name.alias("feed"), F.regexp_replace(text, r"\A\uFEFF", "").alias("value"))
 
 
 def read_feed_files(spark: SparkSession, path: str) -> DataFrame:

@@ -5,18 +5,21 @@ Preferred layout: reports written as a text table partitioned by
 digest replaces only that day's report of it).  Headlines keep their digest, so
 one reader's history never hides articles from another.  Reading the window then prunes partitions.  The flat layout of one
 ``reading_list_yyyyMMdd.md`` file per day is read too: only exact names count
-(``.md.old`` does not), and the date comes from the file name.
+(``.md.old`` does not), and the date comes from the file name; :func:`write_report_files`
+writes it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.functions.markdown import extract_headings, report_file_date, report_file_name, universal_newlines
 from gazette.operators.novelty import in_window
+from gazette.plans.stored import stored
 
 
 def headlines_from_reports(reports: DataFrame, markdown: str = "markdown", keys=("digest_id",)) -> DataFrame:
@@ -49,6 +52,55 @@ def read_report_table(spark: SparkSession, path: str) -> DataFrame:
     return files.select("digest_id", "digest_date", F.col("value").alias("markdown"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, whatever the store, and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def write_report_files(reports: DataFrame, path: str, by_digest: bool = False) -> list[tuple[str, str | None]]:
+    """One ``reading_list_yyyyMMdd.md`` per day in ``path`` (with ``by_digest`` in a folder per digest):
+    the files, each with None or what went wrong.
+
+    Reports are written to a staging folder first, by the cluster; when all are there, each file is
+    moved into place by the driver (as many moves as days).  A file that exists is replaced only by
+    a whole one: if writing or a move fails, the file of before stays and the failure is listed, not
+    raised.  A report without a date or text, or one of several for the same file, is listed and left
+    out.  A text that does not end in a line break gets one."""
+    spark = reports.sparkSession
+    folder = F.concat(F.col("digest_id").cast("string"), F.lit("/")) if by_digest else F.lit("")
+    named = reports.select(F.concat(folder, report_file_name(F.col("digest_date"))).alias("file"), F.col("markdown"))
+    known = F.col("file").isNotNull() & F.col("markdown").isNotNull()
+    single = F.count(F.lit(1)).over(Window.partitionBy("file")) == 1
+    judged = stored(named.withColumn("error", F.when(~known, F.lit("no date or text")).when(~single, F.lit("several reports for one file"))))
+    out = [(r["file"], r["error"]) for r in judged.filter("error IS NOT NULL").select("file", "error").distinct().collect()]
+    staging = f"{path.rstrip('/')}/.staging-{uuid.uuid4().hex}"
+    fs, make = _file_system(spark, path)
+    good = judged.filter("error IS NULL").select(F.regexp_replace("markdown", r"\n\z", "").alias("value"), F.md5("file").alias("_at"), "file")
+    names = {r["_at"]: r["file"] for r in good.select("_at", "file").collect()}  # one per day
+    try:
+        good.drop("file").repartition("_at").write.partitionBy("_at").text(staging)
+    except Exception as e:  # noqa: BLE001 - listed for every file; those of before stay
+        fs.delete(make(staging), True)
+        return out + [(name, f"not written: {type(e).__name__}") for name in names.values()]
+    for at, name in names.items():
+        to, kept = make(f"{path.rstrip('/')}/{name}"), make(f"{staging}/_at={at}/before")
+        try:
+            part = next(s.getPath() for s in fs.listStatus(make(f"{staging}/_at={at}")) if s.getPath().getName().startswith("part-"))
+            fs.mkdirs(to.getParent())
+            if fs.exists(to) and not fs.rename(to, kept):
+                raise OSError("the file of before could not be set aside")
+            if not fs.rename(part, to):
+                raise OSError("could not be moved")
+            out.append((name, None))
+        except Exception as e:  # noqa: BLE001 - one file's failure is its own
+            if fs.exists(kept) and not fs.exists(to):
+                fs.rename(kept, to)
+            out.append((name, str(e).splitlines()[0]))
+    fs.delete(make(staging), True)
+    return sorted(out, key=lambda x: (x[0] or "", x[1] or ""))
+
+
 def read_report_files(spark: SparkSession, path: str, as_of: dt.date | None = None, lookback_days: int | None = None):
     """Flat ``reading_list_yyyyMMdd.md`` files → ``(digest_date, markdown)``.
 
@@ -58,13 +110,8 @@ def read_report_files(spark: SparkSession, path: str, as_of: dt.date | None = No
     """
     if as_of is not None:
         names = [f"{path.rstrip('/')}/reading_list_{(as_of - dt.timedelta(days=i)).strftime('%Y%m%d')}.md" for i in range(lookback_days)]
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        existing = []
-        for name in names:
-            p = jvm.org.apache.hadoop.fs.Path(name)
-            if p.getFileSystem(conf).exists(p):
-                existing.append(name)
+        fs, make = _file_system(spark, path)
+        existing = [name for name in names if fs.exists(make(name))]
         if not existing:
             return spark.createDataFrame([], "digest_date date, markdown string")
         df = spark.read.text(existing, wholetext=True)
@@ -101,5 +148,6 @@ __all__ = [
     "read_report_files",
     "read_report_table",
     "report_file_name",
+    "write_report_files",
     "write_reports",
 ]

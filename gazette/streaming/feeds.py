@@ -3,11 +3,12 @@
 * :func:`stream_articles` — landed feed files as they arrive → parsed,
   isolated, keyword-filtered articles (stateless, the batch column functions);
 * :func:`suppress_repeats` — exact repeats by clean URL inside the lookback,
-  with a watermark bounding the dedup state;
-* :func:`run_daily_digests` — ``foreachBatch`` that runs the batch digest for
-  every day touched by a micro-batch, using the report table as history and
-  dynamic partition overwrite for the sink (a replayed batch rewrites the same
-  days, so the sink is idempotent).
+  with a watermark bounding the dedup state (:mod:`gazette.streaming.repeats`
+  counts them as well);
+* :func:`run_daily_digests` — ``foreachBatch`` that adds a micro-batch to the
+  article table and rebuilds the digest of every day it touches from all
+  articles of that day, with the reports of the days before as history.  Both
+  sinks overwrite what a replayed batch wrote, so a replay changes nothing.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.functions.text import any_keyword
 from gazette.functions.urls import clean_url
@@ -28,11 +30,12 @@ from gazette.sources.feeds import assign_seq, decoded_files, isolate_feeds, pars
 from gazette.sources.history import read_headlines, write_reports
 
 
-def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, feed_folders: bool = False) -> DataFrame:
+    folder = ", feed string" if feed_folders else ""
+    reader = spark.readStream.format("binaryFile").schema(f"path string, modificationTime timestamp, length long, content binary{folder}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return decoded_files(reader.load(path))
+    return decoded_files(reader.load(path), feed=F.col("feed") if feed_folders else None)
 
 
 def stream_articles(
@@ -43,9 +46,11 @@ def stream_articles(
     negative_keywords: Sequence[str] = (),
     on_bad_entry: str = "drop_feed",
     digest_id: str = "feeds",
+    feed_folders: bool = False,
 ) -> DataFrame:
-    """Streaming articles with the same semantics as the batch scan + filters."""
-    files = read_feed_stream(spark, path)
+    """Streaming articles with the same semantics as the batch scan + filters.  A feed is named by
+    its file, or by the ``feed=`` folder that holds it."""
+    files = read_feed_stream(spark, path, feed_folders=feed_folders)
     entries = isolate_feeds(parse_feeds(files), on_bad_entry)
     arts = assign_seq(entries, sources, digest_id=digest_id)
     keep = ~any_keyword(negative_keywords) & any_keyword(keywords)
@@ -54,38 +59,63 @@ def stream_articles(
 
 def suppress_repeats(articles: DataFrame, lookback_days: int = 7, ts: str = "published") -> DataFrame:
     """Drop a later arrival of the same clean URL seen within the watermark.  An article
-    without a date counts as seen when it arrives (``seen_at``)."""
+    without a date counts as seen when it arrives (``seen_at``); one without a link is
+    nobody's repeat."""
+    own = F.concat_ws(" ", F.lit("no link"), "digest_id", F.col("seq").cast("string"))
     return (
         articles.withColumn("clean_url", clean_url(F.col("link")))
         .withColumn("seen_at", F.coalesce(F.col(ts), F.current_timestamp()))
+        .withColumn("_key", F.coalesce("clean_url", own))
         .withWatermark("seen_at", f"{lookback_days} days")
-        .dropDuplicatesWithinWatermark(["clean_url"])
+        .dropDuplicatesWithinWatermark(["_key"])
+        .drop("_key")
     )
 
 
-def daily_digest_fn(cfg: DigestConfig, report_path: str, **enrichment: DataFrame) -> Callable[[DataFrame, int], None]:
-    """A ``digest_fn``: the batch pipeline on each day of a micro-batch.
+def land_articles(batch: DataFrame, epoch: int, path: str, stream: str = "feeds") -> None:
+    """Add a micro-batch to the article table, below its day, stream and epoch.
 
-    Reports of the days before (``report_path``) are the history, each digest seeing
-    its own; a day's own report is not, so a replayed batch writes the same report.
-    ``enrichment`` is passed to the enrichment step (pages, responses, ...).
+    A replayed epoch overwrites its own files only.  ``stream`` names one checkpoint: epochs
+    of another one start anew and need a name of their own.  Articles without a date stay in
+    the table (``digest_date`` NULL) and are in no report."""
+    keyed = batch.withColumns({"digest_date": F.to_date("published"), "stream": F.lit(stream), "epoch": F.lit(epoch).cast("long")})
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("digest_date", "stream", "epoch").parquet(path)
+
+
+def landed_articles(spark: SparkSession, path: str, batch_schema: T.StructType) -> DataFrame:
+    """The article table.  Of articles of one ``(digest_id, seq)`` and day, the last one landed counts."""
+    kinds = {"digest_date": T.DateType(), "stream": T.StringType(), "epoch": T.LongType()}
+    given = [f for f in batch_schema.fields if f.name not in kinds]
+    table = spark.read.schema(T.StructType([*given, *(T.StructField(k, t) for k, t in kinds.items())])).parquet(path)
+    last = Window.partitionBy("digest_date", "digest_id", "seq").orderBy(F.desc("epoch"), "stream")
+    return table.withColumn("_r", F.row_number().over(last)).filter("_r = 1").drop("_r", "stream", "epoch")
+
+
+def daily_digest_fn(cfg: DigestConfig, report_path: str, article_path: str, stream: str = "feeds", **enrichment: DataFrame) -> Callable[[DataFrame, int], None]:
+    """A ``digest_fn``: the batch pipeline on each day that a micro-batch touches.
+
+    A day's articles come from the table at ``article_path``, to which the batch is added
+    first, so a day may arrive in any number of batches.  Reports of the days before
+    (``report_path``) are the history, each digest seeing its own; a day's own report is not.
+    Days follow one another, as each is history to the next; reports of later days that
+    were written before are not rebuilt.  ``enrichment`` is passed to the enrichment step
+    (pages, responses, ...).
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
-        day = F.to_date("published")
-        articles = stored(batch.filter(F.col("published").isNotNull()).withColumn("digest_date", day))
-        days = articles.agg(F.min("digest_date").alias("first"), F.max("digest_date").alias("last")).head()
-        if days["first"] is None:
-            return
         spark = batch.sparkSession
-        reach = (days["last"] - days["first"]).days + cfg.novelty_lookback_days
-        try:
-            past = stored(read_headlines(spark, report_path, str(days["last"]), reach + 1))
-        except AnalysisException:  # no report yet
-            past = None
-        for at in [r["digest_date"] for r in articles.select("digest_date").distinct().orderBy("digest_date").collect()]:
-            today = articles.filter(F.col("digest_date") == F.lit(at))
-            history = None if past is None else embed(past.filter(F.col("digest_date") < F.lit(at)), "headline", encoder=cfg.encoder)
+        here = stored(batch)
+        days = [r["d"] for r in here.select(F.to_date("published").alias("d")).distinct().orderBy("d").collect()]  # of one batch: a few
+        if not days:
+            return
+        land_articles(here, epoch, article_path, stream)
+        for at in (d for d in days if d is not None):
+            today = landed_articles(spark, article_path, here.schema).filter(F.col("digest_date") == F.lit(at))
+            try:
+                past = stored(read_headlines(spark, report_path, str(at), cfg.novelty_lookback_days + 1).filter(F.col("digest_date") < F.lit(at)))
+                history = embed(past, "headline", encoder=cfg.encoder)
+            except AnalysisException:  # no report yet
+                history = None
             top = enrich(rank_and_select(today, cfg, history), cfg, **enrichment)
             write_reports(render_reports(top, title=cfg.title, block=cfg.block), report_path)
 

@@ -114,6 +114,68 @@ def test_no_page_fails_a_job(spark):
     assert got[4]["comments"] == "\n\n".join(["c"] * 50)
 
 
+def test_quotes_references_and_nested_boilerplate(spark):
+    rows = [
+        ("https://h.example/", '<article><img alt="a > b" src="/p.png">text</article>'),
+        ("https://h.example/", "<p title=don't>x</p><article data-x='1>2' CLASS=a>y</article>"),
+        ("https://h.example/", "<article>AT&amp T &copy 2024 &#146; &#x80; &bogus; &amp;lt; AT&T</article>"),
+        ("https://h.example/", '<article>a<div class="ad"><div>x</div>LEAK</div>b<nav>n<nav>m</nav>o</nav>c<div class="ad">rest</article>'),
+        ("https://h.example/", "<article></article></article><div class=\"post\">no</div><body>later</body>"),
+        ("https://h.example/", '<article><img data-src="/no.png" alt="src=x" src="/yes.png"/>t</article>'),
+    ]
+    a, b, c, d, e, f = _extract(spark, rows, "text", "image_url", "text_rules")
+    assert (a["text"], a["image_url"]) == ("text", "https://h.example/p.png")
+    assert b["text"] == "y"
+    assert c["text"] == "AT& T © 2024 ’ € &bogus; &lt; AT&T"
+    assert d["text_rules"] == "a\nb\nc"
+    assert e["text"] == "later"  # the first container is empty: the body's text
+    assert f["image_url"] == "https://h.example/yes.png"
+
+
+def test_pages_take_time_in_their_length(spark):
+    """100,000 comments, boilerplate elements or open tags, and 1 MB of blanks."""
+    import time
+
+    n = 100_000
+    comments = "<body>" + "".join(f'<div class="comment">c{i}</div>' for i in range(n)) + "</body>"
+    ads = "<body><article>" + "".join(f'<div class="ad">c{i}</div>t' for i in range(n)) + "</article></body>"
+    blanks = "<body><article>a" + " " * 1_000_000 + "b</article></body>"
+    started = time.time()
+    (x,) = _extract(spark, [("u", comments)], "comments")
+    assert x["comments"] == "\n\n".join(f"c{i}" for i in range(n))
+    (x,) = _extract(spark, [("u", ads)], "text_rules")
+    assert x["text_rules"] == "\n".join("t" * n)
+    (x,) = _extract(spark, [("u", blanks)], "text")
+    assert len(x["text"]) == 1_000_002
+    assert time.time() - started < 90
+
+
+def test_elements_match_a_stack(spark):
+    """Bracket matching by depth equals a stack per name, with ends and starts that lack their partner."""
+    import random
+
+    from gazette.functions import html as H
+
+    rng = random.Random(4)
+    pages = ["".join(rng.choice(["<div>", "<div>", "</div>", "<p>", "</p>", "x", "<div/>"]) for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string").withColumn("page", H.parsed(F.col("html")))
+    got = {r.i: [(e.name, e["at"], e.end) for e in r.e] for r in df.select("i", H._let(F.col("page"), lambda p: H.elements(p, F.array(F.lit("div"), F.lit("p")))).alias("e")).collect()}
+    import re
+
+    for i, page in enumerate(pages):
+        tags = re.findall("<[^>]+>", page)
+        want = []
+        for name in ("div", "p"):
+            open_ = []
+            for at, t in enumerate(tags, 1):
+                if t == f"<{name}>":
+                    open_.append(at)
+                elif t == f"</{name}>" and open_:
+                    want.append((name, open_.pop(), at))
+            want += [(name, s, len(tags) + 1) for s in open_]
+        assert sorted(got[i], key=lambda e: e[1]) == sorted(want, key=lambda e: e[1])
+
+
 def test_domain_rules(spark):
     page = "<body><article><nav>menu</nav><p>keep</p><div class=\"box ad\">buy</div><footer>f</footer><img src='/logo.png'><img src='pic.png'></article></body>"
     tech = "<body><main class='a template-content'><img class='wp-post-image' src='/author.png'><img src='/wp-content/x.png'>text</main></body>"
@@ -159,10 +221,11 @@ def test_feed_shapes_are_told_by_their_root(spark):
 
 
 def test_declared_encodings(spark, tmp_path):
+    (tmp_path / "d.xml").write_bytes(('<?xml version="1.0" encoding="Windows-1252"?>' + RSS.replace("A &amp; B", "it’s 5 €")).encode("windows-1252"))
     for name, charset in (("a", "ISO-8859-1"), ("b", "UTF-16"), ("c", "UTF-8")):
         (tmp_path / f"{name}.xml").write_bytes((f'<?xml version="1.0" encoding="{charset}"?>' + RSS.replace("A &amp; B", "café")).encode(charset))
     got = parse_feeds(read_feed_files(spark, str(tmp_path))).filter("entry_ord = 0").collect()
-    assert sorted((r.feed, r.title) for r in got) == [("a.xml", "café"), ("b.xml", "café"), ("c.xml", "café")]
+    assert sorted((r.feed, r.title) for r in got) == [("a.xml", "café"), ("b.xml", "café"), ("c.xml", "café"), ("d.xml", "it’s 5 €")]
 
 
 def test_custom_sources_keep_registration_order(spark):
