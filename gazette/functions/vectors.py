@@ -10,9 +10,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gazette.plans.stored import stored
+
 
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
@@ -106,3 +109,36 @@ def embed(df, col: str = "title", out: str = "embedding", encoder=None):
     """Attach an embedding column computed once from ``col``."""
     enc = encoder or hashed_bow_encoder()
     return df.withColumn(out, enc(F.col(col)))
+
+
+class EmbeddingStore:
+    """Vectors by content: a table of title hash and vector, so that a title is encoded once, whatever
+    the number of runs, digests and days that hold it.
+
+    ``model`` names the encoder; vectors of another one are kept apart.  A run adds the titles that the
+    table lacks, in one append; two runs at a time may both add a title, of which one vector counts."""
+
+    KINDS = "model string, title_key string, embedding array<double>"
+
+    def __init__(self, path: str, model: str, encoder=None):
+        self.path, self.model, self.encoder = path, model, encoder or hashed_bow_encoder()
+
+    def _known(self, spark) -> DataFrame:
+        try:
+            table = spark.read.schema(self.KINDS).parquet(self.path)
+        except AnalysisException:  # no run yet
+            return spark.createDataFrame([], self.KINDS)
+        return table.filter(F.col("model") == self.model)
+
+    def embed(self, df: DataFrame, col: str = "title", out: str = "embedding") -> tuple[DataFrame, int]:
+        """``df`` with the vector ``out`` of ``col``, and how many titles had to be encoded for it."""
+        spark, key = df.sparkSession, F.sha2(F.coalesce(F.col(col), F.lit("")), 256)
+        # one row per title before anything is joined: a title that many rows hold meets the store once
+        titles = df.select(key.alias("title_key"), F.coalesce(F.col(col), F.lit("")).alias("title")).dropDuplicates(["title_key"])
+        missing = titles.join(self._known(spark).select("title_key"), "title_key", "left_anti")
+        added = Observation()
+        new = embed(missing, "title", encoder=self.encoder).select(F.lit(self.model).alias("model"), "title_key", F.col("embedding").cast("array<double>").alias("embedding"))
+        stored(new.observe(added, F.count(F.lit(1)).alias("n"))).write.mode("append").parquet(self.path)
+        vectors = self._known(spark).groupBy(F.col("title_key").alias("_key")).agg(F.first("embedding").alias(out))
+        plain = df.drop(out)
+        return plain.join(vectors, key == F.col("_key"), "left").drop("_key"), added.get.get("n", 0)

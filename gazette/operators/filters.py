@@ -6,9 +6,10 @@ none needs a Python worker.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from gazette.functions.text import any_keyword, matched_keywords
@@ -85,6 +86,24 @@ def count_stages(stages: Sequence[tuple[str, DataFrame]], by: str = "digest_id")
     return out
 
 
+class StageTotals:
+    """Rows behind each stage of a run, observed while the run's own jobs pass them: no scan is added.
+
+    ``watch`` a frame on its way into the next step; ``rows`` gives ``(stage, n_rows)`` in order once the
+    jobs have run (it waits for them)."""
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, Observation]] = []
+
+    def watch(self, stage: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"{stage}-{uuid.uuid4().hex}")
+        self._seen.append((stage, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def rows(self) -> list[tuple[str, int]]:
+        return [(stage, seen.get.get("n_rows", 0)) for stage, seen in self._seen]
+
+
 def dry_run(df: DataFrame) -> DataFrame:
     """Enrichment stand-in: fixed summary / insight placeholders, no page reads."""
     return df.withColumn("generated_summary", F.lit(DRY_RUN_SUMMARY)).withColumn("why_care", F.lit(DRY_RUN_WHY_CARE))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gazette.functions.vectors import EmbeddingStore, hashed_bow_encoder
 from gazette.operators import enrich as en
 from gazette.operators import render as rd
 from gazette.plans import catalog as ct
@@ -223,3 +224,38 @@ def _():
     return f"""SELECT digest_id, '# Events - ' || digest_id || chr(10) || chr(10) || string_agg(CAST(r AS VARCHAR) || '. ' || source || ' ' || CAST(seq AS VARCHAR) || ' (' || source || ')' || chr(10), '' ORDER BY r) AS markdown
     FROM (SELECT {sq.EVENT_DIGEST} AS digest_id, event_id AS seq, event_type AS source, row_number() OVER (PARTITION BY {sq.EVENT_DIGEST} ORDER BY event_id) AS r FROM events)
     WHERE r <= {ct.REPORT_N} GROUP BY digest_id"""
+
+
+# ---------------------------------------------------------------- counts and vectors that come with a run
+@register("stage_totals")
+def q_stage_totals(spark, sf):
+    """Rows behind every stage, observed in the jobs of one run."""
+    arts = ct.embedding_candidates(spark, sf).withColumn("digest_date", F.col("as_of"))
+    cfg = ct.dg.DigestConfig(
+        keywords=["item"], negative_keywords=["item 1"], novelty_lookback_days=ct.LOOKBACK, novelty_similarity_threshold=ct.SIM_T, similarity_threshold=ct.SIM_T, max_articles=ct.BAL_N
+    )
+    totals = ct.flt.StageTotals()
+    stored(ct.dg.rank_and_select(arts, cfg, ct.embedding_headlines(spark, sf), totals))
+    rows = [(i, stage, n) for i, (stage, n) in enumerate(totals.rows())]
+    return spark.createDataFrame(rows, "stage_ord int, stage string, n_rows long")
+
+
+@sql("stage_totals")
+def _():
+    return f"SELECT stage_ord, stage, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({sq.ORACLE['digest_stage_counts']}) GROUP BY stage_ord, stage"
+
+
+@register("embedding_store")
+def q_embedding_store(spark, sf):
+    """Title vectors by way of the store: a run over half of the documents, then one over all."""
+    arts = tb.documents_articles(spark, sf).drop("embedding")
+    store = EmbeddingStore(new_path(spark), f"bow-{ct.ENCODER_DIM}", hashed_bow_encoder(ct.ENCODER_DIM))
+    store.embed(arts.filter("seq % 2 = 0"))
+    vectors, _ = store.embed(arts)
+    places = vectors.select("seq", F.posexplode("embedding").alias("place", "weight")).filter("weight <> 0")
+    return places.select("seq", F.col("place").cast("bigint").alias("place"), F.round("weight", 9).alias("weight"))
+
+
+@sql("embedding_store")
+def _():
+    return sq.ORACLE["title_embedding"]

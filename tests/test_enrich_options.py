@@ -55,3 +55,31 @@ def test_generator_hook_isolates_failures(spark):
     # content falls back to the feed summary only when the bundle is empty
     p = {r.seq: r.prompt for r in arts.collect()}
     assert p[4].startswith("D|Main Article from")
+
+
+def test_titles_are_encoded_once(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from gazette.functions.vectors import EmbeddingStore, embed, hashed_bow_encoder
+
+    path = tempfile.mkdtemp(prefix="gz-store-") + "/s"
+    df = spark.createDataFrame([(1, "red stone"), (2, "red stone"), (3, None), (4, ""), (5, "Blue")], "seq long, title string")
+    store = EmbeddingStore(path, "bow", hashed_bow_encoder(16))
+    first, n = store.embed(df)
+    want = {r.seq: r.embedding for r in embed(df, encoder=hashed_bow_encoder(16)).collect()}
+    assert n == 3 and {r.seq: r.embedding for r in first.collect()} == want
+    assert store.embed(df)[1] == 0  # a second run encodes nothing
+    assert store.embed(df.unionByName(spark.createDataFrame([(6, "green")], df.schema)))[1] == 1
+    assert EmbeddingStore(path, "other", hashed_bow_encoder(8)).embed(df)[1] == 3  # another model's vectors
+    assert store.embed(df.withColumn("embedding", F.lit(1)))[0].count() == 5 and store.embed(df.limit(0))[0].count() == 0
+
+
+def test_totals_come_with_the_run(spark):
+    from gazette.operators.filters import StageTotals, keyword_filter
+
+    df = spark.createDataFrame([("d", i, f"t{i}", "s") for i in range(7)], "digest_id string, seq long, title string, summary string")
+    totals = StageTotals()
+    kept = totals.watch("keywords", keyword_filter(totals.watch("input", df), ["t1", "t2"]))
+    assert kept.count() == 2 and totals.rows() == [("input", 7), ("keywords", 2)]
