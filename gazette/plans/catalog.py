@@ -474,36 +474,50 @@ def comment_pages(spark, sf):
     """Comment threads rendered as pages from ``conversations`` (one per conv)."""
     c = tb.read_table(spark, sf, "conversations")
     esc = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    turns = c.groupBy("conv_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("turn", esc.alias("t")))), lambda x: F.concat(F.lit('<div class="comment">'), x["t"], F.lit("</div>"))),
-            "",
-        ).alias("body")
-    )
+    # outer and inner elements by the number of the conversation: each comment selector decides some pages
+    kinds = [
+        ('<div class="comments">', "</div>", '<div class="comment">', "</div>"),
+        ('<section class="a comments">', "</section>", "<article class=comment>", "</article>"),
+        ("<div id='discussion'>", "</div>", "<p>", "</p>"),
+        ('<div class="x feedback y" title="a > b">', "</div>", "<p>", "</p>"),
+        ('<div id="comments">', "</div>", '<DIV CLASS="comment">', "</DIV>"),
+    ]
+    part = lambda i: F.element_at(F.array(*[F.lit(k[i]) for k in kinds]), (F.col("conv_id") % len(kinds) + 1).cast("int"))
+    turns = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", esc.alias("t")))).alias("said"))
+    body = F.array_join(F.transform("said", lambda x: F.concat(part(2), x["t"], part(3))), "")
+    page = F.concat(part(0), body, part(1))
     return turns.select(
         F.concat(F.lit("conv://"), F.col("conv_id").cast("string")).alias("url"),
-        F.concat(F.lit('<html><body><div class="comments">'), F.col("body"), F.lit("</div></body></html>")).alias("html"),
+        F.concat(F.lit("<html><body>"), page, F.lit("</body></html>")).alias("html"),
     )
 
 
 def decorated_pages(spark, sf):
     """``pages`` with what they lack, by expression on the page's number: ``og:image`` and
-    ``twitter:image`` tags (some empty), images and boilerplate inside the article, and hosts
-    that the domain rules name."""
+    ``twitter:image`` tags (some empty), images and boilerplate inside the article, comments, and
+    hosts that the domain rules name, with and without the elements that these look for."""
     p = tb.pages_table(spark, sf)
     k, number = F.col("page_id") % 6, F.col("page_id").cast("string")
+    tech = F.when(F.col("page_id") % 7 == 0, F.floor(F.col("page_id") / 7) % 4)  # kind of techcrunch.com page
+    say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
     meta = (
-        F.when(k == 0, F.concat(F.lit('<meta property="og:image" content="/og/'), number, F.lit('.png">')))
-        .when(k == 1, F.concat(F.lit('<meta property="og:image" content=""><meta name="twitter:image" content="https://t.example/'), number, F.lit('.png">')))
+        F.when(k == 0, say('<meta property="og:image" content="/og/', number, '.png">'))
+        .when(k == 1, say('<meta property="og:image" content=""><meta name="twitter:image" content="https://t.example/', number, '.png">'))
         .otherwise(F.lit(""))
     )
     article = F.concat(
-        F.when(k == 2, F.concat(F.lit('<img src="/logo/x.png"><img src="/pic/'), number, F.lit('.png">'))).otherwise(F.lit("")),
-        F.when(k == 3, F.lit('<div class="box ad">buy this</div><template><p>hidden</p></template>')).otherwise(F.lit("")),
+        F.when(k == 2, say('<img src="/logo/x.png"><img src="/pic/', number, '.png">')).otherwise(F.lit("")),
+        F.when(k == 3, F.lit('<div class="box ad"><div>buy</div> this</div><template><p>hidden</p></template>')).otherwise(F.lit("")),
         F.when(k == 4, F.lit("<nav>menu here</nav><footer>small print</footer>")).otherwise(F.lit("")),
+        F.when(tech == 1, say('<img alt="a > b" class="size-x wp-post-image" src="/t/', number, '.png">'))
+        .when(tech == 2, say('<img class="wp-post-image" src="/author/', number, '.png"><main class="wide template-content"><img src="/other.png"><img src="/wp-content/', number, '.png">words ', number, "</main>"))
+        .when(tech == 3, say("<main class='template-content'>tech ", number, '<div class="advertisement">no</div></main>'))
+        .otherwise(F.lit("")),
     )
-    html = F.regexp_replace(F.regexp_replace("html", "(?i)</head>", F.concat(meta, F.lit("</head>"))), "(?i)<article>", F.concat(F.lit("<article>"), article))
-    url = F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("https://techcrunch.com/"), number)).otherwise(F.col("url"))
+    comments = F.when(F.col("page_id") % 5 == 0, say('<div id="feedback">nice ', number, "</div>")).otherwise(F.lit(""))
+    html = F.regexp_replace("html", "(?i)</head>", F.concat(meta, F.lit("</head>")))
+    html = F.concat(F.regexp_replace(html, "(?i)<article>", F.concat(F.lit("<article>"), article)), comments)  # behind the last end tag
+    url = F.when(F.col("page_id") % 7 == 0, say("https://techcrunch.com/", number)).otherwise(F.col("url"))
     return p.select("page_id", url.alias("url"), html.alias("html"))
 
 
@@ -528,7 +542,7 @@ def q_page_text_clean(spark, sf):
 
 @register("page_stats")
 def q_page_stats(spark, sf):
-    x = extracted_pages(spark, sf)
+    x = extracted_pages(spark, sf, decorated=True)
     return x.select(
         "page_id", "title", F.length("text").cast("bigint").alias("text_chars"), F.length("text_rules").cast("bigint").alias("clean_chars"),
         "image_url", "image_rules", F.col("comments").isNotNull().alias("has_comments"),

@@ -478,10 +478,9 @@ PAGE_ART = f"""(SELECT page_id AS seq, url AS link, html,
       regexp_extract(url, {AUTH_RE}, 1) AS source,
       'conv://' || CAST(page_id AS VARCHAR) AS comments_link FROM pages)"""
 COMMENTS = f"""(SELECT 'conv://' || CAST(conv_id AS VARCHAR) AS comments_link,
-      CASE WHEN count(t) FILTER (WHERE t <> '') = 0 THEN NULL ELSE
-        string_agg(t, ' ' ORDER BY turn) FILTER (WHERE t <> '') || chr(10) || chr(10) ||
-        string_agg(t, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE t <> '') END AS comments
-    FROM (SELECT conv_id, turn, trim(text, {TRIM}) AS t FROM conversations) GROUP BY conv_id)"""
+      CASE WHEN one IS NULL THEN NULL WHEN conv_id % 5 < 2 THEN one || chr(10) || chr(10) || each WHEN conv_id % 5 < 4 THEN one ELSE each || chr(10) || chr(10) || one END AS comments
+    FROM (SELECT conv_id, string_agg(t, ' ' ORDER BY turn) FILTER (WHERE t <> '') AS one, string_agg(t, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE t <> '') AS each
+      FROM (SELECT conv_id, turn, trim(text, {TRIM}) AS t FROM conversations) GROUP BY conv_id))"""
 CONTENT = f"""(SELECT a.seq, a.link, a.title, a.source, a.comments_link,
       CASE WHEN p.text IS NOT NULL AND length(p.text) > 0 AND c.comments IS NOT NULL AND length(c.comments) > 0
            THEN p.text || chr(10) || chr(10) || 'COMMENTS:' || chr(10) || c.comments ELSE p.text END AS content
@@ -501,30 +500,36 @@ def _():
     return f"SELECT page_id, text FROM {PAGE_TEXT}"
 
 
-# the boilerplate that the pages are decorated with never reaches the text; a techcrunch.com
-# page has no main.template-content, so the domain rule misses
+# what the pages are decorated with, by their number (catalog.decorated_pages)
+NUMBER = "CAST(page_id AS VARCHAR)"
+TECH = "CASE WHEN page_id % 7 = 0 THEN page_id // 7 % 4 END"
+CLEAN_TEXT = f"""CASE WHEN page_id % 7 <> 0 THEN array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+      lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10)) ELSE CASE {TECH} WHEN 2 THEN 'words ' || {NUMBER} WHEN 3 THEN 'tech ' || {NUMBER} END END"""
+SITE = f"lower(regexp_extract(url, {SCHEME_RE}, 1)) || '://' || regexp_extract(url, {AUTH_RE}, 1)"
+PAGE_IMAGE = f"""CASE page_id % 6 WHEN 0 THEN '/og/' || {NUMBER} || '.png' WHEN 1 THEN 'https://t.example/' || {NUMBER} || '.png'
+      WHEN 2 THEN CASE WHEN page_id % 7 = 0 THEN 'https://techcrunch.com' ELSE {SITE} END || '/logo/x.png'
+      ELSE CASE {TECH} WHEN 1 THEN 'https://techcrunch.com/t/' || {NUMBER} || '.png' WHEN 2 THEN 'https://techcrunch.com/author/' || {NUMBER} || '.png' END END"""
+RULE_IMAGE = f"""CASE WHEN page_id % 7 = 0 THEN CASE {TECH} WHEN 1 THEN '/t/' || {NUMBER} || '.png' WHEN 2 THEN '/wp-content/' || {NUMBER} || '.png' END
+      ELSE CASE page_id % 6 WHEN 0 THEN '/og/' || {NUMBER} || '.png' WHEN 1 THEN '' WHEN 2 THEN '/pic/' || {NUMBER} || '.png' END END"""
+
+
 @sql("page_text_clean")
 def _():
-    return f"""SELECT page_id, CASE WHEN page_id % 7 = 0 THEN NULL ELSE array_to_string(list_filter(list_transform(string_split(text, chr(10)),
-      lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10)) END AS text FROM {PAGE_TEXT}"""
+    return f"SELECT page_id, {CLEAN_TEXT} AS text FROM {PAGE_TEXT}"
 
 
 @sql("page_image")
 def _():
-    number = "CAST(page_id AS VARCHAR)"
-    site = f"CASE WHEN page_id % 7 = 0 THEN 'https://techcrunch.com' ELSE lower(regexp_extract(url, {SCHEME_RE}, 1)) || '://' || regexp_extract(url, {AUTH_RE}, 1) END"
-    return f"""SELECT page_id,
-      CASE page_id % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN 'https://t.example/' || {number} || '.png' WHEN 2 THEN {site} || '/logo/x.png' END AS image_url,
-      CASE WHEN page_id % 7 = 0 THEN NULL ELSE CASE page_id % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN '' WHEN 2 THEN '/pic/' || {number} || '.png' END END AS image_rules
-    FROM pages"""
+    return f"SELECT page_id, {PAGE_IMAGE} AS image_url, {RULE_IMAGE} AS image_rules FROM pages"
 
 
 @sql("page_stats")
 def _():
+    added = f"""CASE page_id % 6 WHEN 3 THEN 'buy' || chr(10) || 'this' WHEN 4 THEN 'menu here' || chr(10) || 'small print' END,
+      CASE {TECH} WHEN 2 THEN 'words ' || {NUMBER} WHEN 3 THEN 'tech ' || {NUMBER} || chr(10) || 'no' END"""
     return f"""SELECT page_id, replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title,
-      CAST(length(text) AS BIGINT) AS text_chars,
-      CAST(length(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, {TRIM})), lambda l: l <> ''), chr(10))) AS BIGINT) AS clean_chars,
-      CAST(NULL AS VARCHAR) AS image_url, CAST(NULL AS VARCHAR) AS image_rules, FALSE AS has_comments FROM {PAGE_TEXT}"""
+      CAST(length(concat_ws(chr(10), {added}, text)) AS BIGINT) AS text_chars, CAST(length({CLEAN_TEXT}) AS BIGINT) AS clean_chars,
+      {PAGE_IMAGE} AS image_url, {RULE_IMAGE} AS image_rules, page_id % 5 = 0 AS has_comments FROM {PAGE_TEXT}"""
 
 
 @sql("page_comments")
@@ -552,12 +557,10 @@ def _():
 
 @sql("image_choice")
 def _():
-    number = "CAST({t}.seq AS VARCHAR)"
-    site = f"CASE WHEN {{t}}.seq % 7 = 0 THEN 'https://techcrunch.com' ELSE lower(regexp_extract({{t}}.link, {SCHEME_RE}, 1)) || '://' || {{t}}.source END"
-    img = f"CASE {{t}}.seq % 6 WHEN 0 THEN '/og/' || {number} || '.png' WHEN 1 THEN 'https://t.example/' || {number} || '.png' WHEN 2 THEN {site} || '/logo/x.png' END"
-    return f"""SELECT m.seq, coalesce(any_value({img.format(t='m')}), min_by({img.format(t='r')}, r.seq)) AS image_url
-    FROM {PAGE_ART} m JOIN (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l ON m.seq = l.lead
-    LEFT JOIN {PAGE_ART} r ON r.title = m.title AND r.seq > m.seq GROUP BY m.seq"""
+    image = f"(SELECT page_id, {PAGE_IMAGE} AS image FROM pages)"
+    return f"""SELECT m.seq, coalesce(any_value(mi.image), min_by(ri.image, r.seq)) AS image_url
+    FROM {PAGE_ART} m JOIN (SELECT title, min(seq) AS lead FROM {PAGE_ART} GROUP BY title) l ON m.seq = l.lead JOIN {image} mi ON mi.page_id = m.seq
+    LEFT JOIN {PAGE_ART} r ON r.title = m.title AND r.seq > m.seq LEFT JOIN {image} ri ON ri.page_id = r.seq GROUP BY m.seq"""
 
 
 def _prompt_sql() -> str:
