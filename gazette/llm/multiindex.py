@@ -8,11 +8,13 @@ For each half the distance to such a plane is known; with the centroids of both
 halves in order of that distance (the multi-sequence order) a vector visits cells
 until the sum of the squared distances leaves the bound.
 
-The bound follows from the target recall.  For recall 1, the default, it is ``2 - 2c``
-itself and no neighbour can be missed; below 1 a neighbour's offset is taken to point
-anywhere (each direction gets ``(2 - 2c) / dimensions`` of it), and the bound leaves out
-cells that each hold a neighbour with a probability of at most ``1 - recall``.  Vectors
-that lie near few dimensions lose more than that, as may the cells left out together.
+The bound follows from the target recall.  For recall 1 it is ``2 - 2c`` itself and no
+neighbour can be missed, but in many dimensions most cells lie within it.  Below 1, the
+default, it is measured on the fitting sample: the way that neighbours really have to go,
+of pairs of sample vectors at the cosine and of pairs made exactly at it, with offsets of
+the sample's own spread and of all directions alike; the bound is the ``recall`` quantile
+of the kind that goes furthest.  Made pairs are the farthest that count as neighbours, so
+most links are found with more than that probability.
 
 Of two cells only one visits the other (the one less than half a turn before it), so
 a pair meets once.  Cells are cut into blocks of bounded rows; every block pair is
@@ -47,8 +49,10 @@ from gazette.llm.common import materialize, unit
 from gazette.llm.components import components
 
 LEAST_COSINE = 0.93
-#: Share of neighbours found for certain; below 1 only where offsets point equally in all directions.
-RECALL = 1.0
+#: Share of neighbours at the very cosine whose cells are visited; 1: all, by the exact bound.
+RECALL = 0.9999
+#: Pairs of each kind on which the bound is measured.
+MEASURED_PAIRS = 20_000
 SAMPLE_ROWS = 16_384
 #: Rows of a cell, and of its visitors, that meet in one task.
 HOME_ROWS, VISITOR_ROWS = 1024, 2048
@@ -132,10 +136,42 @@ class Grid:
         return home, row[forward], cell[forward]
 
 
-def bound_of(least: float, recall: float, dimensions: int) -> float:
+def _made_pairs(x: np.ndarray, spread: np.ndarray, least: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample, and one at exactly the cosine ``least`` from each, off in a direction drawn by ``spread``."""
+    a = x[rng.integers(0, len(x), MEASURED_PAIRS)]
+    off = rng.normal(size=(MEASURED_PAIRS, len(spread))) @ spread
+    off -= (off * a).sum(axis=1, keepdims=True) * a
+    length = np.linalg.norm(off, axis=1, keepdims=True)
+    some = length[:, 0] > 1e-9
+    return a[some], least * a[some] + math.sqrt(max(0.0, 1 - least * least)) * off[some] / length[some]
+
+
+def _ways(grid: Grid, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distance across cell borders from each row of ``a`` to the cell of the same row of ``b``."""
+    cut = (a.shape[1] + 1) // 2
+    out = np.zeros(len(a))
+    for half, part in ((0, slice(0, cut)), (1, slice(cut, None))):
+        to = grid.crossings(b[:, part], half)[0]
+        out += grid.crossings(a[:, part], half)[1][np.arange(len(a)), to]
+    return out
+
+
+def bound_of(grid: Grid, x: np.ndarray, least: float, recall: float) -> float:
     """Square of the way across cell borders beyond which no cell is visited."""
-    whole = 2 - 2 * least
-    return whole * (1 + 1e-9) + 1e-12 if recall >= 1 else min(whole, -2 * math.log(1 - recall) * whole / dimensions)
+    whole = (2 - 2 * least) * (1 + 1e-9) + 1e-12
+    if recall >= 1 or len(x) < 2:
+        return whole
+    rng = np.random.default_rng(17)
+    deviations = (x - x.mean(axis=0)) / math.sqrt(len(x))
+    # a factor of the sample's covariance; all directions alike
+    kinds = [_made_pairs(x, np.linalg.qr(deviations, mode="r"), least, rng), _made_pairs(x, np.eye(x.shape[1]), least, rng)]
+    asked = x[:2048]  # the sample is in random order
+    i, j = np.nonzero(np.triu(asked @ x.T >= least, 1))
+    if len(i):
+        drawn = rng.permutation(len(i))[:MEASURED_PAIRS]
+        kinds.append((asked[i[drawn]], x[j[drawn]]))
+    ways = [np.concatenate([_ways(grid, a, b), _ways(grid, b, a)]) for a, b in kinds if len(a)]
+    return min(whole, max((float(np.quantile(w, recall, method="higher")) for w in ways), default=whole) * (1 + 1e-9) + 1e-12)
 
 
 def fit(sample: list[bytes], codes: int, least: float, recall: float) -> dict[int, Grid]:
@@ -144,7 +180,8 @@ def fit(sample: list[bytes], codes: int, least: float, recall: float) -> dict[in
     for size in sorted({len(v) for v in sample}):
         x = _unit_rows([v for v in sample if len(v) == size])
         cut = (x.shape[1] + 1) // 2
-        grids[size] = Grid((_codebook(x[:, :cut], codes), _codebook(x[:, cut:], codes)), bound_of(least, recall, x.shape[1]))
+        grids[size] = Grid((_codebook(x[:, :cut], codes), _codebook(x[:, cut:], codes)), 0.0)
+        grids[size].bound = bound_of(grids[size], x, least, recall)
     return grids
 
 

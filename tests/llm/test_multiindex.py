@@ -85,5 +85,36 @@ def test_no_link_is_lost_on_low_dimensional_vectors(spark, monkeypatch):
     basis = rng.normal(size=(4, 64))
     rows = [(i, 1, [float(x) for x in np.float32(rng.normal(size=4) @ basis)]) for i in range(1500)]  # rank 4 of 64
     want = brute_force(rows)
-    got = sorted((tuple(r) for r in M.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    got = sorted((tuple(r) for r in M.near_duplicates(spark.createDataFrame(rows, SCHEMA), recall=1.0).collect()), key=str)
     assert sum(r[1] for r in want) > 5000 and got == want
+
+
+def spread_by(kind, rng, n, dimensions=64):
+    if kind == "isotropic":
+        return rng.normal(size=(n, dimensions))
+    if kind == "falling":  # a 1/k spectrum
+        return rng.normal(size=(n, dimensions)) / np.arange(1, dimensions + 1)
+    if kind == "rank 4":
+        return rng.normal(size=(n, 4)) @ rng.normal(size=(4, dimensions))
+    centres = rng.normal(size=(200, dimensions))
+    return centres[rng.integers(0, 200, n)] + 0.2 * rng.normal(size=(n, dimensions))
+
+
+def test_the_measured_bound_prunes_and_keeps_its_recall():
+    """Pairs found by the visits of a fine grid (64 codes a half), and the share of cells visited."""
+    for kind in ("isotropic", "falling", "rank 4", "clustered"):
+        rng = np.random.default_rng(7)
+        x = spread_by(kind, rng, 6000)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        offsets = spread_by(kind, rng, 3000)
+        y = x[:3000] + offsets * (0.25 / np.linalg.norm(offsets, axis=1, keepdims=True))  # near copies, off by the same spread
+        x = np.vstack([x, y / np.linalg.norm(y, axis=1, keepdims=True)])
+        grid = M.fit([v.tobytes() for v in rng.permutation(x)], 64, 0.93, M.RECALL)[64 * 8]
+        home, row, cell = grid.visits(x)
+        visited = set(zip(row.tolist(), cell.tolist()))
+        a, b = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+        found = np.mean([(i, home[j]) in visited or (j, home[i]) in visited for i, j in zip(a[:60_000].tolist(), b[:60_000].tolist())])
+        share = len(row) / len(x) / 4096
+        print(f"{kind}: recall {found:.5f} of {len(a)} pairs, {share:.2%} of the cells visited")
+        assert len(a) > 1000 and found >= 0.99
+        assert share <= 0.05 or kind not in ("isotropic", "clustered")
