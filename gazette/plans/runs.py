@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gazette.functions.vectors import EmbeddingStore, hashed_bow_encoder
 from gazette.operators import enrich as en
 from gazette.operators import render as rd
+from gazette.operators.history_index import HistoryIndex, novelty_by_index
 from gazette.plans import catalog as ct
 from gazette.plans import flagship as fs
 from gazette.plans import oracle as sq
@@ -259,3 +260,19 @@ def q_embedding_store(spark, sf):
 @sql("embedding_store")
 def _():
     return sq.ORACLE["title_embedding"]
+
+
+@register("novelty_indexed")
+def q_novelty_indexed(spark, sf):
+    """The novelty filter by way of an index of the history, filled in two runs."""
+    index, heads = HistoryIndex(new_path(spark), pivots=16), ct.embedding_headlines(spark, sf)
+    early = F.col("digest_date") < F.date_add(F.lit(ct.HIST_BASE).cast("date"), 4)
+    index.add(heads.filter(early))
+    index.add(heads.filter(~early))
+    out = novelty_by_index(ct.embedding_candidates(spark, sf), index, lookback_days=ct.LOOKBACK, threshold=ct.SIM_T)
+    return out.select("seq", "source")
+
+
+@sql("novelty_indexed")
+def _():
+    return sq.ORACLE["novelty_filter"]
