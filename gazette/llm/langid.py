@@ -8,15 +8,18 @@ language of the centroid of highest cosine.  A text whose distance from its
 nearest centroid goes beyond the distances seen in training is flagged
 ``rejected``: it keeps its nearest language in ``lang_pred``, a filter drops it.
 
-The model (document frequencies and centroids) is fitted on a bounded sample,
-``per_language`` documents of each language; it holds languages x clusters x
-dimensions numbers, whatever the corpus' size.  Every text is read whole.
+Document frequencies are counted over all training documents.  The centroids are fitted on
+a bounded sample, ``per_language`` documents of each language and ``MOST_TRAINING`` of all;
+the model holds ``MOST_CENTROIDS`` x dimensions numbers at most, whatever the corpus' size
+and however many languages it names (more than ``MOST_CENTROIDS`` raise).  Every text is
+read whole.
 
 Defined cases: NULL texts and texts without a letter give ``und`` with score 0
 and are rejected; without any training document every row does; a text with
 letters always gets a learned language; ties go to the first language by code
 point; repeated rows are each predicted; extra columns are ignored; a NULL
-``doc_id`` is never held out and never trained on.
+``doc_id`` is never held out and never trained on; of several texts of one
+``doc_id`` and language the centroids see one.
 """
 
 from __future__ import annotations
@@ -37,9 +40,11 @@ from gazette.llm.sampling import sample_per_label
 DIMENSIONS = 4096
 #: Training documents of each language at most.
 PER_LANGUAGE = 600
-#: Training documents of all languages together, where that leaves 20 of each.
+#: Training documents of all languages together.
 MOST_TRAINING = 9_600
 CLUSTERS = 4
+#: Centroids of all languages together, and so the languages that can be told apart.
+MOST_CENTROIDS = 1_600
 #: A text is rejected below this share of the least cosine seen in training (one in a thousand left out).
 REJECT_SHARE = 0.5
 #: A text of fewer n-grams says too little to be far from every language and is not rejected.
@@ -94,11 +99,11 @@ class CentroidModel:
         return best, np.clip(top.astype(np.float64), 0, 1), (top < self.least[best]) & (counts.sum(axis=1) >= LEAST_GRAMS)
 
 
-def fit(weights: np.ndarray, languages: list[str], clusters: int = CLUSTERS) -> CentroidModel:
+def fit(weights: np.ndarray, languages: list[str], idf: np.ndarray, clusters: int = CLUSTERS) -> CentroidModel:
     """``weights``: log(1 + count) of each n-gram, one row per training text."""
-    idf = np.log((1 + len(weights)) / (1 + (weights > 0).sum(axis=0))) + 1
     x = _scaled(weights * idf.astype(np.float32)).astype(np.float32)
     labels = np.array(languages, object)
+    clusters = max(1, min(clusters, MOST_CENTROIDS // max(1, len(set(languages)))))
     rows, names, least = [np.zeros((0, weights.shape[1]), np.float32)], [], []
     for name in sorted(set(languages)):
         own = x[labels == name]
@@ -110,6 +115,26 @@ def fit(weights: np.ndarray, languages: list[str], clusters: int = CLUSTERS) ->
     return CentroidModel(idf, np.vstack(rows).astype(np.float32), names, np.array(least))
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that hold each n-gram, summed over the task's rows; under -1 the count of documents."""
+    held, n = np.zeros(DIMENSIONS, np.int64), 0
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            if _LETTER.search(text):
+                held += count_grams(text) > 0
+                n += 1
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, DIMENSIONS, dtype=np.int32)), pa.array(np.concatenate([[n], held]))], names=["gram", "n"])
+
+
+def inverse_frequencies(texts: DataFrame) -> np.ndarray:
+    """The weight of each n-gram by its document frequency over all rows of ``text``: partial sums meet by n-gram."""
+    found = texts.select("text").mapInArrow(_frequencies, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(DIMENSIONS + 1, np.int64)
+    for r in found:  # one row per n-gram
+        counts[r["gram"] + 1] = r["n"]
+    return np.log((1 + counts[0]) / (1 + counts[1:])) + 1
+
+
 def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [np.log1p(count_grams(t)).astype(np.float16).tobytes() if _LETTER.search(t) else None for t in batch.column("text").to_pylist()]
@@ -117,18 +142,23 @@ def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_on(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> CentroidModel:
-    """Fit on a bounded sample of the rows of ``docs`` that ``train`` selects.  The driver
-    gets ``per_language`` vectors of each language, not the texts."""
+    """Fit on the rows of ``docs`` that ``train`` selects, the centroids on a bounded sample of them.  The driver
+    gets one vector of each document in the sample, not the texts."""
     text_batches(docs.sparkSession)
     usable = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     usable = usable.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    per_language = min(per_language, max(20, MOST_TRAINING // max(1, usable.select("lang").distinct().count())))
-    ids = materialize(sample_per_label(usable.select("doc_id", "lang"), "lang", per_language, "langid").select(F.col("doc_id").alias("_id")).distinct())
-    rows = usable.join(broadcast_if_small(ids, ids.count()), F.col("doc_id") == F.col("_id"), "left_semi")
-    sample = rows.mapInArrow(_weights, "doc_id long, lang string, w binary").where("w IS NOT NULL").toPandas()
-    sample = sample.sort_values(["doc_id", "lang", "w"], ignore_index=True)
+    languages = usable.select("lang").distinct().count()
+    if languages > MOST_CENTROIDS:
+        raise ValueError(f"{languages} languages; at most {MOST_CENTROIDS} can be told apart")
+    per_language = min(per_language, max(1, MOST_TRAINING // max(1, languages)))
+    drawn = sample_per_label(usable.select("doc_id", "lang"), "lang", per_language, "langid")
+    ids = materialize(drawn.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")))
+    rows = usable.join(broadcast_if_small(ids, ids.count()), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    vectors = rows.mapInArrow(_weights, "doc_id long, lang string, w binary").where("w IS NOT NULL")
+    sample = vectors.groupBy("doc_id", "lang").agg(F.min("w").alias("w")).toPandas()
+    sample = sample.sort_values(["doc_id", "lang"], ignore_index=True)
     weights = np.frombuffer(b"".join(sample["w"]), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
-    return fit(weights, sample["lang"].tolist())
+    return fit(weights, sample["lang"].tolist(), inverse_frequencies(usable))
 
 
 def predict(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None, text: str = "text") -> DataFrame:
