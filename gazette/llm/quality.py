@@ -18,7 +18,8 @@ Defined cases: a NULL or empty text says nothing (its own log odds are the globa
 rate's) and is judged by its site alone; NULL host or path is a site of its own;
 without labels of both classes all evidence is neutral and every document is
 kept; labels that are neither 0 nor 1 and labels of a NULL ``doc_id`` are
-ignored, of repeated labels the mean counts; repeated rows are judged alike.
+ignored, of repeated labels the mean counts; repeated rows are judged alike, and of
+several texts of one ``doc_id`` the classifier is fitted on one.
 Extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -107,8 +108,9 @@ def fit_on(docs: DataFrame, known: DataFrame, per_class: int = PER_CLASS) -> Log
     there = known.withColumn("good", F.round("good")).join(ids, F.col("_id") == F.col("doc_id"))
     sample = materialize(sample_per_label(there.select("doc_id", "good"), "good", per_class, "quality").select(F.col("doc_id").alias("_id"), "good"))
     rows = texts.join(broadcast_if_small(sample, sample.count()), F.col("doc_id") == F.col("_id"))
-    found = rows.select("doc_id", "good", "text").mapInArrow(_shapes, "doc_id long, good double, x binary").toPandas()
-    found = found.sort_values(["doc_id", "x"], ignore_index=True)
+    shapes = rows.select("doc_id", "good", "text").mapInArrow(_shapes, "doc_id long, good double, x binary")
+    found = shapes.groupBy("doc_id").agg(F.min("good").alias("good"), F.min("x").alias("x")).toPandas()  # one row of each document
+    found = found.sort_values("doc_id", ignore_index=True)
     if found["good"].nunique() < 2:
         return None
     return fit(np.frombuffer(b"".join(found["x"]), np.float32).reshape(-1, FEATURES), found["good"].to_numpy(np.float64))

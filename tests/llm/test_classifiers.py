@@ -70,3 +70,110 @@ def test_quality_of_awkward_rows(spark):
     assert all(r.kept for r in neutral) and len(neutral) == df.count()
     assert quality.judge(none(spark), labels).count() == 0
     assert quality.judge(df, labels.limit(0)).count() == df.count()
+
+
+def grams(text):
+    """The same n-grams in plain Python: letters and bytes beyond ASCII, lower-cased, other runs one blank."""
+    raw = text.lower().encode()
+    kept = bytes(b if b >= 128 or 97 <= b <= 122 or 65 <= b <= 90 else 32 for b in raw)
+    line = b" " + b" ".join(kept.split()) + b" "
+    out = {}
+    for i in range(len(line) - 2):
+        h = (line[i] * 0x9E3779B1 & 0xFFFFFFFF) ^ (line[i + 1] * 0x85EBCA77 & 0xFFFFFFFF) ^ (line[i + 2] * 0xC2B2AE3D & 0xFFFFFFFF)
+        h ^= h >> 15
+        place = ((h * 0x9E3779B1 & 0xFFFFFFFF) >> 8) % 4096
+        out[place] = out.get(place, 0) + 1
+    return out
+
+
+def test_language_model_written_a_second_time(spark):
+    """Document frequencies over all training texts, weights, cosine to the fitted centroids, rejection: every row."""
+    import math
+
+    docs = read_table(spark, SF01, "documents").select("doc_id", "text", "lang").orderBy("doc_id")
+    rows = [r for r in docs.collect()]
+    train = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.text and any(c.isalpha() for c in r.text)]
+    held = {}
+    for r in train:
+        for g in grams(r.text):
+            held[g] = held.get(g, 0) + 1
+    idf = [math.log((1 + len(train)) / (1 + held.get(g, 0))) + 1 for g in range(4096)]
+    model = langid.fit_on(docs, ~langid.held_out())
+    assert np.allclose(model.idf, idf)
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    differ = 0
+    for r in rows:
+        own = got[r.doc_id]
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert (own.lang_pred, own.score, own.rejected) == ("und", 0.0, True)
+            continue
+        w = {g: math.log1p(c) * idf[g] for g, c in grams(r.text).items()}
+        length = math.sqrt(sum(v * v for v in w.values()))
+        cosines = [sum(v * float(centre[g]) for g, v in w.items()) / length for centre in model.centroids]
+        best = max(range(len(cosines)), key=lambda c: cosines[c])
+        assert abs(own.score - cosines[best]) < 2e-3  # the operator keeps half precision weights
+        differ += own.lang_pred != model.languages[best]
+        if abs(cosines[best] - model.least[best]) > 2e-3:
+            assert own.rejected == (cosines[best] < model.least[best] and sum(grams(r.text).values()) >= langid.LEAST_GRAMS)
+    assert differ <= 2  # near ties at that precision
+
+
+def test_site_model_written_a_second_time(spark):
+    """Beta posteriors from path and host sums, prior strengths by moments, and the posterior of every row."""
+    import math
+
+    docs = read_table(spark, SF01, "documents")
+    labels = read_table(spark, SF01, "labels")
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    marks = {}
+    for r in labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").collect():
+        marks.setdefault(r.doc_id, []).append(r.quality)
+    rows = docs.select("doc_id", "source", "lang").collect()
+    outcome = {r.doc_id: sum(marks[r.doc_id]) / len(marks[r.doc_id]) if r.doc_id in marks else 1 / (1 + math.exp(-got[r.doc_id].doc_log_odds)) for r in rows}
+    paths, hosts = {}, {}
+    for r in rows:
+        for table, key in ((paths, (r.source, r.lang)), (hosts, r.source)):
+            n, good = table.get(key, (0, 0.0))
+            table[key] = n + 1, good + outcome[r.doc_id]
+    rate = sum(outcome.values()) / len(outcome)
+
+    def strength(table, mean):
+        some = [(n, good, mean(key)) for key, (n, good) in table.items() if n > 1]
+        total = sum(n for n, _, _ in some)
+        v = sum(n * (good / n - m) ** 2 for n, good, m in some) / total - sum(m * (1 - m) for _, _, m in some) / total
+        return min(1000.0, max(2.0, rate * (1 - rate) / v - 1)) if v > 0 else 1000.0
+
+    k = strength(hosts, lambda h: rate)
+    host_good = {h: (rate * k + good) / (k + n) for h, (n, good) in hosts.items()}
+    k = strength(paths, lambda p: host_good[p[0]])
+    site_good = {p: (host_good[p[0]] * k + good) / (k + n) for p, (n, good) in paths.items()}
+    logit = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+    for r in rows:
+        own = got[r.doc_id]
+        assert abs(own.site_good - site_good[r.source, r.lang]) < 1e-9
+        total = (logit(rate) if own.doc_log_odds is None else own.doc_log_odds) + logit(own.site_good) - logit(rate)
+        assert abs(own.posterior - 1 / (1 + math.exp(-total))) < 1e-9 and own.kept == (own.posterior >= quality.LEAST_POSTERIOR)
+
+
+def test_what_reaches_the_driver_is_bounded(spark, monkeypatch):
+    """One doc_id repeated 10,000 times, and 1,200 languages."""
+    many = spark.range(10_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    some = spark.createDataFrame([(i, prose(i), f"l{i % 1200}") for i in range(2, 2402)], "doc_id long, text string, lang string")
+    seen = []
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda w, names, idf: seen.append(len(names)) or real(w, names, idf))
+    langid.fit_on(many.unionByName(some.where("doc_id < 50").withColumn("lang", F.lit("de"))), F.lit(True))
+    model = langid.fit_on(some, F.lit(True))
+    assert seen[0] == 49 and seen[1] <= langid.MOST_TRAINING and len(set(model.languages)) == 1200 and len(model.centroids) <= langid.MOST_CENTROIDS
+    monkeypatch.setattr(langid, "MOST_CENTROIDS", 100)
+    try:
+        langid.fit_on(some, F.lit(True))
+        raise AssertionError("too many languages")
+    except ValueError as e:
+        assert "1200 languages" in str(e)
+    fitted = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(y)) or fit(x, y))
+    known = spark.createDataFrame([(1, 1.0)] + [(i, float(i % 2)) for i in range(2, 60)], "_id long, good double")
+    quality.fit_on(many.unionByName(some), known)
+    assert fitted == [59]
