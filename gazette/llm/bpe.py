@@ -16,7 +16,8 @@ file joins the symbols by one space.
 
 Defined cases: a NULL or empty text has no ids and decodes to the empty text; a
 NULL list of ids decodes to the empty text; ids outside the vocabulary decode to
-nothing; texts of any length are encoded whole; other columns pass through.
+nothing; texts of any length are encoded whole; repeated rows, a NULL ``doc_id`` and other
+columns pass through; an empty table gives no rows.
 Letters are letters by the Unicode tables of the ``regex`` module; characters
 that Unicode assigned only lately may split otherwise in the public library.
 """
@@ -24,6 +25,7 @@ that Unicode assigned only lately may split otherwise in the public library.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -76,6 +78,7 @@ class WordBpe:
         self.inner = np.array([vocab[c] for c in alphabet], np.int64)
         self.last = np.array([vocab[c + end] for c in alphabet], np.int64)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.mark = os.path.commonprefix(list(self.special))  # a text without it holds no special string
         self.cut = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)))
         pattern = pre[0]["pattern"]["Regex"].replace("[^\\s", "[^" + _WHITE_SPACE)
         self.words = regex.compile(pattern).findall
@@ -157,7 +160,7 @@ class WordBpe:
         for text in texts:
             if not text:
                 found.append([])
-            elif "<|" in text and self.cut.search(text):
+            elif self.special and self.mark in text and self.cut.search(text):
                 out: list = []
                 at = 0
                 for m in self.cut.finditer(text):
