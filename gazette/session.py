@@ -24,7 +24,7 @@ JOB_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # per-digest top-k filters up to this size are planned as a map-side
     # WindowGroupLimit (partial top-k before the shuffle, no full group sort)
-    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "40000",
 }
 
 
