@@ -16,11 +16,13 @@ Then, in Spark:
    each other in all bands with probability below 1e-5);
 3. each bucket links its members to its smallest id, confirmed on full sets, and
    the links are grouped by union-find (``components``);
-4. buckets that still hold several groups compare all members of different
-   groups by longer signatures, in blocks of bounded size.  Of the pairs that may reach the
-   threshold, first only the most alike one of each two groups is confirmed on full
-   sets and the groups are joined (so two large groups meet by one link); then all
-   pairs that are left are confirmed and the groups are joined again.
+4. buckets that still hold several groups compare all members of different groups by
+   longer signatures, in blocks of bounded size.  Members of pairs that may reach the
+   threshold are confirmed on full sets inside bounded blocks of sets, all at once:
+   shared shingles are counted for a whole block, and only one link for each joined group
+   leaves it, so no table of pairs is made however many documents are almost alike.
+   First this is done for the most alike pair of each two groups (two large groups meet
+   by one link), then for what is left.
 
 So every candidate pair of a band is either inside one group already or compared.
 
@@ -53,6 +55,10 @@ FINE_SLOTS = 1024
 LEAST_AGREEING = 699
 #: Members of one bucket that are compared with each other in one step.
 BLOCK_ROWS = 512
+#: Shingles of a block whose sets are compared (and one set, if that has more).
+BLOCK_SHINGLES = 200_000
+#: Shingles that more members of two blocks hold are counted by a matrix product, the others by their pairs.
+COMMON_SHINGLE = 32
 
 _STEP = 0x9E3779B97F4A7C15
 _GOLDEN = np.uint64(_STEP)
@@ -191,8 +197,7 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the similarity."""
-    pairs = materialize(pairs)
+    """The pairs ``(a, b)`` of a written table whose full shingle sets reach the similarity."""
     sets = materialize(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")), docs).mapInArrow(_sets, "doc_id long, shingles array<long>"))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_sb"))
@@ -202,20 +207,20 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def _compare_blocks(least: int, percent: int, best: bool):
-    """Pairs of different groups in one block pair whose signatures may reach the threshold;
-    ``best``: the most alike one of each two groups."""
+    """Members of pairs of different groups in one block pair whose signatures may reach the threshold;
+    ``best``: of the most alike pair of each two groups.  Pairs of two rows that are ``done`` are left out."""
 
-    def pairs_of(g) -> tuple[np.ndarray, np.ndarray]:
+    def members(g) -> np.ndarray:
         fine = np.frombuffer(b"".join(g["fine"]), np.uint8).reshape(len(g), -1)
         bands = np.frombuffer(b"".join(g["signature"]), np.uint32).reshape(len(g), BANDS, -1)
         band = g["band"].iat[0]
-        ids, group, n = g["id"].to_numpy(), g["grp"].to_numpy(), g["n"].to_numpy()
+        ids, group, n, done = g["id"].to_numpy(), g["grp"].to_numpy(), g["n"].to_numpy(), g["done"].to_numpy()
         block, bi, bj = g["blk"].to_numpy(), g["bi"].iat[0], g["bj"].iat[0]
         lo, hi = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
         found_a, found_b, alike = [], [], []
         for i in lo:
             with_ = hi[(ids[hi] > ids[i]) if bi == bj else slice(None)]
-            with_ = with_[group[with_] != group[i]]
+            with_ = with_[(group[with_] != group[i]) & ~(done[with_] & done[i])]
             with_ = with_[np.minimum(n[with_], n[i]) * 100 >= np.maximum(n[with_], n[i]) * percent]
             with_ = with_[(bands[with_] == bands[i]).all(axis=2).argmax(axis=1) == band]  # a pair counts in the first bucket it shares
             agree = (fine[with_] == fine[i]).sum(axis=1)
@@ -229,17 +234,80 @@ def _compare_blocks(least: int, percent: int, best: bool):
             order = np.lexsort((ids[b], ids[a], -np.concatenate(alike), hi_group, lo_group))
             new = np.concatenate([[True], (np.diff(lo_group[order]) != 0) | (np.diff(hi_group[order]) != 0)])
             a, b = a[order[new]], b[order[new]]
-        return ids[a], ids[b]
+        return np.unique(ids[np.concatenate([a, b])])
+
+    def solve(g):
+        found = members(g)
+        return {"key": np.full(len(found), g["key"].iat[0]), "id": found}
+
+    return _by_block(solve, ["key", "id"])
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of shingles that each two of the sets share."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, token, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((owner, token))
+    owner, held = owner[order], held[token[order]]
+    out, pairs, waiting = np.zeros(n * n, np.int64), [], 0
+    for d in range(2, COMMON_SHINGLE + 1):  # the holders of each rarer shingle, pair by pair
+        who = owner[held == d].reshape(-1, d)
+        for i in range(d - 1 if len(who) else 0):
+            pairs.append((who[:, i, None] * n + who[:, i + 1 :]).ravel())
+            waiting += len(pairs[-1])
+            if waiting > 4_000_000:
+                out, pairs, waiting = out + np.bincount(np.concatenate(pairs), minlength=n * n), [], 0
+    if pairs:
+        out += np.bincount(np.concatenate(pairs), minlength=n * n)
+    out = out.reshape(n, n)
+    out += out.T
+    common = held > COMMON_SHINGLE
+    columns = np.unique(token[order][common], return_inverse=True)[1]
+    who, width = owner[common], 4096
+    for first in range(0, columns.max() + 1 if len(columns) else 0, width):
+        part = (columns >= first) & (columns < first + width)
+        dense = np.zeros((n, width), np.float32)
+        dense[who[part], columns[part] - first] = 1
+        out += (dense @ dense.T).astype(np.int64)
+    return out
+
+
+def _confirm_blocks(percent: int):
+    """Links between groups of which members in one block pair reach the similarity: each group to the
+    smallest one that it is joined with there."""
+
+    def solve(g):
+        sets = [np.asarray(s).view(np.uint64) for s in g["shingles"]]
+        size, group = np.array([len(s) for s in sets]), g["grp"].to_numpy()
+        common = _shared(sets)
+        block, bi, bj = g["blk"].to_numpy(), g["bi"].iat[0], g["bj"].iat[0]
+        a, b = np.nonzero((block == bi)[:, None] & (block == bj) & (group[:, None] != group) & (common * 100 >= (size[:, None] + size - common) * percent))
+        names, place = np.unique(group, return_inverse=True)
+        root = np.arange(len(names))
+        while len(a):
+            low = np.minimum(root[place[a]], root[place[b]])
+            new = root.copy()
+            np.minimum.at(new, place[a], low)
+            np.minimum.at(new, place[b], low)
+            if (new == root).all():
+                break
+            root = new
+        moved = np.flatnonzero(root != np.arange(len(names)))
+        return {"a": names[root[moved]], "b": names[moved]}
+
+    return _by_block(solve, ["a", "b"])
+
+
+def _by_block(solve, columns: list[str]):
+    """Calls ``solve`` on the rows of each ``(key, bi, bj)`` of a sorted partition."""
 
     def run(frames):
         import pandas as pd
 
-        def solve(rows):
-            cut = rows.groupby(["key", "bi", "bj"], sort=False)
-            parts = [pairs_of(g) for _, g in cut if len(g) > 1]
-            a = np.concatenate([p[0] for p in parts] or [np.empty(0, np.int64)])
-            b = np.concatenate([p[1] for p in parts] or [np.empty(0, np.int64)])
-            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        def solved(rows):
+            parts = [solve(g) for _, g in rows.groupby(["key", "bi", "bj"], sort=False) if len(g) > 1]
+            return pd.DataFrame({c: np.concatenate([p[c] for p in parts] or [np.empty(0, np.int64)]).astype(np.int64) for c in columns}).drop_duplicates()
 
         rest = None  # rows of the last block pair, which the next batch may go on with
         for frame in frames:
@@ -249,9 +317,9 @@ def _compare_blocks(least: int, percent: int, best: bool):
             last = frame.iloc[-1]
             tail = (frame["key"] == last["key"]) & (frame["bi"] == last["bi"]) & (frame["bj"] == last["bj"])
             rest = frame[tail]
-            yield solve(frame[~tail])
+            yield solved(frame[~tail])
         if rest is not None:
-            yield solve(rest)
+            yield solved(rest)
 
     return run
 
@@ -263,16 +331,35 @@ def _open_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(several.select(F.col("key").alias("_key"), "_rows"), F.col("key") == F.col("_key")).drop("_key")
 
 
-def _crossing(rows: DataFrame, groups: DataFrame, block_rows: int, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs between the groups of buckets that hold several."""
-    blocks = F.ceil(F.col("_rows") / block_rows)
-    open_ = _open_rows(rows, groups).withColumn("_blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+def _dealt(rows: DataFrame, blocks: Column, columns: list[str]) -> DataFrame:
+    """``rows`` once for each block pair ``(bi, bj)`` of their ``key`` that they take part in, with their block ``blk``."""
+    cut = rows.withColumn("_blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("_blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
-    dealt = open_.withColumn("_other", other).select(
-        "key", "band", F.least("blk", "_other").alias("bi"), F.greatest("blk", "_other").alias("bj"), "blk", "id", "n", "signature", "fine", "grp"
-    )
+    return cut.withColumn("_other", other).select("key", F.least("blk", "_other").alias("bi"), F.greatest("blk", "_other").alias("bj"), "blk", "id", *columns)
+
+
+def _candidates(rows: DataFrame, groups: DataFrame, done: DataFrame | None, block_rows: int, percent: int, best: bool) -> DataFrame:
+    """``key, id`` of members of pairs between the groups of a bucket that may reach the threshold."""
+    open_ = _open_rows(rows, groups)
+    if done is None:
+        open_ = open_.withColumn("done", F.lit(False))
+    else:
+        seen = done.select(F.col("key").alias("_k"), F.col("id").alias("_i"), F.lit(True).alias("done"))
+        open_ = open_.join(seen, (F.col("key") == F.col("_k")) & (F.col("id") == F.col("_i")), "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    dealt = _dealt(open_, F.ceil(F.col("_rows") / block_rows), ["band", "n", "signature", "fine", "grp", "done"])
     sorted_ = dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return sorted_.mapInPandas(_compare_blocks(LEAST_AGREEING, percent, best), "a long, b long").distinct()
+    return sorted_.mapInPandas(_compare_blocks(LEAST_AGREEING, percent, best), "key long, id long").distinct()
+
+
+def _confirmed(members: DataFrame, groups: DataFrame, sets: DataFrame, block_rows: int, percent: int) -> DataFrame:
+    """``a, b``: groups that members of one bucket (``key, id, n``) join, confirmed on full sets in blocks."""
+    placed = members.join(groups, members["id"] == groups["node"], "left").select("key", "id", "n", F.coalesce("root", "id").alias("grp"))
+    sums = placed.groupBy("key").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_m"), F.min("grp").alias("_lo"), F.max("grp").alias("_hi")).where("_lo <> _hi")
+    placed = placed.join(sums.select(F.col("key").alias("_key"), "_n", "_m"), F.col("key") == F.col("_key"))
+    dealt = _dealt(placed, F.greatest(F.ceil(F.col("_n") / BLOCK_SHINGLES), F.ceil(F.col("_m") / block_rows)), ["grp"])
+    held = dealt.join(sets, F.col("id") == F.col("doc_id")).drop("doc_id")
+    sorted_ = held.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    return sorted_.mapInPandas(_confirm_blocks(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -292,15 +379,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, block_rows: int = BLOCK_
         .select(F.col("c.id").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
+    star = materialize(star)
     links = materialize(confirm(star, docs, percent))
     roots = components(links, "a", "b")
     left = materialize(_open_rows(shared.select("key", "band", "id", "n"), roots).select("key", "band", "id", "n"))
     fine = _texts_of(left.select(F.col("id").alias("_id")), docs).mapInArrow(_fine, "doc_id long, fine binary").where("fine IS NOT NULL")
     signed = fine.join(classes.select("id", "signature"), F.col("doc_id") == F.col("id")).drop("id").dropDuplicates(["doc_id"])
     left = materialize(left.join(signed, F.col("id") == F.col("doc_id")).drop("doc_id"))
+    done = None  # members of a bucket that were confirmed with each other
     for best in (True, False):
-        more = confirm(_crossing(left, roots, block_rows, percent, best), docs, percent)
+        found = materialize(_candidates(left, roots, done, block_rows, percent, best))
+        members = found.join(left.select("key", "id", "n"), ["key", "id"])
+        sets = _texts_of(found.select(F.col("id").alias("_id")), docs).mapInArrow(_sets, "doc_id long, shingles array<long>")
+        more = _confirmed(members, roots, materialize(sets.dropDuplicates(["doc_id"])), block_rows, percent)
         roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more), "a", "b")
+        done = found
 
     keyed = seen.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_key"))
     rep = classes.join(roots, classes["id"] == roots["node"], "left").select(F.col("set_key").alias("_set"), F.coalesce("root", "id").alias("_root"))

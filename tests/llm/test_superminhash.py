@@ -54,7 +54,7 @@ def test_signature_estimates_similarity():
     assert abs((both[0] == both[1]).mean() - 1000 / 1400) < 0.05
 
 
-def test_groups_equal_brute_force(spark):
+def test_groups_equal_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     rows = []
     for family in range(12):
@@ -68,6 +68,10 @@ def test_groups_equal_brute_force(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in S.near_duplicates(df, block_rows=7).collect()}
     assert got == brute_force(rows)
+    monkeypatch.setattr(S, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(S, "COMMON_SHINGLE", 3)
+    again = {r.doc_id: (r.n_shingles, r.component_id) for r in S.near_duplicates(df).collect()}
+    assert again == got
 
 
 def test_awkward_rows(spark):
@@ -95,3 +99,28 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = spark.createDataFrame(chain + star + [(5, 5), (2, 1)], "u long, v long")
     got = {r.node: r.root for r in components(links, "u", "v").collect()}
     assert got == {**{i: 1 for i in range(2, 401)}, **{1000 + i: 1000 for i in range(1, 300)}}
+
+
+def test_a_family_just_below_the_threshold_makes_no_table_of_pairs(spark, monkeypatch):
+    """300 documents of common boilerplate (similarity 0.737): nothing links, and few pairs are joined to confirm them."""
+    n, common = 300, [f"c{i}" for i in range(304)]
+    rows = [(k, " ".join(common + [f"d{k}x{i}" for i in range(53)])) for k in range(n)]
+    seen = []
+    real = S.confirm
+    monkeypatch.setattr(S, "confirm", lambda pairs, docs, percent: seen.append(pairs.count()) or real(pairs, docs, percent))
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k for k in range(n)}
+    print(f"{sum(seen)} pairs joined for {n} documents")
+    assert sum(seen) < 5 * n
+
+
+def test_shared_shingles_of_a_block(monkeypatch):
+    rng = np.random.default_rng(9)
+    pool = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in range(70)] + [pool[:1], pool[:1]]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for common in (2, 8, 32, 100):
+        monkeypatch.setattr(S, "COMMON_SHINGLE", common)
+        got = S._shared(sets)
+        np.fill_diagonal(got, 0)
+        assert (got == np.array(want) * (1 - np.eye(len(sets), dtype=int))).all()
