@@ -9,15 +9,16 @@ The mix is cut into blocks of ``BLOCK_WORDS`` words.  Blocks are awarded to the
 sources one by one by the highest quotient ``target / (2 * won + 1)``.  Dealt out in
 this order, each shard has an integer quota of blocks of each source (``shard_quotas``;
 Sainte-Lague is house-monotone: a quota is the difference of two apportionments, which
-a divisor search finds without awarding singly).  ``mix`` takes their sum only: no block
-or word is assigned to a shard, and ``taken`` does not depend on the number of shards.
+a divisor search finds without awarding singly).
 
 A source lays its documents end to end in seeded order and cuts that line into
 blocks.  Its quota takes whole passes over the line and then a run of consecutive
-blocks from a seeded start, so ``taken`` of a document is a matter of offsets and
-no block is ever a row.  Offsets come from ``with_prefix``: no source is one task.
+blocks from a seeded start; the shards cut what it takes by their quotas, one behind the
+other.  So the words that a shard takes of a document (``shard_words``) are a matter of
+offsets, ``taken`` is their sum, and no block is ever a row.  Offsets come from
+``with_prefix``: no source is one task.
 Only one row per source reaches the driver: names, sizes and quotas, the mix's
-configuration.
+configuration; more than ``MOST_SOURCES`` raise.
 
 Defined cases: NULL texts and texts without a word have size 0 and nothing is
 taken; NULL sources are a source of their own, last in order; a source without
@@ -43,6 +44,8 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BLOCK_WORDS = 16
 SHARDS = 16
+#: Sources that a mix can be planned for; bounds what reaches the driver.
+MOST_SOURCES = 100_000
 
 
 def word_targets(sizes: Sequence[int], weights: Sequence[float], most: int = MOST_REPEATS) -> np.ndarray:
@@ -92,15 +95,16 @@ def shard_quotas(targets: np.ndarray, shards: int = SHARDS, block: int = BLOCK_W
 
 
 def plan(sources: list[tuple], weight_of: Callable[[int], float], shards: int = SHARDS, block: int = BLOCK_WORDS, seed: str = "mix") -> list[tuple]:
-    """``(key, size, target, words, start)`` of each source of ``(key, size)``, in order."""
+    """``(key, size, target, cuts, start)`` of each source of ``(key, size)``, in order: ``cuts`` are the words
+    that it has given before each shard, and in all."""
     sizes = [s for _, s in sources]
     targets = word_targets(sizes, [weight_of(i) for i in range(len(sizes))])
-    blocks = shard_quotas(targets, shards, block).sum(axis=0) if sizes else []
+    blocks = np.cumsum(shard_quotas(targets, shards, block), axis=0).T if sizes else []
     out = []
-    for (key, size), target, quota in zip(sources, targets, blocks):
-        words = min(int(quota) * block, MOST_REPEATS * size)
+    for (key, size), target, upto in zip(sources, targets, blocks):
+        cuts = [0, *(min(int(quota) * block, MOST_REPEATS * size) for quota in upto)]
         start = xxhash.xxh64_intdigest(f"{seed}:{key}") % max(1, -(-size // block)) * block
-        out.append((key, size, float(target), words, start))
+        out.append((key, size, float(target), cuts, start))
     return out
 
 
@@ -111,24 +115,33 @@ def n_words(text) -> F.Column:
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, shards: int = SHARDS, block: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row."""
+    """``doc_id, size, source_size, target, taken, shard_words`` of every row: the words that the mix takes, and
+    each shard of it."""
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string").alias("_source"), n_words(F.col("text").cast("string")).alias("size"))
     slim = materialize(slim.select("doc_id", group_key(F.col("_source")).alias("_key"), "size"))
-    found = slim.groupBy("_key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
+    found = slim.groupBy("_key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: name groups of them as sources")
     in_order = sorted(found, key=lambda r: (r["_key"][0] == "0", r["_key"]))  # "0": NULL, last
     planned = plan([(r["_key"], r["size"]) for r in in_order], lambda i: weights[i % len(weights)], shards, block, seed)
-    table = spark.createDataFrame(planned, "_k string, source_size long, target double, _words long, _start long")
+    table = spark.createDataFrame(planned, "_k string, source_size long, target double, _cuts array<long>, _start long")
     hashed = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     placed = with_prefix(slim.withColumn("_at", unit(hashed)), "_key", "_at", ["_at", "doc_id", "size"], {"_from": "size"}, sum(r["rows"] for r in found))
     joined = placed.join(broadcast_if_small(table, len(planned)), F.col("_key") == F.col("_k"))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("_words") / F.col("source_size"))).otherwise(0)
-    rest = F.col("_words") - whole * F.col("source_size")
-    end = F.col("_start") + rest
+    line, passes = F.col("source_size"), F.floor(F.element_at("_cuts", -1) / F.greatest(F.col("source_size"), F.lit(1)))
 
     def shared(first, last):
         """Words of the document in the line's stretch from first to last."""
         return F.greatest(F.lit(0), F.least(F.col("_from") + F.col("size"), last) - F.greatest(F.col("_from"), first))
 
-    part = shared(F.col("_start"), end) + shared(F.lit(0), end - F.col("source_size"))
-    return joined.select("doc_id", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"))
+    def given(words):
+        """Words of the document among the first ``words`` that its source gives: whole passes, then the run."""
+        whole = F.floor(words / F.greatest(line, F.lit(1)))
+        end = F.col("_start") + words - passes * line
+        run = shared(F.col("_start"), F.least(end, line)) + shared(F.lit(0), end - line)
+        return F.when(whole < passes, whole * F.col("size") + shared(F.lit(0), words - whole * line)).otherwise(passes * F.col("size") + run).cast("long")
+
+    before = joined.withColumn("_given", F.transform("_cuts", given))
+    parts = F.zip_with(F.slice("_given", 2, shards), F.slice("_given", 1, shards), lambda upto, already: upto - already)
+    return before.select("doc_id", "size", "source_size", "target", F.element_at("_given", -1).alias("taken"), parts.alias("shard_words"))
