@@ -3,6 +3,18 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last
 return the columns of ``docs``.  ``run`` writes each stage's rows below the shared
 checkpoint folder and gives them to the next.
+
+Defined cases, of all stages: texts are read whole, whatever their length; extra columns pass
+through all stages but the last, also those that are named like a stage's own; an empty table
+gives an empty one.
+  quality     a NULL or empty text is judged by its site alone; a NULL ``doc_id`` has no label;
+              all rows of a ``doc_id`` go if none of them is kept.
+  language    a NULL text, or one without letters, goes; repeated rows are each judged.
+  near-dups   texts without words are nobody's copy; of the rows of one ``doc_id`` the least (by
+              all columns) stays; rows of a NULL ``doc_id`` all stay; ties do not arise.
+  mix         documents without words are not taken; a NULL ``source`` is a source of its own;
+              rows of one ``doc_id`` (after the stage before, at most NULL ones) repeat alike.
+  tokens      a NULL or empty text has no tokens; rows may repeat.
 """
 
 from __future__ import annotations
