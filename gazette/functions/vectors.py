@@ -10,11 +10,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gazette.plans.stored import stored
+from gazette.plans.stored import path_exists, stored
 
 
 def _c(col):
@@ -124,11 +123,9 @@ class EmbeddingStore:
         self.path, self.model, self.encoder = path, model, encoder or hashed_bow_encoder()
 
     def _known(self, spark) -> DataFrame:
-        try:
-            table = spark.read.schema(self.KINDS).parquet(self.path)
-        except AnalysisException:  # no run yet
+        if not path_exists(spark, self.path):  # no run yet
             return spark.createDataFrame([], self.KINDS)
-        return table.filter(F.col("model") == self.model)
+        return spark.read.schema(self.KINDS).parquet(self.path).filter(F.col("model") == self.model)
 
     def embed(self, df: DataFrame, col: str = "title", out: str = "embedding") -> tuple[DataFrame, int]:
         """``df`` with the vector ``out`` of ``col``, and how many titles had to be encoded for it."""

@@ -19,14 +19,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.functions.vectors import SIM_DIGITS, units_by_width
 from gazette.operators.cells import SLACK, key_schema
 from gazette.operators.simjoin import DEFAULT_BLOCK_ROWS, cross_similarity
-from gazette.plans.stored import join_on, stored
+from gazette.plans.stored import join_on, path_exists, stored
 
 #: Pivots of an index: bounds what the driver and every task hold.
 MOST_PIVOTS = 256
@@ -45,10 +44,9 @@ class HistoryIndex:
         self.path, self.keys, self.pivots = path.rstrip("/"), list(keys), min(pivots, MOST_PIVOTS)
 
     def _around(self, spark: SparkSession) -> np.ndarray | None:
-        try:
-            rows = spark.read.parquet(f"{self.path}/pivots").orderBy("place").collect()  # at most MOST_PIVOTS
-        except AnalysisException:
+        if not path_exists(spark, f"{self.path}/pivots"):
             return None
+        rows = spark.read.parquet(f"{self.path}/pivots").orderBy("place").collect()  # at most MOST_PIVOTS
         return np.array([r["unit"] for r in rows]) if rows else None
 
     def _draw(self, headlines: DataFrame) -> np.ndarray | None:
@@ -88,10 +86,9 @@ class HistoryIndex:
         dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("digest_date").parquet(f"{self.path}/headlines")
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            table = spark.read.parquet(f"{self.path}/headlines")
-        except AnalysisException:  # nothing added yet
+        if not path_exists(spark, f"{self.path}/headlines"):  # nothing added yet
             return None
+        table = spark.read.parquet(f"{self.path}/headlines")
         return table.withColumn("digest_date", F.col("digest_date").cast("date"))
 
     def reach(self, candidates: DataFrame, threshold: float, days: DataFrame) -> DataFrame:

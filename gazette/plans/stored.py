@@ -25,6 +25,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, whatever the store, and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, or a folder that is not empty."""
+    fs, make = file_system(spark, path)
+    return fs.exists(make(path)) and len(fs.listStatus(make(path))) > 0
+
+
 def fresh(df: DataFrame) -> DataFrame:
     """The same columns under new attribute ids, for a join or cogroup with a table of the same origin."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

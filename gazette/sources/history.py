@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions.markdown import extract_headings, report_file_date, report_file_name, universal_newlines
 from gazette.operators.novelty import in_window
-from gazette.plans.stored import stored
+from gazette.plans.stored import file_system, stored
 
 
 def headlines_from_reports(reports: DataFrame, markdown: str = "markdown", keys=("digest_id",)) -> DataFrame:
@@ -52,12 +52,6 @@ def read_report_table(spark: SparkSession, path: str) -> DataFrame:
     return files.select("digest_id", "digest_date", F.col("value").alias("markdown"))
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, whatever the store, and a maker of its paths."""
-    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
-
-
 def write_report_files(reports: DataFrame, path: str, by_digest: bool = False) -> list[tuple[str, str | None]]:
     """One ``reading_list_yyyyMMdd.md`` per day in ``path`` (with ``by_digest`` in a folder per digest):
     the files, each with None or what went wrong.
@@ -75,7 +69,7 @@ def write_report_files(reports: DataFrame, path: str, by_digest: bool = False) -
     judged = stored(named.withColumn("error", F.when(~known, F.lit("no date or text")).when(~single, F.lit("several reports for one file"))))
     out = [(r["file"], r["error"]) for r in judged.filter("error IS NOT NULL").select("file", "error").distinct().collect()]
     staging = f"{path.rstrip('/')}/.staging-{uuid.uuid4().hex}"
-    fs, make = _file_system(spark, path)
+    fs, make = file_system(spark, path)
     good = judged.filter("error IS NULL").select(F.regexp_replace("markdown", r"\n\z", "").alias("value"), F.md5("file").alias("_at"), "file")
     names = {r["_at"]: r["file"] for r in good.select("_at", "file").collect()}  # one per day
     try:
@@ -110,7 +104,7 @@ def read_report_files(spark: SparkSession, path: str, as_of: dt.date | None = No
     """
     if as_of is not None:
         names = [f"{path.rstrip('/')}/reading_list_{(as_of - dt.timedelta(days=i)).strftime('%Y%m%d')}.md" for i in range(lookback_days)]
-        fs, make = _file_system(spark, path)
+        fs, make = file_system(spark, path)
         existing = [name for name in names if fs.exists(make(name))]
         if not existing:
             return spark.createDataFrame([], "digest_date date, markdown string")

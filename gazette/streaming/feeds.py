@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +24,7 @@ from gazette.functions.urls import clean_url
 from gazette.functions.vectors import embed
 from gazette.operators.render import render_reports
 from gazette.plans.digest import DigestConfig, enrich, rank_and_select
-from gazette.plans.stored import stored
+from gazette.plans.stored import path_exists, stored
 from gazette.sources.feeds import assign_seq, decoded_files, isolate_feeds, parse_feeds
 from gazette.sources.history import read_headlines, write_reports
 
@@ -111,11 +110,10 @@ def daily_digest_fn(cfg: DigestConfig, report_path: str, article_path: str, stre
         land_articles(here, epoch, article_path, stream)
         for at in (d for d in days if d is not None):
             today = landed_articles(spark, article_path, here.schema).filter(F.col("digest_date") == F.lit(at))
-            try:
+            history = None
+            if path_exists(spark, report_path):  # else no report yet
                 past = stored(read_headlines(spark, report_path, str(at), cfg.novelty_lookback_days + 1).filter(F.col("digest_date") < F.lit(at)))
                 history = embed(past, "headline", encoder=cfg.encoder)
-            except AnalysisException:  # no report yet
-                history = None
             top = enrich(rank_and_select(today, cfg, history), cfg, **enrichment)
             write_reports(render_reports(top, title=cfg.title, block=cfg.block), report_path)
 
