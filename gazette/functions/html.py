@@ -16,7 +16,8 @@ blocks of ``sqrt(n)``), however deep it nests and however many elements match; t
 recursion, no Python worker and no shuffle.
 
 Known limits of this form: an element is not ended by its parent's end tag, and a
-``template`` ends at the first end tag of its name.  A NULL page gives NULLs.
+``template`` ends at the first end tag of its name.  A tag that the page's end cuts off is
+not text.  A NULL page gives NULLs.
 """
 
 from __future__ import annotations
@@ -141,6 +142,9 @@ def parsed(html: Column) -> Column:
             F.coalesce(classes, F.lit("")).alias("classes"), F.coalesce(_raw_attribute(raw, "id"), F.lit("")).alias("id"), raw.alias("raw"),
         )
 
+    # a tag that the page's end cuts off is markup: ended here, so that no "<" looks for an end in vain
+    cut_off = F.substring_index(html, ">", -1).rlike("<[a-zA-Z/!?]")
+    html = F.when(cut_off, F.concat(html, F.lit(">"))).otherwise(html)
     markup = F.regexp_extract_all(html, F.lit(MARKUP), F.lit(0))
     nodes = F.transform(F.split(html, MARKUP, -1), decoded)
     tags = lambda m: F.filter(F.transform(m, tag), lambda t: ~t["name"].isin(_NO_ELEMENTS))
