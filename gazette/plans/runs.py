@@ -44,12 +44,11 @@ def _drained(stream, out_schema: str | None = None):
 @register("stream_articles")
 def q_stream_articles(spark, sf):
     """Landed feed files through the streaming front end: scan, isolation, keywords."""
-    files = ct.landed_feeds(spark, sf).withColumn("feed", F.replace("feed", F.lit("/"), F.lit("-")))
+    files = ct.landed_feeds(spark, sf)
     path = new_path(spark)
-    files.select("feed", "value").repartition("feed").write.partitionBy("feed").text(path)
-    names = files.select(F.replace("feed", F.lit("-"), F.lit("/")).alias("feed"), "source")
-    sources = stored(ct.feed_sources(names).withColumn("url", F.replace("url", F.lit("/"), F.lit("-"))))
-    arts = sf_feeds.stream_articles(spark, path, sources, ct.KW_POSITIVE, ct.KW_NEGATIVE, on_bad_entry="drop_entry", feed_folders=True)
+    files.select("feed", F.encode("value", "UTF-8").alias("content")).write.parquet(path)
+    sources = stored(ct.feed_sources(files))
+    arts = sf_feeds.stream_articles(spark, path, sources, ct.KW_POSITIVE, ct.KW_NEGATIVE, on_bad_entry="drop_entry", packed=True)
     return _drained(arts.select("seq", "title", "link", F.md5("summary").alias("summary_md5"), "source", "comments_link"))
 
 

@@ -29,12 +29,17 @@ from gazette.sources.feeds import assign_seq, decoded_files, isolate_feeds, pars
 from gazette.sources.history import read_headlines, write_reports
 
 
-def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, feed_folders: bool = False) -> DataFrame:
+def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, feed_folders: bool = False, packed: bool = False) -> DataFrame:
+    """``(feed, value)`` of the feed files that land at ``path``: each by itself, or ``packed`` as rows
+    ``(feed, content)`` of Parquet files, as listing and opening every small file takes milliseconds."""
     folder = ", feed string" if feed_folders else ""
-    reader = spark.readStream.format("binaryFile").schema(f"path string, modificationTime timestamp, length long, content binary{folder}")
+    if packed:
+        reader = spark.readStream.format("parquet").schema("feed string, content binary")
+    else:
+        reader = spark.readStream.format("binaryFile").schema(f"path string, modificationTime timestamp, length long, content binary{folder}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return decoded_files(reader.load(path), feed=F.col("feed") if feed_folders else None)
+    return decoded_files(reader.load(path), feed=F.col("feed") if feed_folders or packed else None)
 
 
 def stream_articles(
@@ -46,10 +51,11 @@ def stream_articles(
     on_bad_entry: str = "drop_feed",
     digest_id: str = "feeds",
     feed_folders: bool = False,
+    packed: bool = False,
 ) -> DataFrame:
     """Streaming articles with the same semantics as the batch scan + filters.  A feed is named by
-    its file, or by the ``feed=`` folder that holds it."""
-    files = read_feed_stream(spark, path, feed_folders=feed_folders)
+    its file, by the ``feed=`` folder that holds it, or by its row where files are ``packed``."""
+    files = read_feed_stream(spark, path, feed_folders=feed_folders, packed=packed)
     entries = isolate_feeds(parse_feeds(files), on_bad_entry)
     arts = assign_seq(entries, sources, digest_id=digest_id)
     keep = ~any_keyword(negative_keywords) & any_keyword(keywords)
