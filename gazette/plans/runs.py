@@ -21,7 +21,7 @@ from gazette.sources import history as hs
 from gazette.sources import tables as tb
 from gazette.sources.custom import ENTRIES, EntrySource, entry_format
 from gazette.streaming import feeds as sf_feeds
-from gazette.streaming.repeats import track_repeats
+from gazette.streaming.repeats import GROUPS, track_repeats
 
 STREAM_SECONDS = 1800
 
@@ -60,6 +60,7 @@ def _():
 
 
 REPEAT_DAYS = 7
+EVENTS_PER_GROUP = 50_000  # more groups of links for more events, so that none grows
 
 
 @register("stream_repeats")
@@ -72,7 +73,8 @@ def q_stream_repeats(spark, sf):
         F.lit("events").alias("digest_id"), F.col("event_id").alias("seq"), F.when(F.col("event_id") % 97 != 0, link).alias("link"), F.col("ts").cast("timestamp").alias("published")
     ).write.parquet(path)
     arrivals = spark.readStream.schema("digest_id string, seq long, link string, published timestamp").parquet(path)
-    return _drained(track_repeats(arrivals, REPEAT_DAYS)).select("event", "clean_url", "seq", "repeats")
+    groups = max(GROUPS, ev.count() // EVENTS_PER_GROUP)
+    return _drained(track_repeats(arrivals, REPEAT_DAYS, groups=groups)).select("event", "clean_url", "seq", "repeats")
 
 
 @sql("stream_repeats")
